@@ -1,0 +1,167 @@
+"""Ed25519 (RFC 8032) signatures for Arrow batches.
+
+The work is done by the OpenSSL library that Python's own ssl module rests on. Where it cannot be
+loaded, the few formulas of the RFC are evaluated with Python integers instead.
+"""
+
+from __future__ import annotations
+
+import ctypes
+import ctypes.util
+from functools import lru_cache
+from hashlib import sha512
+
+# Fixed values of the curve: field prime, group order, curve constant, base point.
+P = 2**255 - 19
+ORDER = 2**252 + 27742317777372353535851937790883648493
+D = -121665 * pow(121666, -1, P) % P
+BASE_Y = 4 * pow(5, -1, P) % P
+OPENSSL_ED25519 = 1087
+
+
+@lru_cache(maxsize=1)
+def _openssl():
+    name = ctypes.util.find_library("crypto")
+    if not name:
+        return None
+    lib = ctypes.CDLL(name)
+    if not hasattr(lib, "EVP_PKEY_new_raw_public_key"):
+        return None
+    pointer, size, text = ctypes.c_void_p, ctypes.c_size_t, ctypes.c_char_p
+    for make in (lib.EVP_PKEY_new_raw_private_key, lib.EVP_PKEY_new_raw_public_key):
+        make.restype, make.argtypes = pointer, [ctypes.c_int, pointer, text, size]
+    lib.EVP_MD_CTX_new.restype = pointer
+    lib.EVP_MD_CTX_free.argtypes = [pointer]
+    for init in (lib.EVP_DigestSignInit, lib.EVP_DigestVerifyInit):
+        init.argtypes = [pointer] * 5
+    lib.EVP_DigestSign.argtypes = [pointer, text, ctypes.POINTER(size), text, size]
+    lib.EVP_DigestVerify.argtypes = [pointer, text, size, text, size]
+    lib.EVP_PKEY_get_raw_public_key.argtypes = [pointer, text, ctypes.POINTER(size)]
+    return lib
+
+
+@lru_cache(maxsize=64)
+def _loaded(kind: str, raw: bytes):
+    lib = _openssl()
+    make = lib.EVP_PKEY_new_raw_private_key if kind == "private" else lib.EVP_PKEY_new_raw_public_key
+    return make(OPENSSL_ED25519, None, raw, len(raw))
+
+
+def public_key(seed: bytes) -> bytes:
+    if _openssl() is None:
+        return _plain_public(seed)
+    out, n = ctypes.create_string_buffer(32), ctypes.c_size_t(32)
+    _openssl().EVP_PKEY_get_raw_public_key(_loaded("private", seed), out, ctypes.byref(n))
+    return out.raw
+
+
+def sign(seed: bytes, message: bytes) -> bytes:
+    lib = _openssl()
+    if lib is None:
+        return _plain_sign(seed, message)
+    ctx = lib.EVP_MD_CTX_new()
+    try:
+        lib.EVP_DigestSignInit(ctx, None, None, None, _loaded("private", seed))
+        out, n = ctypes.create_string_buffer(64), ctypes.c_size_t(64)
+        if lib.EVP_DigestSign(ctx, out, ctypes.byref(n), message, len(message)) != 1:
+            raise RuntimeError("signing failed")
+        return out.raw
+    finally:
+        lib.EVP_MD_CTX_free(ctx)
+
+
+def verify(public: bytes, message: bytes, signature: bytes) -> bool:
+    if len(signature) != 64:
+        return False
+    lib = _openssl()
+    if lib is None:
+        return _plain_verify(public, message, signature)
+    key = _loaded("public", public)
+    if not key:
+        return False
+    ctx = lib.EVP_MD_CTX_new()
+    try:
+        lib.EVP_DigestVerifyInit(ctx, None, None, None, key)
+        return lib.EVP_DigestVerify(ctx, signature, 64, message, len(message)) == 1
+    finally:
+        lib.EVP_MD_CTX_free(ctx)
+
+
+# -- the same with integers -----------------------------------------------------------------------
+
+
+def _add(a, b):
+    """Sum of two points (x, y), by the addition law of the twisted Edwards curve."""
+    (x1, y1), (x2, y2) = a, b
+    cross = D * x1 * x2 * y1 * y2 % P
+    x = (x1 * y2 + x2 * y1) * pow(1 + cross, -1, P)
+    y = (y1 * y2 + x1 * x2) * pow(1 - cross, -1, P)
+    return x % P, y % P
+
+
+def _times(n: int, point):
+    total = (0, 1)
+    while n:
+        if n & 1:
+            total = _add(total, point)
+        point = _add(point, point)
+        n >>= 1
+    return total
+
+
+def _root(y: int, odd: int):
+    """The x that belongs to y, or None if there is none."""
+    square = (y * y - 1) * pow(D * y * y + 1, -1, P) % P
+    x = pow(square, (P + 3) // 8, P)
+    if x * x % P != square:
+        x = x * pow(2, (P - 1) // 4, P) % P
+    if x * x % P != square or (x == 0 and odd):
+        return None
+    return P - x if x % 2 != odd else x
+
+
+def _base():
+    return _root(BASE_Y, 0), BASE_Y
+
+
+def _pack(point) -> bytes:
+    x, y = point
+    return (y | (x & 1) << 255).to_bytes(32, "little")
+
+
+def _unpack(raw: bytes):
+    n = int.from_bytes(raw, "little")
+    y, odd = n & (2**255 - 1), n >> 255
+    x = _root(y, odd) if y < P else None
+    return None if x is None else (x, y)
+
+
+def _secret(seed: bytes):
+    h = sha512(seed).digest()
+    scalar = int.from_bytes(h[:32], "little")
+    return (scalar & (2**254 - 8)) | 2**254, h[32:]
+
+
+def _number(*parts: bytes) -> int:
+    return int.from_bytes(sha512(b"".join(parts)).digest(), "little") % ORDER
+
+
+def _plain_public(seed: bytes) -> bytes:
+    return _pack(_times(_secret(seed)[0], _base()))
+
+
+def _plain_sign(seed: bytes, message: bytes) -> bytes:
+    scalar, prefix = _secret(seed)
+    r = _number(prefix, message)
+    point = _pack(_times(r, _base()))
+    challenge = _number(point, _plain_public(seed), message)
+    return point + ((r + challenge * scalar) % ORDER).to_bytes(32, "little")
+
+
+def _plain_verify(public: bytes, message: bytes, signature: bytes) -> bool:
+    key, point = _unpack(public), _unpack(signature[:32])
+    s = int.from_bytes(signature[32:], "little")
+    if key is None or point is None or s >= ORDER:
+        return False
+    challenge = _number(signature[:32], public, message)
+    return _times(s, _base()) == _add(point, _times(challenge, key))
