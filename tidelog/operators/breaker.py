@@ -1,0 +1,166 @@
+"""States of a failure breaker, replayed over a table of attempts.
+
+Per service: CLOSED until `failures` failures in a row, then OPEN; the first attempt `open_ms` after the
+last failure is let through as a probe (HALF_OPEN); `successes` successful probes close it, a failed one
+opens it again; at most `probes` probes are let through. An attempt that is not let through has no outcome.
+
+The state after an attempt depends on all attempts before it, and one service may have any number of
+them. So the attempts are cut into slices in (service, time) order. A slice that begins in the middle of
+a service is first run from every state it could begin in; those runs soon fall together. Chaining the
+few results gives the true state at each cut, and then all slices are replayed side by side.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterable
+from typing import NamedTuple
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidelog.operators.ordered import POS, SLICE, sliced
+from tidelog.session import store
+
+CLOSED, OPEN, HALF_OPEN = "CLOSED", "OPEN", "HALF_OPEN"
+
+
+class Limits(NamedTuple):
+    failures: int = 5
+    successes: int = 2
+    open_ms: int = 30_000
+    probes: int = 3
+
+
+class State(NamedTuple):
+    mode: str = CLOSED
+    failures: int = 0
+    successes: int = 0
+    probes: int = 0
+    failed_at: int | None = None  # last failure; kept only where it matters, while OPEN
+
+
+def after(state: State, at: int, ok: bool, limits: Limits) -> tuple[State, bool]:
+    """(the state after an attempt, whether the attempt was let through)."""
+    mode, failures, successes, probes, failed_at = state
+    if mode == OPEN:
+        if at - failed_at < limits.open_ms:
+            return state, False
+        mode, failures, successes, probes = HALF_OPEN, 0, 0, 0
+    if mode == HALF_OPEN:
+        if probes >= limits.probes:
+            return state, False
+        if not ok:
+            return State(OPEN, failed_at=at), True
+        if successes + 1 >= limits.successes:
+            return State(), True
+        return State(HALF_OPEN, successes=successes + 1, probes=probes + 1), True
+    if ok:
+        return State(), True
+    if failures + 1 >= limits.failures:
+        return State(OPEN, failed_at=at), True
+    return State(CLOSED, failures=failures + 1), True
+
+
+def results_by_start(times: Iterable[int], oks: Iterable[bool], limits: Limits) -> str:
+    """What each state a slice may begin in becomes, as JSON: {"known": [[start, end]], "open": [[from, to, end]]}.
+
+    A breaker that is open at the cut sleeps until the first attempt `open_ms` after a failure before the
+    cut. Such starts are told by the time of the attempt that wakes them, in ranges of equal ends. An
+    open start that no attempt wakes stays as it is.
+    """
+    starts = [State(CLOSED, failures=n) for n in range(limits.failures)]
+    starts += [State(HALF_OPEN, successes=s, probes=s) for s in range(1, limits.successes)]
+    runs: dict[State, list] = {s: [s] for s in starts}
+    first = before = None
+    for at, ok in zip(times, oks):
+        first = at if first is None else first
+        moved: dict[State, list] = {}
+        for state, origins in runs.items():
+            _join(moved, after(state, at, ok, limits)[0], origins)
+        if before is None or before < min(at, first + limits.open_ms):
+            woken = after(State(OPEN, failed_at=at - limits.open_ms), at, ok, limits)[0]
+            _join(moved, woken, [at])
+        runs, before = moved, at
+    ends = [(origin, end) for end, origins in runs.items() for origin in origins]
+    known = [[start, end] for start, end in ends if isinstance(start, State)]
+    ranges: list[list] = []
+    for at, end in sorted((o, e) for o, e in ends if not isinstance(o, State)):
+        if ranges and ranges[-1][2] == end:
+            ranges[-1][1] = at
+        else:
+            ranges.append([at, at, end])
+    return json.dumps({"known": known, "open": ranges})
+
+
+def _join(runs: dict[State, list], state: State, origins: list) -> None:
+    """Add the origins to those that led to state; the longer list takes in the shorter one."""
+    there = runs.get(state, [])
+    longer, shorter = (there, origins) if len(there) >= len(origins) else (origins, there)
+    longer.extend(shorter)
+    runs[state] = longer
+
+
+def carried(state: State, results: str, limits: Limits) -> State:
+    """The state after a slice, from the state before it."""
+    found = json.loads(results)
+    if state.mode == OPEN:
+        for _, to, end in found["open"]:
+            if to >= state.failed_at + limits.open_ms:
+                return State(*end)
+        return state
+    return next(State(*end) for start, end in found["known"] if State(*start) == state)
+
+
+def breaker_states(
+    attempts: DataFrame, service: str, at: str, order: list[str], failed: Column,
+    limits: Limits = Limits(), slice_rows: int = 2_000_000,
+) -> DataFrame:
+    """Attempts with `allowed` and `state`, the breaker's state after the attempt.
+
+    at: time in epoch ms; order: the columns that put a service's attempts in a unique order, by time first.
+    """
+    slices = attempts.count() // slice_rows + 1
+    staged = sliced(attempts.withColumn("_ok", ~failed), [service], order, slices)
+    kind = dict(staged.dtypes)
+
+    spans = staged.groupBy(service).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi"))
+    cut = store(spans.where("_lo < _hi").select(service), "cut")  # at most one new service per slice bound
+
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(POS)
+        told = results_by_start(pdf[at].tolist(), pdf["_ok"].tolist(), limits)
+        return pd.DataFrame({service: pdf[service].iloc[:1], SLICE: pdf[SLICE].iloc[:1], "results": [told]})
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, starts = State(), []
+        pdf = pdf.sort_values(SLICE)
+        for results in pdf["results"]:
+            starts.append(json.dumps(state))
+            state = carried(state, results, limits)
+        return pdf[[service, SLICE]].assign(_start=starts)
+
+    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(POS)
+        states, allowed, current, state = [], [], object(), State()
+        for who, start, when, ok in zip(pdf[service], pdf["_start"], pdf[at], pdf["_ok"]):
+            if who != current:
+                current, state = who, State(*json.loads(start)) if start else State()
+            state, let = after(state, when, ok, limits)
+            states.append(state.mode)
+            allowed.append(let)
+        return pdf[attempts.columns].assign(allowed=allowed, state=states)
+
+    narrow = staged.select(service, at, "_ok", SLICE, POS).where(F.col(service).isNotNull())
+    results = (
+        narrow.join(cut, service, "left_semi")
+        .groupBy(SLICE, service)
+        .applyInPandas(summarise, f"{service} {kind[service]}, {SLICE} int, results string")
+    )
+    starts = store(
+        results.groupBy(service).applyInPandas(chain, f"{service} {kind[service]}, {SLICE} int, _start string"), "starts"
+    )
+    begun = staged.where(F.col(service).isNotNull()).join(starts, [service, SLICE], "left")
+    out = ", ".join(f"`{c}` {kind[c]}" for c in attempts.columns) + ", allowed boolean, state string"
+    return begun.groupBy(SLICE).applyInPandas(replay, out)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.text import not_blank, word_cosine, words
 from tidelog.operators.ordered import ordered_scan
-from tidelog.session import store
+from tidelog.session import bounded, store
 
 EPISODIC, SEMANTIC, PROCEDURAL = "episodic", "semantic", "procedural"
 
@@ -16,6 +16,7 @@ TIERS = {"observation": [EPISODIC], "fact": [EPISODIC, SEMANTIC], "procedure": [
 ENDINGS = {EPISODIC: "-ep", SEMANTIC: "-sem", PROCEDURAL: "-proc"}
 DEFAULT_K = 5
 SALTS = 32
+REQUEST_ROWS = 100_000
 
 
 def memory_errors() -> Column:
@@ -56,37 +57,34 @@ def memory_remember(entries: DataFrame, arrival: list[str]) -> DataFrame:
 def memory_recall(
     memories: DataFrame,
     requests: DataFrame,
+    k_episodic: int = 0,
+    k_semantic: int = 0,
     scope: str = "agent_id",
     score: Column | None = None,
-    k_procedural: int = 0,
 ) -> DataFrame:
-    """The best memories of each tier for each request.
+    """The best memories of the episodic and the semantic tier for each request; k of 0 is the default.
 
-    requests: one row per `scope` value, with query, k_episodic and k_semantic (0 means the default).
-    scope is "agent_id", or "namespace" for memories shared by all agents of a namespace. score compares
-    `content` with `query`; by default it is the cosine of their words. Procedures are recalled when
-    k_procedural is set.
+    requests: one row per `scope` value, with its query. scope is "agent_id", or "namespace" for
+    memories shared by all agents of a namespace. score compares `content` with `query`; by default it
+    is the cosine of their words.
     """
     score = word_cosine(words(F.col("content")), words(F.col("query"))) if score is None else score
-    tiers = [EPISODIC, SEMANTIC] + ([PROCEDURAL] if k_procedural else [])
-    wanted = requests.select(
-        F.col(scope), "query",
-        *[F.when(F.col(c) > 0, F.col(c)).otherwise(DEFAULT_K).alias(c) for c in ("k_episodic", "k_semantic")],
-    )
-    # The planner broadcasts the requests while they are small. When they are not, the salt spreads
-    # an agent's memories over many tasks, each of which keeps its best before the next shuffle.
-    salted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = memories.where(F.col("tier").isin(*tiers)).withColumn(
-        "_salt", F.pmod(F.xxhash64("topic", "offset"), F.lit(SALTS)).cast("int")
-    )
-    hits = spread.join(salted, [scope, "_salt"]).withColumn("score", score)
-    k = F.when(F.col("tier") == EPISODIC, F.col("k_episodic")).when(F.col("tier") == SEMANTIC, F.col("k_semantic")).otherwise(k_procedural)
-    best_first = [F.desc("score"), F.col("offset"), F.col("topic")]
-    by_salt = Window.partitionBy(scope, "tier", "_salt").orderBy(*best_first)
-    overall = Window.partitionBy(scope, "tier").orderBy(*best_first)
-    return (
-        hits.withColumn("_k", k)
-        .withColumn("_place", F.row_number().over(by_salt)).where(F.col("_place") <= F.col("_k"))
-        .withColumn("place", F.row_number().over(overall)).where(F.col("place") <= F.col("_k"))
-        .drop("_place", "_k", "_salt", "query", "k_episodic", "k_semantic")
+    requests = requests.where(not_blank(F.col(scope)) & not_blank(F.col("query"))).select(scope, "query")
+    if bounded(requests, REQUEST_ROWS):
+        hits = memories.join(F.broadcast(requests), scope)
+    else:
+        # Too many requests to broadcast: the salt spreads the memories of a busy agent.
+        salted = requests.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("topic", "offset"), F.lit(SALTS)).cast("int")
+        hits = memories.withColumn("_salt", salt).join(salted, [scope, "_salt"]).drop("_salt")
+    hits = hits.withColumn("score", score).drop("query")
+    return best_of(hits, EPISODIC, scope, k_episodic or DEFAULT_K).unionByName(
+        best_of(hits, SEMANTIC, scope, k_semantic or DEFAULT_K)
     )
+
+
+def best_of(hits: DataFrame, tier: str, scope: str, k: int) -> DataFrame:
+    """The k best hits of a tier per scope value; as k is a constant, each task first keeps its own k."""
+    ranking = Window.partitionBy(scope).orderBy(F.desc("score"), "offset", "topic")
+    tiered = hits.where(F.col("tier") == tier)
+    return tiered.withColumn("place", F.row_number().over(ranking)).where(F.col("place") <= k)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.text import not_blank
 from tidelog.functions.vectors import buckets_of, cosine, sign_buckets, sign_planes
 
 DEFAULT_K, MAX_K = 10, 1000
@@ -21,13 +20,16 @@ def check_search(topic: str, query, k: int) -> None:
 
 
 def scored(records: DataFrame, query: list[float], embedding: str = "embedding") -> DataFrame:
-    """Records with a score; those without a usable embedding are no candidates."""
-    return records.withColumn("score", cosine(F.col(embedding), query)).where("score IS NOT NULL")
+    """Records with a score in place of the embedding; null where that is not usable."""
+    return records.withColumn("score", cosine(F.col(embedding), query)).drop(embedding)
 
 
 def top(records: DataFrame, k: int) -> DataFrame:
-    """The k best by score. Each task keeps k rows, so only k per task are moved."""
-    return records.orderBy(F.desc("score"), "partition", "offset").limit(k)
+    """The k best by score. Each task keeps k rows, so only k per task are moved.
+
+    Records without a score come last and go afterwards: a filter before would score everything twice.
+    """
+    return records.orderBy(F.desc_nulls_last("score"), "partition", "offset").limit(k).where("score IS NOT NULL")
 
 
 def matching(records: DataFrame, filters: dict | None) -> DataFrame:
@@ -44,8 +46,7 @@ def semantic_search(
     """The k records of a topic most like the query vector, best first."""
     check_search(topic, query, k)
     candidates = matching(records.where(F.col("topic") == topic), filters)
-    hits = top(scored(candidates, query, embedding), k)
-    return hits.drop(embedding)
+    return top(scored(candidates, query, embedding), k)
 
 
 def search_total(records: DataFrame, topic: str, filters: dict | None = None) -> int:
@@ -97,8 +98,8 @@ class BucketIndex:
         """The k best among all records that share a bucket with the query in some table."""
         check_search("index", query, k)
         close = matching(self.candidates(query), filters)
-        hits = scored(close, query, embedding).drop(embedding, "tbl", "bucket")
+        hits = scored(close.drop("tbl", "bucket"), query, embedding)
         # A record found in several tables has one score; copies are dropped among the best only:
         # the best k records fill at most k * tables rows.
-        best = hits.orderBy(F.desc("score"), "partition", "offset").limit(k * self.tables)
+        best = top(hits, k * self.tables)
         return top(best.dropDuplicates(["topic", "partition", "offset"]), k)

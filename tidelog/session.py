@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that results depend on; they can be changed while a session runs.
 RESULT_SETTINGS = {
@@ -76,3 +77,10 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bounded(df: DataFrame, rows: int, bytes_: int = 64 << 20) -> bool:
+    """Whether df is small enough to broadcast: counts no further than the bound."""
+    width = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), width.alias("size")).first()
+    return seen.n <= rows and (seen.size or 0) <= bytes_

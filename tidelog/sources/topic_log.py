@@ -91,6 +91,12 @@ class TopicLog:
         rows = reader.parquet(f"{self.root}/data")
         return rows.join(published, ["txn", "topic"], "left_semi").select(*self.COLUMNS)
 
+    def read_appends(self, txns: list[str], topic: str) -> DataFrame:
+        """Records of single appends."""
+        paths = [f"{self.root}/data/txn={txn}/topic={escape(topic)}" for txn in txns]
+        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data")
+        return reader.parquet(*paths).select(*self.COLUMNS)
+
     def end_offsets(self) -> DataFrame:
         """Next offset to be written, per topic and partition, from the manifest alone."""
         return self.manifest().groupBy("topic", "partition").agg(F.max("end_offset").alias("end_offset"))

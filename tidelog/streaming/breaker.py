@@ -1,0 +1,45 @@
+"""The failure breaker as a stream operator, its state kept per service."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tidelog.operators.breaker import Limits, State, after
+
+STATE = "mode string, failures int, successes int, probes int, failed_at bigint"
+OUT = "service string, at_ms bigint, seq bigint, allowed boolean, state string"
+
+
+class Breaker(StatefulProcessor):
+    """Input: service, at_ms, seq, ok. Rows of a micro-batch are put in (at_ms, seq) order first."""
+
+    def __init__(self, limits: Limits):
+        self.limits = limits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getValueState("state", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["at_ms", "seq"])
+        state = State(*self.kept.get()) if self.kept.exists() else State()
+        allowed, states = [], []
+        for at, ok in zip(batch["at_ms"].tolist(), batch["ok"].tolist()):
+            state, let = after(state, at, ok, self.limits)
+            allowed.append(let)
+            states.append(state.mode)
+        self.kept.update(tuple(state))
+        yield batch[["service", "at_ms", "seq"]].assign(allowed=allowed, state=states)
+
+    def close(self) -> None:
+        pass
+
+
+def breaker_stream(attempts: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """A stream of (service, at_ms, seq, ok) with allowed and state added; needs the RocksDB state store."""
+    return attempts.groupBy("service").transformWithStateInPandas(
+        statefulProcessor=Breaker(limits), outputStructType=OUT, outputMode="Append", timeMode="None"
+    )
