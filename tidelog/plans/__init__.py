@@ -1 +1,6 @@
 """The registered queries, each with the SQL that must give the same rows."""
+
+from tidelog.plans import metrics, reads  # noqa: F401
+from tidelog.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -79,7 +79,8 @@ def run(spark: SparkSession, request: QueryRequest) -> QueryResult:
     timer.start()
     try:
         df = spark.sql(request.sql, args=request.parameters or None)
-        rows = limited(df, request.max_rows).collect()
+        asked = limited(df, request.max_rows)
+        rows = asked.collect()
     except Exception as error:
         if late.is_set():
             raise QueryTimeout(f"not done after {request.timeout_ms} ms") from error
@@ -92,11 +93,29 @@ def run(spark: SparkSession, request: QueryRequest) -> QueryResult:
         columns=[(f.name, f.dataType.simpleString().upper()) for f in df.schema],
         rows=kept,
         execution_time_ms=int((time.monotonic() - begun) * 1000),
-        rows_scanned=None,
+        rows_scanned=rows_scanned(asked),
         rows_returned=len(kept),
         truncated=len(rows) > request.max_rows,
     )
 
 
+def rows_scanned(df: DataFrame) -> int:
+    """Rows the file scans of an executed DataFrame gave out, by the metrics of its plan."""
+
+    def total(node) -> int:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return total(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return total(node.plan())
+        children = node.children()
+        if name.startswith("Scan") and children.isEmpty():
+            metric = node.metrics().get("numOutputRows")
+            return metric.get().value() if metric.isDefined() else 0
+        return sum(total(children.apply(i)) for i in range(children.size()))
+
+    return total(df._jdf.queryExecution().executedPlan())
+
+
 def explain(spark: SparkSession, sql: str) -> str:
     return spark.sql(f"EXPLAIN FORMATTED {sql}").first()[0]
