@@ -92,7 +92,8 @@ def contract_validate(records: DataFrame, contract: dict | str, value: str = "va
     )
 
 
-def contract_quarantine(checked: DataFrame, valid_path: str, quarantine_path: str) -> None:
-    """Write valid records to one table and the rest, with their errors, to another."""
-    checked.where("valid").drop("valid", "errors").write.mode("append").parquet(valid_path)
-    checked.where("not valid").drop("valid").write.mode("append").parquet(quarantine_path)
+def contract_quarantine(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write checked records in one pass, apart by folder; return (valid records, quarantine with errors)."""
+    checked.write.mode("append").partitionBy("valid").parquet(path)
+    stored = checked.sparkSession.read.schema(checked.schema).parquet(path)
+    return stored.where("valid").drop("valid", "errors"), stored.where("not valid").drop("valid")

@@ -65,16 +65,29 @@ def struct_of(text: str, schema_type: str = AVRO) -> T.StructType:
     raise ValueError(f"values of {schema_type} schemas cannot be decoded from JSON")
 
 
+def required_fields(text: str, schema_type: str = AVRO) -> list[str]:
+    """Top-level fields that a value must have: no default, and null is not among their types."""
+    schema = json.loads(text)
+    if schema_type == JSON:
+        return list(schema.get("required", []))
+    return [
+        f["name"] for f in schema["fields"]
+        if "default" not in f and f["type"] != "null" and not (isinstance(f["type"], list) and "null" in f["type"])
+    ]
+
+
 def decode_topic(records: DataFrame, text: str, schema_type: str = AVRO, value: str = "value") -> DataFrame:
-    """Records with `decoded`, a struct by the schema, and `corrupt`, the value where it does not fit."""
+    """Records with `decoded`, a struct by the schema, or else `corrupt`, the value that does not fit it."""
     fields = struct_of(text, schema_type).fields
     wanted = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value).cast("string"), wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     out = records.withColumn("_parsed", parsed)
+    fits = F.col("_parsed").isNotNull() & F.col("_parsed").getField(CORRUPT).isNull()
+    for name in required_fields(text, schema_type):
+        fits = fits & F.col("_parsed").getField(name).isNotNull()
+    typed = F.struct(*[F.col("_parsed").getField(f.name).alias(f.name) for f in fields])
     return out.select(
-        *records.columns,
-        F.struct(*[F.col("_parsed").getField(f.name).alias(f.name) for f in fields]).alias("decoded"),
-        F.col("_parsed").getField(CORRUPT).alias("corrupt"),
+        *records.columns, F.when(fits, typed).alias("decoded"), F.when(~fits, F.col(value).cast("string")).alias("corrupt")
     )
 
 
@@ -186,5 +199,5 @@ def decode_rate(records: DataFrame, text: str, schema_type: str = AVRO, by: list
     """How many stored records a candidate schema can decode."""
     decoded = decode_topic(records, text, schema_type)
     return decoded.groupBy(*(by or ["topic"])).agg(
-        F.count("*").alias("records"), F.count_if(F.col("corrupt").isNull()).alias("decodable")
+        F.count("*").alias("records"), F.count_if(F.col("decoded").isNotNull()).alias("decodable")
     )

@@ -240,11 +240,11 @@ def contract_validate(spark, sf_dir):
 """)
 def contract_quarantine(spark, sf_dir):
     """What lies in the table of valid records and in the quarantine after the split."""
-    good, bad = new_path(spark, "valid"), new_path(spark, "quarantine")
-    contracts.contract_quarantine(contracts.contract_validate(faulty(spark, sf_dir), CONTRACT), good, bad)
+    checked = contracts.contract_validate(faulty(spark, sf_dir), CONTRACT)
+    good, bad = contracts.contract_quarantine(checked, new_path(spark, "checked"))
     kind = F.col("headers")["event_type"].cast("string").alias("event_type")
-    kept = spark.read.parquet(good).select(F.lit(True).alias("valid"), kind, F.lit("").alias("fault"))
-    held = spark.read.parquet(bad).select(F.lit(False).alias("valid"), kind, F.col("errors")[0]["actual"].alias("fault"))
+    kept = good.select(F.lit(True).alias("valid"), kind, F.lit("").alias("fault"))
+    held = bad.select(F.lit(False).alias("valid"), kind, F.col("errors")[0]["actual"].alias("fault"))
     return kept.unionByName(held).groupBy("valid", "event_type", "fault").agg(F.count("*").alias("records"))
 
 
