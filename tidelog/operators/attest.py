@@ -30,6 +30,11 @@ def canonical(env: dict[str, Column]) -> Column:
     ])
 
 
+def base64_text(data: Column) -> Column:
+    """Base64 in one line, whatever line length the session's setting asks for."""
+    return F.regexp_replace(F.base64(data), r"\s", "")
+
+
 def signature_of(text: Column, seed: bytes) -> Column:
     """Base64 Ed25519 signature, computed in Arrow batches."""
 
@@ -87,7 +92,7 @@ def attest_sign(
     envelope = F.to_json(F.struct(
         *[c.alias(n) for n, c in env.items()], F.col("_signature").alias("signature"), contract.alias("contract_id")
     ))
-    sealed = F.base64(envelope.cast("binary"))
+    sealed = base64_text(envelope.cast("binary"))
     return signed.withColumn("headers", header_add(F.col("headers"), header, sealed)).drop("_signature")
 
 

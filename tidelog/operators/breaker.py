@@ -123,7 +123,7 @@ def breaker_states(
     """
     slices = attempts.count() // slice_rows + 1
     staged = sliced(attempts.withColumn("_ok", ~failed), [service], order, slices)
-    kind = dict(staged.dtypes)
+    kind, columns = dict(staged.dtypes), attempts.columns
 
     spans = staged.groupBy(service).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi"))
     cut = store(spans.where("_lo < _hi").select(service), "cut")  # at most one new service per slice bound
@@ -150,7 +150,7 @@ def breaker_states(
             state, let = after(state, when, ok, limits)
             states.append(state.mode)
             allowed.append(let)
-        return pdf[attempts.columns].assign(allowed=allowed, state=states)
+        return pdf[columns].assign(allowed=allowed, state=states)
 
     narrow = staged.select(service, at, "_ok", SLICE, POS).where(F.col(service).isNotNull())
     results = (
@@ -162,5 +162,5 @@ def breaker_states(
         results.groupBy(service).applyInPandas(chain, f"{service} {kind[service]}, {SLICE} int, _start string"), "starts"
     )
     begun = staged.where(F.col(service).isNotNull()).join(starts, [service, SLICE], "left")
-    out = ", ".join(f"`{c}` {kind[c]}" for c in attempts.columns) + ", allowed boolean, state string"
+    out = ", ".join(f"`{c}` {kind[c]}" for c in columns) + ", allowed boolean, state string"
     return begun.groupBy(SLICE).applyInPandas(replay, out)

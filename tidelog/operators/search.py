@@ -57,8 +57,8 @@ def search_total(records: DataFrame, topic: str, filters: dict | None = None) ->
 class BucketIndex:
     """Records filed under the buckets their embedding falls into, one per table of sign hyperplanes.
 
-    Stored partitioned by table and bucket: a search reads the folders its query falls into and scores
-    only those records. More tables find more of the true neighbours; more bits read less.
+    Stored by table and in bucket order: a search reads, per table, the row groups of the bucket its query
+    falls into and scores only those records. More tables find more of the true neighbours; more bits read less.
     """
 
     def __init__(self, spark: SparkSession, path: str, dims: int, tables: int = 8, bits: int = 6):
@@ -75,14 +75,16 @@ class BucketIndex:
         )
 
     def build(self, records: DataFrame, embedding: str = "embedding") -> "BucketIndex":
-        # A bucket may hold any share of the records: a salt spreads each over many tasks and files.
-        spread = F.pmod(F.xxhash64("partition", "offset"), F.lit(16))
+        # Range partitioning splits a bucket by hash wherever it is too full for one task; sorted files
+        # let a search skip the row groups of other buckets.
+        spread = F.xxhash64("partition", "offset")
         (
             self.filed(records, embedding)
-            .withColumn("_salt", spread)
-            .repartition("tbl", "bucket", "_salt")
-            .drop("_salt")
-            .write.mode("append").partitionBy("tbl", "bucket").parquet(self.path)
+            .withColumn("_spread", spread)
+            .repartitionByRange("tbl", "bucket", "_spread")
+            .sortWithinPartitions("tbl", "bucket")
+            .drop("_spread")
+            .write.mode("append").partitionBy("tbl").parquet(self.path)
         )
         self.schema = self.filed(records, embedding).schema
         return self

@@ -48,11 +48,11 @@ def register_topics(log: TopicLog, function: str = "topic") -> SparkSession:
     log.scan().createOrReplaceTempView(f"{function}_records")
     spark.sql(
         f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {function}(name STRING)
+        CREATE OR REPLACE TEMPORARY FUNCTION {function}(topic_name STRING)
         RETURNS TABLE(topic STRING, `partition` INT, `offset` BIGINT, `timestamp` BIGINT, `key` STRING,
                       value {log.schema['value'].dataType.simpleString()}, headers MAP<STRING, BINARY>)
         RETURN SELECT topic, `partition`, `offset`, `timestamp`, `key`, value, headers
-               FROM {function}_records WHERE topic = {function}.name
+               FROM {function}_records WHERE topic = topic_name
         """
     )
     return spark
