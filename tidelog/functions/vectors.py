@@ -55,7 +55,7 @@ def sign_planes(dims: int, tables: int, bits: int) -> np.ndarray:
 def buckets_of(vectors: np.ndarray, planes: np.ndarray) -> np.ndarray:
     """Bucket number per vector and table: bit b is set where the vector is on plane b's positive side."""
     tables, bits, _ = planes.shape
-    side = np.einsum("nd,tbd->ntb", vectors, planes) > 0
+    side = (vectors @ planes.reshape(tables * bits, -1).T > 0).reshape(-1, tables, bits)
     return (side * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.text import not_blank
 from tidelog.operators.ordered import same
+from tidelog.session import store
 from tidelog.sources.topic_log import TopicLog
 
 ACTIVE, DISCARDED, MERGED = "active", "discarded", "merged"
@@ -110,12 +111,14 @@ def branch_get(branches: DataFrame, own_records: DataFrame, branch_id: str) -> D
 def branch_read(branches: DataFrame, base: DataFrame, own_records: DataFrame) -> DataFrame:
     """All records visible in each branch that is not discarded, with branch_id first.
 
-    The lineage is small; the records are scanned once and matched on (source, partition).
+    The records are scanned once and matched on (source, partition). The lineage has one row per
+    branch, ancestor and partition; stored, it has a size by which the planner can broadcast it, which it
+    could not guess for a recursion.
     """
     live = branches.where(F.col("state") != DISCARDED).select("branch_id").distinct()
     lineage = branch_lineage(branches).join(live, "branch_id", "left_semi")
     records = base.unionByName(own_records)
-    seen = lineage.select("branch_id", F.col("source").alias("topic"), "partition", "upto")
+    seen = store(lineage.select("branch_id", F.col("source").alias("topic"), "partition", "upto"), "lineage")
     visible = seen["upto"].isNull() | (records["offset"] < seen["upto"])
     return records.join(seen, same(records, seen, ["topic", "partition"]) & visible).select(
         "branch_id", *[records[c] for c in records.columns if c != "topic"]

@@ -13,7 +13,7 @@ few results gives the true state at each cut, and then all slices are replayed s
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
@@ -63,35 +63,45 @@ def after(state: State, at: int, ok: bool, limits: Limits) -> tuple[State, bool]
     return State(CLOSED, failures=failures + 1), True
 
 
-def results_by_start(times: Iterable[int], oks: Iterable[bool], limits: Limits) -> str:
-    """What each state a slice may begin in becomes, as JSON: {"known": [[start, end]], "open": [[from, to, end]]}.
+class StartRun:
+    """Runs a slice of attempts from every state it may begin in.
 
     A breaker that is open at the cut sleeps until the first attempt `open_ms` after a failure before the
-    cut. Such starts are told by the time of the attempt that wakes them, in ranges of equal ends. An
-    open start that no attempt wakes stays as it is.
+    cut. Such starts are told by the time of the attempt that wakes them. Runs that reach the same state
+    go on as one, so there are never more than a few.
     """
-    starts = [State(CLOSED, failures=n) for n in range(limits.failures)]
-    starts += [State(HALF_OPEN, successes=s, probes=s) for s in range(1, limits.successes)]
-    runs: dict[State, list] = {s: [s] for s in starts}
-    first = before = None
-    for at, ok in zip(times, oks):
-        first = at if first is None else first
+
+    def __init__(self, limits: Limits):
+        self.limits = limits
+        starts = [State(CLOSED, failures=n) for n in range(limits.failures)]
+        starts += [State(HALF_OPEN, successes=s, probes=s) for s in range(1, limits.successes)]
+        self.runs: dict[State, list] = {s: [s] for s in starts}
+        self.first: int | None = None
+        self.before: int | None = None
+
+    def add(self, at: int, ok: bool) -> None:
+        limits = self.limits
         moved: dict[State, list] = {}
-        for state, origins in runs.items():
+        for state, origins in self.runs.items():
             _join(moved, after(state, at, ok, limits)[0], origins)
-        if before is None or before < min(at, first + limits.open_ms):
+        self.first = at if self.first is None else self.first
+        if self.before is None or self.before < min(at, self.first + limits.open_ms):
             woken = after(State(OPEN, failed_at=at - limits.open_ms), at, ok, limits)[0]
             _join(moved, woken, [at])
-        runs, before = moved, at
-    ends = [(origin, end) for end, origins in runs.items() for origin in origins]
-    known = [[start, end] for start, end in ends if isinstance(start, State)]
-    ranges: list[list] = []
-    for at, end in sorted((o, e) for o, e in ends if not isinstance(o, State)):
-        if ranges and ranges[-1][2] == end:
-            ranges[-1][1] = at
-        else:
-            ranges.append([at, at, end])
-    return json.dumps({"known": known, "open": ranges})
+        self.runs, self.before = moved, at
+
+    def results(self) -> str:
+        """JSON: {"known": [[start, end]], "open": [[from, to, end]]}, wakening times in ranges of equal
+        ends. An open start that no attempt wakes stays as it is."""
+        ends = [(origin, end) for end, origins in self.runs.items() for origin in origins]
+        known = [[start, end] for start, end in ends if isinstance(start, State)]
+        ranges: list[list] = []
+        for at, end in sorted((o, e) for o, e in ends if not isinstance(o, State)):
+            if ranges and ranges[-1][2] == end:
+                ranges[-1][1] = at
+            else:
+                ranges.append([at, at, end])
+        return json.dumps({"known": known, "open": ranges})
 
 
 def _join(runs: dict[State, list], state: State, origins: list) -> None:
@@ -115,23 +125,38 @@ def carried(state: State, results: str, limits: Limits) -> State:
 
 def breaker_states(
     attempts: DataFrame, service: str, at: str, order: list[str], failed: Column,
-    limits: Limits = Limits(), slice_rows: int = 2_000_000,
+    limits: Limits = Limits(), slices: int | None = None,
 ) -> DataFrame:
     """Attempts with `allowed` and `state`, the breaker's state after the attempt.
 
     at: time in epoch ms; order: the columns that put a service's attempts in a unique order, by time first.
+    Rows pass through Python in Arrow batches, in order; no slice has to fit into memory.
     """
-    slices = attempts.count() // slice_rows + 1
-    staged = sliced(attempts.withColumn("_ok", ~failed), [service], order, slices)
+    named = attempts.where(F.col(service).isNotNull()).withColumn("_ok", ~failed)
+    staged = sliced(named, [service], order, slices)
     kind, columns = dict(staged.dtypes), attempts.columns
 
     spans = staged.groupBy(service).agg(F.min(SLICE).alias("_lo"), F.max(SLICE).alias("_hi"))
     cut = store(spans.where("_lo < _hi").select(service), "cut")  # at most one new service per slice bound
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        told = results_by_start(pdf[at].tolist(), pdf["_ok"].tolist(), limits)
-        return pd.DataFrame({service: pdf[service].iloc[:1], SLICE: pdf[SLICE].iloc[:1], "results": [told]})
+    def by_slice(df: DataFrame) -> DataFrame:
+        return df.repartition(SLICE).sortWithinPartitions(SLICE, POS)
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, run = None, None
+        for pdf in batches:
+            for key, part in pdf.groupby([SLICE, service], sort=False):
+                if key != current:
+                    if run is not None:
+                        yield told(current, run)
+                    current, run = key, StartRun(limits)
+                for when, ok in zip(part[at].tolist(), part["_ok"].tolist()):
+                    run.add(when, ok)
+        if run is not None:
+            yield told(current, run)
+
+    def told(key: tuple, run: StartRun) -> pd.DataFrame:
+        return pd.DataFrame({SLICE: [key[0]], service: [key[1]], "results": [run.results()]})
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         state, starts = State(), []
@@ -141,26 +166,25 @@ def breaker_states(
             state = carried(state, results, limits)
         return pdf[[service, SLICE]].assign(_start=starts)
 
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        states, allowed, current, state = [], [], object(), State()
-        for who, start, when, ok in zip(pdf[service], pdf["_start"], pdf[at], pdf["_ok"]):
-            if who != current:
-                current, state = who, State(*json.loads(start)) if start else State()
-            state, let = after(state, when, ok, limits)
-            states.append(state.mode)
-            allowed.append(let)
-        return pdf[columns].assign(allowed=allowed, state=states)
-
-    narrow = staged.select(service, at, "_ok", SLICE, POS).where(F.col(service).isNotNull())
-    results = (
-        narrow.join(cut, service, "left_semi")
-        .groupBy(SLICE, service)
-        .applyInPandas(summarise, f"{service} {kind[service]}, {SLICE} int, results string")
-    )
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state = None, State()
+        for pdf in batches:
+            states, allowed = [], []
+            rows = zip(pdf[SLICE].tolist(), pdf[service].tolist(), pdf["_start"], pdf[at].tolist(), pdf["_ok"].tolist())
+            for cut_at, who, start, when, ok in rows:
+                if (cut_at, who) != current:
+                    current, state = (cut_at, who), State(*json.loads(start)) if start else State()
+                state, let = after(state, when, ok, limits)
+                states.append(state.mode)
+                allowed.append(let)
+            yield pdf[columns].assign(allowed=allowed, state=states)
+
+    narrow = staged.select(service, at, "_ok", SLICE, POS).join(cut, service, "left_semi")
+    results = by_slice(narrow).mapInPandas(summarise, f"{SLICE} int, `{service}` {kind[service]}, results string")
     starts = store(
-        results.groupBy(service).applyInPandas(chain, f"{service} {kind[service]}, {SLICE} int, _start string"), "starts"
+        # One row per slice of a service.
+        results.groupBy(service).applyInPandas(chain, f"`{service}` {kind[service]}, {SLICE} int, _start string"), "starts"
     )
-    begun = staged.where(F.col(service).isNotNull()).join(starts, [service, SLICE], "left")
+    begun = staged.join(starts, [service, SLICE], "left")
     out = ", ".join(f"`{c}` {kind[c]}" for c in columns) + ", allowed boolean, state string"
-    return begun.groupBy(SLICE).applyInPandas(replay, out)
+    return by_slice(begun).mapInPandas(replay, out)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import store
+
 
 def list_topics(records: DataFrame) -> DataFrame:
     """Topics with their partition and record counts. Reads folder names and row counts only."""
@@ -45,12 +47,16 @@ def commit_offsets(path: str, group_id: str | None, positions: DataFrame, commit
 
 
 def current_commits(commits: DataFrame) -> DataFrame:
-    """The latest commit per group, topic and partition."""
-    return (
-        commits.groupBy("group_id", "topic", "partition")
-        .agg(F.max(F.struct("committed_at", "offset")).alias("c"))
-        .select("group_id", "topic", "partition", F.col("c.offset").alias("offset"), F.col("c.committed_at").alias("committed_at"))
-    )
+    """The latest commit per group, topic and partition; of commits at one time, the highest offset.
+
+    Two hash aggregates and a join with the small table between them: the highest (time, offset) pair
+    in one aggregate would have every task sort its rows first.
+    """
+    keys = ["group_id", "topic", "partition"]
+    newest = store(commits.groupBy(*keys).agg(F.max("committed_at").alias("committed_at")), "newest")
+    return commits.join(newest, [*keys, "committed_at"]).groupBy(*keys, "committed_at").agg(
+        F.max("offset").alias("offset")
+    ).select(*keys, "offset", "committed_at")
 
 
 def list_consumer_groups(commits: DataFrame) -> DataFrame:

@@ -66,10 +66,10 @@ def memory_recall(
 
     requests: one row per `scope` value, with its query. scope is "agent_id", or "namespace" for
     memories shared by all agents of a namespace. score compares `content` with `query`; by default it
-    is the cosine of their words.
+    is the cosine of their words, a query being split once and a memory's content once per request.
     """
-    score = word_cosine(words(F.col("content")), words(F.col("query"))) if score is None else score
-    requests = requests.where(not_blank(F.col(scope)) & not_blank(F.col("query"))).select(scope, "query")
+    asked = [scope, "query", words(F.col("query")).alias("_asked")] if score is None else [scope, "query"]
+    requests = requests.where(not_blank(F.col(scope)) & not_blank(F.col("query"))).select(*asked)
     if bounded(requests, REQUEST_ROWS):
         hits = memories.join(F.broadcast(requests), scope)
     else:
@@ -77,7 +77,10 @@ def memory_recall(
         salted = requests.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64("topic", "offset"), F.lit(SALTS)).cast("int")
         hits = memories.withColumn("_salt", salt).join(salted, [scope, "_salt"]).drop("_salt")
-    hits = hits.withColumn("score", score).drop("query")
+    if score is None:
+        hits = hits.withColumn("_told", words(F.col("content")))
+        score = word_cosine(F.col("_told"), F.col("_asked"))
+    hits = hits.withColumn("score", score).drop("query", "_asked", "_told")
     return best_of(hits, EPISODIC, scope, k_episodic or DEFAULT_K).unionByName(
         best_of(hits, SEMANTIC, scope, k_semantic or DEFAULT_K)
     )

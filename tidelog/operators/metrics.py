@@ -124,13 +124,12 @@ def failure_streaks(
     marked = ordered_scan(
         outcomes.withColumn("_failed", failed), [service], order, number="_place", sums={"_run": success}
     )
-    first, last = (F.min(F.struct(*order)), F.max(F.struct(*order)))
     return (
         marked.where("_failed")
         .groupBy(service, "_run")
         .agg(
             F.count("*").alias("failures"), F.min("_place").alias("first_place"),
-            first.getField(order[0]).alias("started"), last.getField(order[0]).alias("ended"),
+            F.min(order[0]).alias("started"), F.max(order[0]).alias("ended"),
         )
         .where(F.col("failures") >= threshold)
         .drop("_run")

@@ -19,9 +19,23 @@ SLICE = "_slice"
 POS = "_pos"
 
 
+SLICE_BYTES = 1 << 30
+MAX_SLICES = 20_000  # the driver sees a sample of keys for each when the bounds are drawn
+
+
+def slices_for(df: DataFrame) -> int | None:
+    """How many slices keep each near SLICE_BYTES, by the planner's estimate of df; None if the session's
+    own number of shuffle partitions will do (which adaptive execution may then lower)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(size // SLICE_BYTES, MAX_SLICES)
+    return wanted if wanted > usual else None
+
+
 def sliced(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None) -> DataFrame:
     """df stored in (keys, order) order, with its slice number and its place in the slice."""
     by = [*keys, *order]
+    slices = slices or slices_for(df)
     ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
     return store(
         ranged.sortWithinPartitions(*by)
