@@ -1,0 +1,72 @@
+import json
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tidelog.operators.breaker import CLOSED, HALF_OPEN, OPEN, Limits, StartRun, State, after, breaker_states, carried
+
+LIMITS = Limits(failures=3, successes=2, open_ms=50, probes=2)
+
+
+def replay(events, limits, state=State()):
+    out = []
+    for at, ok in events:
+        state, let = after(state, at, ok, limits)
+        out.append((let, state.mode))
+    return out, state
+
+
+def test_states():
+    modes, _ = replay([(0, False), (1, False), (2, True), (3, False), (4, False), (5, False), (30, True), (60, True), (61, True)], LIMITS)
+    assert [m for _, m in modes] == [CLOSED] * 5 + [OPEN, OPEN, HALF_OPEN, CLOSED]
+    assert [let for let, _ in modes] == [True] * 6 + [False, True, True]
+    reopened, state = replay([(0, False), (0, False), (0, False), (50, False), (99, True)], LIMITS)
+    assert [m for _, m in reopened][2:] == [OPEN, OPEN, OPEN] and state.failed_at == 50
+    stuck, _ = replay([(0, False)] * 3 + [(50, True), (51, True), (52, True)], Limits(3, 5, 50, 2))
+    assert [let for let, _ in stuck][3:] == [True, True, False]
+    assert Limits() == (5, 2, 30_000, 3)
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 40), st.booleans()), max_size=60), st.integers(0, 60),
+    st.sampled_from([LIMITS, Limits(1, 1, 30, 1), Limits(2, 4, 20, 2), Limits(4, 3, 100, 9)]),
+)
+def test_a_cut_anywhere_gives_the_same(gaps, cut, limits):
+    at, events = 0, []
+    for gap, ok in gaps:
+        at += gap
+        events.append((at, ok))
+    whole, _ = replay(events, limits)
+    head, tail = events[:cut], events[cut:]
+    state = State()
+    for part in (head, tail):
+        if not part:
+            continue
+        run = StartRun(limits)
+        for when, ok in part:
+            run.add(when, ok)
+        told, end = replay(part, limits, state)
+        assert carried(State(*json.loads(json.dumps(state))), run.results(), limits) == end
+        state = end
+    assert replay(head, limits)[0] + replay(tail, limits, replay(head, limits)[1])[0] == whole
+
+
+@pytest.mark.parametrize("slices", [1, 6])
+def test_slices_equal_sequence(spark, slices):
+    rnd = random.Random(slices)
+    data, at = [], 0
+    for i in range(1500):
+        at += rnd.randint(0, 20)
+        data.append((rnd.choice(["hot"] * 8 + ["a", "b", "c"]), at, i, rnd.random() < 0.6))
+    df = spark.createDataFrame(data, "service string, at bigint, seq bigint, failed boolean").repartition(4)
+    out = breaker_states(df, "service", "at", ["at", "seq"], F.col("failed"), LIMITS, slices)
+    got = {r.seq: (r.allowed, r.state) for r in out.collect()}
+    wanted = {}
+    for service in {d[0] for d in data}:
+        mine = [d for d in data if d[0] == service]
+        told, _ = replay([(d[1], not d[3]) for d in mine], LIMITS)
+        wanted |= {d[2]: t for d, t in zip(mine, told)}
+    assert got == wanted and {s for _, s in got.values()} == {CLOSED, OPEN, HALF_OPEN}
