@@ -67,15 +67,16 @@ def run(spark: SparkSession, request: QueryRequest) -> QueryResult:
     """Run SQL text; at most max_rows rows come to the driver, and no later than timeout_ms."""
     tag = f"query-{uuid.uuid4().hex}"
     late = threading.Event()
+    sc = spark.sparkContext
 
     def stop() -> None:
         late.set()
-        spark.interruptTag(tag)
+        sc.cancelJobsWithTag(tag)
 
     begun = time.monotonic()
     timer = threading.Timer(request.timeout_ms / 1000, stop)
     timer.daemon = True
-    spark.addTag(tag)
+    sc.addJobTag(tag)
     timer.start()
     try:
         df = spark.sql(request.sql, args=request.parameters or None)
@@ -87,7 +88,7 @@ def run(spark: SparkSession, request: QueryRequest) -> QueryResult:
         raise
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        sc.removeJobTag(tag)
     kept = [list(row) for row in rows[: request.max_rows]]
     return QueryResult(
         columns=[(f.name, f.dataType.simpleString().upper()) for f in df.schema],
