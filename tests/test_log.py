@@ -151,6 +151,19 @@ def test_seek(spark, log):
     assert reads.inspect_messages(records, 9, 5).isEmpty()
 
 
+def test_dense_logs_are_read_in_part(spark, log):
+    log.append(keyed(spark, 90), partitions=3, arrival=["timestamp"])
+    records = log.scan("t")
+    assert reads.poll_limit(records, 35, dense=True).collect() == reads.poll_limit(records, 35).collect()
+    part = records.first().partition
+    assert reads.inspect_messages(records, part, 4, 3, dense=True).collect() == reads.inspect_messages(records, part, 4, 3).collect()
+    assert reads.inspect_messages(records, part, 4, dense=True).count() == 4
+    whole, pruned = reads.key_filter(records, "user-3"), reads.key_filter(records, "user-3", 3)
+    assert sorted(whole.select("offset").collect()) == sorted(pruned.select("offset").collect()) and whole.count() > 0
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition" in plan and "LessThan" not in plan
+
+
 def test_oversize_counts_bytes_and_nulls(spark):
     df = spark.createDataFrame([("k", "é" * 4), (None, None), ("", "x" * 9)], "key string, value string")
     got = [(r.size, r.accepted) for r in writes.reject_oversize(df, 9).collect()]

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.routing import hash_partition
+
 EARLIEST, LATEST = "earliest", "latest"
 BEGINNING, END = 0, -1
 DEFAULT_MAX_POLL_RECORDS = 500
@@ -56,13 +58,26 @@ def partition_select(
     return records
 
 
-def poll_limit(records: DataFrame, max_records: int = DEFAULT_MAX_POLL_RECORDS) -> DataFrame:
-    """The first max_records by partition and offset."""
+def poll_limit(records: DataFrame, max_records: int = DEFAULT_MAX_POLL_RECORDS, dense: bool = False) -> DataFrame:
+    """The first max_records by partition and offset.
+
+    dense: the offsets of each partition are 0, 1, 2, ..., as a topic log has them. Then no offset from
+    max_records on can be among them, and the scan skips the row groups behind.
+    """
+    if dense:
+        records = records.where(F.col("offset") < max_records)
     return records.orderBy("partition", "offset").limit(max_records)
 
 
-def inspect_messages(records: DataFrame, partition: int, limit: int, offset: int | None = None) -> DataFrame:
-    """Up to `limit` messages of one partition, from an offset on, with headers as text."""
+def inspect_messages(
+    records: DataFrame, partition: int, limit: int, offset: int | None = None, dense: bool = False
+) -> DataFrame:
+    """Up to `limit` messages of one partition, from an offset on, with headers as text.
+
+    dense: as for poll_limit; only the row groups that hold the messages are then read.
+    """
+    if dense:
+        records = records.where(F.col("offset") < (offset or 0) + limit)
     chosen = records.where(F.col("partition") == partition)
     if offset is not None:
         chosen = chosen.where(F.col("offset") >= offset)
@@ -80,5 +95,12 @@ def _message():
     return ["partition", "offset", "timestamp", "key", "value", shown.alias("headers")]
 
 
-def key_filter(records: DataFrame, key: str) -> DataFrame:
+def key_filter(records: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Records with the key.
+
+    partitions: the topic's number of partitions, if all its records were routed by key; then only the
+    folder the key belongs to is read.
+    """
+    if partitions is not None:
+        records = records.where(F.col("partition") == hash_partition(F.lit(key), partitions))
     return records.where(F.col("key") == key)

@@ -45,14 +45,21 @@ def counters(messages: str) -> str:
   count(*) FILTER (op = 'error') AS errors_total"""
 
 
+def average(op: str) -> str:
+    """Average latency in whole numbers: cents summed up, the mean rounded half up to millionths."""
+    n, cents = f"count(*) FILTER (op = '{op}')", f"sum(CAST(round(latency_ms * 100) AS BIGINT)) FILTER (op = '{op}')"
+    return f"coalesce(((CAST({cents} AS BIGINT) * 20000 + {n}) // (2 * {n})) / 1000000.0, 0.0)"
+
+
 @query("client_metrics", f"""
 {OPS} SELECT client, {counters('messages')},
-  round(coalesce(avg(latency_ms) FILTER (op = 'produce'), 0.0), 6) AS produce_latency_avg_ms,
-  round(coalesce(avg(latency_ms) FILTER (op = 'consume'), 0.0), 6) AS consume_latency_avg_ms
+  {average('produce')} AS produce_latency_avg_ms, {average('consume')} AS consume_latency_avg_ms
 FROM ops GROUP BY client
 """)
 def client_metrics(spark, sf_dir):
-    out = metrics.client_metrics(operations(spark, sf_dir), ["client"])
+    """Latencies are summed as decimals, so that the averages do not hang on the order of the rows."""
+    ops = operations(spark, sf_dir).withColumn("latency_ms", F.col("latency_ms").cast("decimal(18,2)"))
+    out = metrics.client_metrics(ops, ["client"])
     return out.withColumns({c: F.round(c, 6) for c in ("produce_latency_avg_ms", "consume_latency_avg_ms")})
 
 

@@ -73,7 +73,7 @@ def partition_select(spark, sf_dir):
 
 @query("poll_limit", f'WITH {ELOG} SELECT {RECORD} FROM elog ORDER BY "partition", "offset" LIMIT 500')
 def poll_limit(spark, sf_dir):
-    return reads.poll_limit(events(spark, sf_dir)).select(*PLAIN)
+    return reads.poll_limit(events(spark, sf_dir), dense=True).select(*PLAIN)
 
 
 @query("inspect_messages", f"""
@@ -81,7 +81,7 @@ WITH {ELOG} SELECT "partition", "offset", "timestamp", "key", payload AS "value"
 WHERE "partition" = 1 AND "offset" >= 10 ORDER BY "offset" LIMIT 20
 """)
 def inspect_messages(spark, sf_dir):
-    return with_headers(reads.inspect_messages(events(spark, sf_dir), 1, 20, offset=10))
+    return with_headers(reads.inspect_messages(events(spark, sf_dir), 1, 20, offset=10, dense=True))
 
 
 @query("latest_messages", f"""
@@ -99,7 +99,7 @@ def with_headers(messages: DataFrame) -> DataFrame:
 
 @query("key_filter", f"""WITH {ELOG} SELECT {RECORD} FROM elog WHERE "key" = '8'""")
 def key_filter(spark, sf_dir):
-    return reads.key_filter(events(spark, sf_dir), "8").select(*PLAIN)
+    return reads.key_filter(events(spark, sf_dir), "8", PARTITIONS).select(*PLAIN)
 
 
 # -- writes -----------------------------------------------------------------------------------------

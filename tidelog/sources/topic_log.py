@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidelog.functions.routing import route
 from tidelog.operators.ordered import ordered_scan
+from tidelog.session import store
 
 HEADERS = T.MapType(T.StringType(), T.BinaryType())
 
@@ -147,6 +148,8 @@ class TopicLog:
             .sortWithinPartitions("topic", "partition", "offset")
             .write.partitionBy("topic", "partition")
             .option("compression", CODECS[compression])
+            # Row groups hold many keys each, so their ranges say little about a key; bloom filters do.
+            .option("parquet.bloom.filter.enabled#key", "true")
             .parquet(data)
         )
         body = T.StructType([f for f in self.schema if f.name != "txn"])
@@ -177,7 +180,7 @@ class TopicLog:
 
     def _publish(self, entries: DataFrame) -> None:
         # One small file: it is either there or not. entries has one row per topic-partition written.
-        entries = entries.coalesce(1)
+        entries = store(entries, "entries").coalesce(1)
         late = entries.join(self.end_offsets().withColumnRenamed("end_offset", "_end"), ["topic", "partition"])
         if not late.where("_end > first_offset").isEmpty():
             raise ConcurrentAppend(f"another writer has appended to {self.root}")
