@@ -101,6 +101,15 @@ def test_p99_index(spark, n, index):
     assert (row.latency, row.n) == (float(index), n)
 
 
+def test_quantile_of_repeated_values(spark):
+    data = [("a", 5.0)] * 60 + [("a", float(i)) for i in range(40)] + [("b", 1.0)] * 7 + [("a", None)]
+    df = spark.createDataFrame(data, "op string, ms double").repartition(4)
+    for fraction in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {r.op: (r.latency, r.n) for r in metrics.latency_quantile(df, ["op"], "ms", fraction).collect()}
+        mine = sorted(v for k, v in data if k == "a" and v is not None)
+        assert got == {"a": (mine[min(int(fraction * 100), 99)], 100), "b": (1.0, 7)}
+
+
 def test_throughput(spark):
     df = spark.createDataFrame([("a", 0), ("a", 2000), ("b", 5)], "topic string, timestamp bigint")
     got = {r.topic: r.messages_per_second for r in metrics.throughput(df).collect()}

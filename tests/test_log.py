@@ -20,6 +20,15 @@ def test_dense_offsets_over_two_appends(spark, log):
     assert ends == {r.partition: len(r.o) for r in got}
 
 
+def test_manifest_knows_what_a_scan_finds(spark, log):
+    from tidelog.operators.catalog import describe_topic
+
+    for n in (30, 20):
+        log.append(keyed(spark, n), partitions=3, arrival=["timestamp"])
+    log.append(keyed(spark, 5, "other"))
+    assert sorted(log.describe().collect()) == sorted(describe_topic(log.scan()).collect())
+
+
 def test_same_key_same_partition_and_explicit_wins(spark, log):
     records = keyed(spark, 40).withColumn("partition", F.when(F.col("timestamp") >= 35, F.lit(5)))
     log.append(records, partitions=3, arrival=["timestamp"])

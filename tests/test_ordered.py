@@ -40,6 +40,14 @@ def test_a_hot_group_is_cut(spark):
     assert len(sizes) >= 8 and max(r["count"] for r in sizes) < 700
 
 
+def test_rows_of_one_time_are_cut_too(spark):
+    df = spark.range(2000).select(F.lit("k").alias("k"), F.lit(1).alias("t"), "id").repartition(4)
+    sizes = [r["count"] for r in sliced(df, ["k"], ["t"], 8).groupBy(SLICE).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 800
+    out = ordered_scan(df, ["k"], ["t"], number="n", slices=8)
+    assert sorted(r.n for r in out.collect()) == list(range(2000))
+
+
 def test_numbering_without_keys(spark):
     out = ordered_scan(spark.range(100).repartition(4), [], ["id"], number="n", slices=5)
     assert all(r.id == r.n for r in out.collect())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import ordered_scan, same
+from tidelog.session import store
 
 PRODUCE, CONSUME, ERROR = "produce", "consume", "error"
 
@@ -64,19 +65,20 @@ def latency_quantile(
 ) -> DataFrame:
     """Per group, the value at index min(floor(fraction * n), n - 1) of the sorted values.
 
-    Exact ranks come from slices of the sorted values, so a group of any size is spread over the
-    cluster. exact=False gives an estimate from one map-side aggregate instead.
+    Equal values are counted together before anything is moved; running counts over slices of the
+    sorted values then find the rank, so a group of any size is spread over the cluster. exact=False gives an estimate from one map-side aggregate instead.
     """
     latencies = latencies.where(F.col(value).isNotNull())
     if not exact:
         return latencies.groupBy(*by).agg(
             F.percentile_approx(value, fraction, 10_000).alias("latency"), F.count("*").alias("n")
         )
-    ranked = ordered_scan(latencies.select(*by, value), by, [value], number="_rank")
-    sizes = latencies.groupBy(*by).agg(F.count("*").alias("n")).withColumn(
+    counts = store(latencies.groupBy(*by, value).agg(F.count("*").alias("_n")), "counts")
+    ranked = ordered_scan(counts, by, [value], sums={"_through": F.col("_n")})
+    sizes = counts.groupBy(*by).agg(F.sum("_n").alias("n")).withColumn(
         "_at", F.least(F.floor(F.col("n") * F.lit(fraction)), F.col("n") - 1)
     )
-    hit = same(ranked, sizes, by) & (ranked["_rank"] == sizes["_at"])
+    hit = same(ranked, sizes, by) & (ranked["_through"] > sizes["_at"]) & (ranked["_through"] - ranked["_n"] <= sizes["_at"])
     return ranked.join(sizes, hit, "inner").select(*[ranked[c] for c in by], ranked[value].alias("latency"), sizes["n"])
 
 
@@ -120,10 +122,9 @@ def failure_streaks(
     Within a run, the number of earlier successes does not change, so it names the run. It comes from
     sliced running sums and the runs are aggregated map-side: no service has to fit into one task.
     """
-    success = F.when(failed, 0).otherwise(1).cast("bigint")
-    marked = ordered_scan(
-        outcomes.withColumn("_failed", failed), [service], order, number="_place", sums={"_run": success}
-    )
+    narrow = outcomes.select(service, *order, failed.alias("_failed"))
+    success = F.when(F.col("_failed"), 0).otherwise(1).cast("bigint")
+    marked = ordered_scan(narrow, [service], order, number="_place", sums={"_run": success})
     return (
         marked.where("_failed")
         .groupBy(service, "_run")

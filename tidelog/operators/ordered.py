@@ -17,6 +17,7 @@ from tidelog.session import store
 
 SLICE = "_slice"
 POS = "_pos"
+SPREAD = "_spread"
 
 
 SLICE_BYTES = 1 << 30
@@ -32,13 +33,25 @@ def slices_for(df: DataFrame) -> int | None:
     return wanted if wanted > usual else None
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's content; maps and variants cannot be hashed and are left out."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return F.xxhash64(*[c for c, kind in kinds.items() if "map<" not in kind and "variant" not in kind])
+
+
 def sliced(df: DataFrame, keys: list[str], order: list[str], slices: int | None = None) -> DataFrame:
-    """df stored in (keys, order) order, with its slice number and its place in the slice."""
-    by = [*keys, *order]
+    """df stored in (keys, order) order, with its slice number and its place in the slice.
+
+    Rows of one key and one place in the order may be any number; their hash tells them apart, so that
+    they too can be cut. It comes from the row alone: a task that is run again sends it the same way.
+    """
+    by = [*keys, *order, SPREAD]
     slices = slices or slices_for(df)
-    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
+    spread = df.withColumn(SPREAD, row_hash(df))
+    ranged = spread.repartitionByRange(slices, *by) if slices else spread.repartitionByRange(*by)
     return store(
         ranged.sortWithinPartitions(*by)
+        .drop(SPREAD)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id()),
         "sliced",

@@ -102,6 +102,16 @@ class TopicLog:
         """Next offset to be written, per topic and partition, from the manifest alone."""
         return self.manifest().groupBy("topic", "partition").agg(F.max("end_offset").alias("end_offset"))
 
+    def describe(self) -> DataFrame:
+        """What describe_topic finds out about each topic, from the manifest alone."""
+        return self.manifest().groupBy("topic", "partition").agg(
+            F.min("first_offset").alias("begin_offset"),
+            F.max("end_offset").alias("end_offset"),
+            F.sum("records").alias("records"),
+            F.min("first_timestamp").alias("first_timestamp"),
+            F.max("last_timestamp").alias("last_timestamp"),
+        )
+
     def stream(self, topic: str, **options: str) -> DataFrame:
         """Records of a topic as a stream, each append's files as they are written."""
         reader = self.spark.readStream.schema(self.schema).option("basePath", f"{self.root}/data")
@@ -127,8 +137,10 @@ class TopicLog:
         """
         txn = uuid.uuid4().hex
         ready = self._complete(records, partitions)
-        arrival = arrival or ["_arrived"]
-        ready = ready.withColumn("_arrived", F.monotonically_increasing_id())
+        if not arrival:
+            # Written down, as the order of the input need not be the same when it is computed again.
+            arrival = ["_arrived"]
+            ready = store(ready.withColumn("_arrived", F.monotonically_increasing_id()), "arrived")
         numbered = ordered_scan(ready, ["topic", "partition"], arrival, number="_place")
 
         ends = self.end_offsets()
