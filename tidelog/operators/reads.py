@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.headers import header_count
 from tidelog.functions.routing import hash_partition
 
 EARLIEST, LATEST = "earliest", "latest"
@@ -81,18 +82,25 @@ def inspect_messages(
     chosen = records.where(F.col("partition") == partition)
     if offset is not None:
         chosen = chosen.where(F.col("offset") >= offset)
-    return chosen.orderBy("offset").limit(limit).select(*_message())
+    return _shown(chosen.orderBy("offset").limit(limit))
 
 
 def latest_messages(records: DataFrame, count: int) -> DataFrame:
     """The most recent `count` messages."""
     newest = records.orderBy(F.desc("timestamp"), "partition", F.desc("offset")).limit(count)
-    return newest.select(*_message())
+    return _shown(newest)
 
 
-def _message():
-    shown = F.transform_values("headers", lambda _, v: F.try_validate_utf8(v.cast("string")))
-    return ["partition", "offset", "timestamp", "key", "value", shown.alias("headers")]
+def _shown(messages: DataFrame) -> DataFrame:
+    """The first messages of an order, with headers as text.
+
+    The filter holds nothing back. It keeps projections from being moved below the limit, where they
+    could part it from the sort and have everything sorted instead of the first few kept.
+    """
+    headers = F.transform_values("headers", lambda _, v: F.try_validate_utf8(v.cast("string")))
+    return messages.where(header_count(F.col("headers")) >= 0).select(
+        "partition", "offset", "timestamp", "key", "value", headers.alias("headers")
+    )
 
 
 def key_filter(records: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
