@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -15,6 +17,7 @@ RESULT_SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,9 +25,27 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RESULT_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Executors get it as a file of the application. Workers that Spark starts beside the driver, as for
+    stateful streams, find it by their path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "tidelog")
+    sc.addPyFile(shutil.make_archive(archive, "zip", root_dir=home, base_dir="tidelog"))
+    known = sc.environment.get("PYTHONPATH", "")
+    sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (home, known) if p)
+    _shipped.add(sc.applicationId)
+
+
 def build_session(app: str = "tidelog", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
