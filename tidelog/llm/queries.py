@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.attribution import section_tokens
 from tidelog.llm.decontaminate import contamination
 from tidelog.llm.exact import exact_groups
+from tidelog.llm.html import extract
+from tidelog.llm.langid import held_out, identify, learn_profiles
 from tidelog.llm.lines import drop_repeated_lines
+from tidelog.llm.merkle import audit, lay_out, warc_record
+from tidelog.llm.neardup import near_duplicates
+from tidelog.llm.packing import pack
+from tidelog.llm.pii import KINDS, find_pii, fit_field
 from tidelog.llm.text import documents
 from tidelog.session import configure
 
@@ -36,6 +43,26 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def joined_spans(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op1_pii_spans")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the counts are of the patterns' matches, spans has also what the field adds."""
+    docs = documents(spark, sf_dir)
+    found = find_pii(docs, fit_field(docs))
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    added = (F.size("spans") - F.size("base")).cast("long").alias("n_added")
+    return found.select("doc_id", *counts, F.sha2(joined_spans("base"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"), added)
+
+
+@query("op2_token_attribution")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document's text, and of its source and language, which stand before it."""
+    return section_tokens(documents(spark, sf_dir), ["source", "lang", "text"])
+
+
 @query("op3_exact_dedup", f"""
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS t FROM documents)
@@ -67,6 +94,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op5_curve_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens."""
+    pieces = pack(documents(spark, sf_dir))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that are not held out."""
+    docs = documents(spark, sf_dir)
+    profiles = learn_profiles(docs.where(~held_out()).select("lang", "text"))
+    found = identify(docs, profiles, ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(LOWER.format("coalesce(text, '')"))
 HITS_SQL = f"""
 item_words AS (SELECT item_id, {WORDS} AS w FROM benchmark),
@@ -93,3 +136,67 @@ FROM doc_words d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN found f ON d.
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents."""
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+NEAR_SQL = """
+words AS (SELECT doc_id, regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+') AS w FROM {docs}),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + least({size}, len(w)) - 1], ' ') AS sh, least({size}, len(w)) AS n
+  FROM words, unnest(range(1, greatest(1, len(w) - {size} + 1) + 1)) AS u(s) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n_shingles FROM shingles GROUP BY doc_id),
+both_sizes AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.n = b.n AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM both_sizes JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * n >= {percent} * (x.n_shingles + y.n_shingles - n)),
+reach AS (
+  SELECT doc_id, doc_id AS root FROM {docs}
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id WHERE r.root < l.b),
+grouped AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)"""
+
+
+@query("op8_near_duplicates", f"""
+WITH RECURSIVE {NEAR_SQL.format(lower=LOWER.format("coalesce(text, '')"), size=3, percent=85, docs="documents")}
+SELECT g.doc_id, coalesce(n_shingles, 0) AS n_shingles, component_id, g.doc_id = component_id AS kept
+FROM grouped g LEFT JOIN sizes s ON g.doc_id = s.doc_id
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents by shingles of three words."""
+    return near_duplicates(documents(spark, sf_dir), size=3, percent=85)
+
+
+PER_FILE = 4096
+
+
+@query("op9_merkle_audit", f"""
+WITH records AS (
+  SELECT page_id, 'crawl-' || CAST(page_id // {PER_FILE} AS VARCHAR) AS file, substr(md5(CAST(page_id AS VARCHAR)), 1, 2) AS fate,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head,
+         coalesce(html, '') AS body, chr(13) || chr(10) || chr(13) || chr(10) AS gap FROM pages),
+written AS (SELECT *, head || CAST(strlen(body) AS VARCHAR) || gap || body || gap AS record FROM records),
+placed AS (SELECT *, sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id) - strlen(record) AS start FROM written)
+SELECT file, CAST(start AS BIGINT) AS "offset", sha256(record) AS left_digest,
+       CASE WHEN fate = '07' THEN sha256(head || CAST(strlen(body) AS VARCHAR) || gap || reverse(body) || gap) END AS right_digest,
+       CASE WHEN fate = '07' THEN 'altered' ELSE 'missing' END AS fault
+FROM placed WHERE fate IN ('07', '08')
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archive files, against a replica in which some records are reversed and some lost."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    fate = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
+    records = pages.select(
+        "page_id", F.concat(F.lit("crawl-"), F.floor(F.col("page_id") / PER_FILE).cast("string")).alias("file"), fate.alias("fate"),
+        F.octet_length(warc_record(F.col("url"), F.col("html"))).cast("long").alias("length"), F.sha2(warc_record(F.col("url"), F.col("html")), 256).alias("digest"),
+        F.when(fate == "07", F.sha2(warc_record(F.col("url"), F.reverse("html")), 256)).alias("reversed"),
+    )
+    placed = lay_out(records, "file", ["page_id"], "length")
+    second = placed.where("fate <> '08'").withColumn("digest", F.coalesce("reversed", "digest"))
+    columns = ["file", "offset", "length", "digest"]
+    replicas = placed.select(F.lit("first").alias("replica"), *columns).unionByName(second.select(F.lit("second").alias("replica"), *columns))
+    return audit(replicas, "first", "second")
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    found = extract(spark.read.parquet(f"{sf_dir}/pages.parquet"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
