@@ -21,6 +21,7 @@ K = 128  # coordinates of a signature
 SIGMAS = 5  # how far below its mean the number of equal coordinates of a linked pair may fall
 COUNTERS = 1 << 16  # hashed counts of coordinate values that tell rare from frequent ones
 SHORT = 64  # longest posting list of which all pairs are looked at
+BLOCK = 512  # nodes of a long list that are compared with as many others in one step
 FILTER_BITS = 1 << 20  # of the filter that tells which documents' shingles are wanted again
 
 
@@ -90,17 +91,43 @@ def matching(batches: Iterator[pa.RecordBatch], k: int, least: int) -> Iterator[
             yield batch.select(["a", "b"]).filter(pa.array(enough))
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """(a, b, set of a, of b) to the pairs whose full sets are similar enough."""
     for batch in batches:
-        good = []
-        for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(left, "<u8"), np.frombuffer(right, "<u8")
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(100 * both >= percent * (len(x) + len(y) - both))
+        sets = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+        good = [similar(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in sets]
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def across(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) -> pa.Table:
+    """Two blocks of (node, component, signature, items) to links (a, b) between different components. A link unites two
+    components for the rest of the step, so there are at most as many links as components."""
+    names: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while names.setdefault(x, x) != x:
+            names[x] = x = names[names[x]]
+        return x
+
+    links = []
+    if left.num_rows and right.num_rows:
+        theirs = _matrix(right.column("signature"), k)
+        nodes, groups = right.column("node").to_pylist(), right.column("component").to_pylist()
+        sets = [np.frombuffer(b, "<u8") for b in right.column("items").to_pylist()]
+        for node, group, signature, items in zip(*(left.column(c).to_pylist() for c in ("node", "component", "signature", "items"))):
+            own = np.frombuffer(items, "<u8")
+            for i in np.flatnonzero((theirs == np.frombuffer(signature, "<u4")).sum(axis=1) >= least):
+                if find(group) != find(groups[i]) and similar(own, sets[i], percent):
+                    names[find(group)] = find(groups[i])
+                    links.append((node, nodes[i]))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
 def _bits(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS.bit_length() + 1)).astype(np.int64)
 
@@ -116,43 +143,78 @@ def wanted_sets(batches: Iterator[pa.RecordBatch], size: int, bits: np.ndarray,
         yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["key", "items"])
 
 
-def similar_pairs(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): nodes of `classes` (node, key, rep, n_shingles, signature) whose sets are similar, see near_duplicates."""
-    least = least_matches(k, percent)
-    prefix = k - least + 1
+def posting_lists(classes: DataFrame, k: int, prefix: int) -> DataFrame:
+    """(value, node, rank, n, hub): the stored postings in lists of more than one node, with the list's length and centre."""
     counted = classes.select("signature").mapInArrow(lambda b: count_values(b, k), "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     counts = np.zeros(COUNTERS, np.int64)
     for row in counted.collect():  # COUNTERS rows at most
         counts[row.counter] = row.n
-
     postings = classes.select("node", "signature").mapInArrow(lambda b: post(b, k, prefix, counts), "value long, node long, rank long")
     lists = postings.groupBy("value").agg(F.count("*").alias("n"), F.max("rank").alias("hub")).where("n > 1")
-    live = store(postings.join(lists, "value"), "postings")
+    return store(postings.join(lists, "value"), "postings")
 
-    hubs = live.where(F.col("rank") == F.col("hub")).select("hub", F.col("node").alias("b")).distinct()
-    stars = live.where(F.col("rank") != F.col("hub")).select(F.col("node").alias("a"), "hub").distinct().join(hubs, "hub").select("a", "b")
-    short = live.where(F.col("n") <= SHORT).select("value", "node")
-    close = short.select("value", F.col("node").alias("a")).join(short.select("value", F.col("node").alias("b")), "value").where("a < b").select("a", "b")
-    pairs = stars.unionByName(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
-    def ends(frame: DataFrame, table: DataFrame, column: str) -> DataFrame:
-        for end in ("a", "b"):
-            frame = frame.join(table.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
-        return frame.select("a", "b", f"{column}_a", f"{column}_b")
+def both_ends(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    for end in ("a", "b"):
+        pairs = pairs.join(table.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
+    return pairs.select("a", "b", f"{column}_a", f"{column}_b")
 
-    close = store(ends(pairs, classes, "signature").mapInArrow(lambda b: matching(b, k, least), "a long, b long"), "pairs")
 
-    nodes = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    reps = store(classes.select("node", "key", "rep").join(nodes, "node"), "wanted")
-    slots = reps.where(F.col("rep").isNotNull()).select("rep").mapInArrow(
+def shingle_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, items): the full sets of some nodes, drawn from the texts once more. A filter of fixed size tells which
+    documents may be wanted; as it fills up more texts are read in vain, but the result is the same."""
+    wanted = store(classes.select("node", "key", "rep").join(nodes, "node"), "wanted")
+    slots = wanted.where(F.col("rep").isNotNull()).select("rep").mapInArrow(
         lambda batches: (pa.RecordBatch.from_arrays([pa.array(_bits(b.column(0).cast(pa.int64()).to_numpy()))], ["slot"]) for b in batches), "slot long"
     ).distinct()
     bits = np.zeros(FILTER_BITS, bool)
     bits[[row.slot for row in slots.collect()]] = True  # FILTER_BITS rows at most
-    no_id = not reps.where(F.col("rep").isNull()).isEmpty()
+    no_id = not wanted.where(F.col("rep").isNull()).isEmpty()
     sets = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(lambda b: wanted_sets(b, size, bits, no_id), "key binary, items binary")
-    kept = store(sets.join(reps.select("node", "key"), "key").dropDuplicates(["node"]), "sets")
-    return ends(close, kept, "items").mapInArrow(lambda b: linked(b, percent), "a long, b long")
+    return store(sets.join(wanted.select("node", "key"), "key").dropDuplicates(["node"]).select("node", "items"), "sets")
+
+
+def links_off_centre(lists: DataFrame, centres: DataFrame, classes: DataFrame, sets: DataFrame, groups: DataFrame, k: int, least: int, percent: int) -> DataFrame:
+    """(a, b): links in long lists between nodes that are not yet in one component.
+
+    The nodes of a long list that its centre's component lacks are the query set; they are compared with all nodes of
+    lists of this centre, block by block.
+    """
+    named = lists.where(F.col("n") > SHORT).select("hub", "node").distinct().join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    middle = centres.join(groups.withColumnRenamed("node", "b"), "b", "left").groupBy("hub").agg(F.min(F.coalesce("component", "b")).alias("middle"))
+    members = store(named.join(middle, "hub").withColumn("asks", F.col("component") != F.col("middle")), "members")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    counts = members.groupBy("hub").agg(blocks(F.count("*")).alias("right"), blocks(F.sum(F.col("asks").cast("int"))).alias("left")).where(F.col("left") > 0)
+    full = store(members.join(store(counts, "blocks"), "hub").join(classes.select("node", "signature"), "node").join(sets, "node"), "asked")
+    place = F.xxhash64("node")
+    columns = ["hub", "l", "r", "node", "component", "signature", "items"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asking = full.where("asks").withColumn("l", F.pmod(place, F.col("left")).cast("int")).withColumn("r", every("right")).select(columns)
+    asked = full.withColumn("r", F.pmod(place, F.col("right")).cast("int")).withColumn("l", every("left")).select(columns).toDF(*columns)
+    return asking.groupBy("hub", "l", "r").cogroup(asked.groupBy("hub", "l", "r")).applyInArrow(
+        lambda left, right: across(left, right, k, least, percent), "a long, b long"
+    )
+
+
+def similar_groups(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, component) of the nodes of `classes` (node, key, rep, signature) that have a link, see near_duplicates."""
+    least = least_matches(k, percent)
+    lists = posting_lists(classes, k, k - least + 1)
+    centres = lists.where(F.col("rank") == F.col("hub")).select("hub", F.col("node").alias("b")).distinct()
+    stars = lists.where(F.col("rank") != F.col("hub")).select(F.col("node").alias("a"), "hub").distinct().join(centres, "hub").select("a", "b")
+    short = lists.where(F.col("n") <= SHORT).select("value", "node")
+    close = short.select("value", F.col("node").alias("a")).join(short.select("value", F.col("node").alias("b")), "value").where("a < b").select("a", "b")
+    pairs = stars.unionByName(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    likely = store(both_ends(pairs, classes, "signature").mapInArrow(lambda b: matching(b, k, least), "a long, b long"), "pairs")
+
+    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lists.where(F.col("n") > SHORT).select("node")).distinct()
+    sets = shingle_sets(docs, classes, nodes, size, id_col, text_col)
+    links = both_ends(likely, sets, "items").mapInArrow(lambda b: linked(b, percent), "a long, b long")
+    groups = store(components(links), "groups")
+    more = store(links_off_centre(lists, centres, classes, sets, groups, k, least, percent), "links")
+    if more.isEmpty():
+        return groups
+    return components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def near_duplicates(
@@ -168,18 +230,16 @@ def near_duplicates(
 
     Equal sets become one node first, so copies never meet as pairs. A node is posted under the rarest `prefix` of its
     k coordinate-value pairs: two nodes with at least `least` equal coordinates share one of these, whatever they are.
-    The other, more frequent coordinates are not merged; they are compared once a pair has been found. In every list each node is
-    paired with the most central node (the one whose values are the most frequent, such as the origin of many copies), and in
-    lists of up to SHORT nodes with all others. Nodes of a long list that are linked with one another but not with its centre
-    differ from the centre in the same places, so they also share values that the centre lacks, in lists of their own.
-    Pairs with enough equal coordinates are then verified on the full sets.
+    The other, more frequent coordinates are not merged; they are compared once a pair has been found. In every list each
+    node is paired with the most central one (whose values are the most frequent, such as the origin of many copies), and
+    in lists of up to SHORT nodes with all others. Pairs with enough equal coordinates are verified on the full sets. The
+    nodes of long lists that this leaves outside their centre's component are then compared with all others there, in blocks.
     """
     signed = store(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
         lambda b: sign(b, k, size), f"doc_id {type_of(docs, id_col)}, n_shingles long, key binary, signature binary"), "signatures")
     classes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
     classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    edges = similar_pairs(docs, classes, size, percent, k, id_col, text_col)
-    groups = components(edges)
+    groups = similar_groups(docs, classes, size, percent, k, id_col, text_col)
     named = classes.select("node", "key", "rep").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = store(named.join(least, "component").select(F.col("key").alias("_key"), "component_id"), "components")
