@@ -18,6 +18,7 @@ LABELS = ("none", *KINDS)
 TRAIN_DOCS = 20_000  # documents that the field is fitted on, those with the least hash of their id
 ROUNDS = 30  # most sweeps of messages
 DAMPING = 0.3
+BOUND = 6  # of a pair's weight
 SURE = 0.6  # least marginal of a label that makes a span
 
 # The patterns of the four kinds. A leading look-behind only says where a leftmost match can begin.
@@ -129,7 +130,8 @@ class Field:
     @classmethod
     def fit(cls, tokens: list[tuple[int, int, int]], pairs: list[tuple[str, int, int, int]]) -> "Field":
         """Piecewise: a softmax over tokens (bits, label, n), and for each kind of edge how much more often two labels meet
-        than by chance, from (edge, label, label, n)."""
+        than by chance, from (edge, label, label, n). Where a token without a label is like one with a label, its own is
+        not known, so skip edges learn from the other pairs, and expect equal labels beforehand."""
         rows = [(b, y, n) for b, y, n in tokens if n]
         weights = np.zeros((N_FEATURES + 1, len(LABELS)))
         if rows:
@@ -142,13 +144,15 @@ class Field:
                 weights = weights + speed
         tables = []
         for edge in ("chain", "skip"):
-            seen = np.full((len(LABELS), len(LABELS)), 0.1)
+            seen = 0.1 + (5 * np.eye(len(LABELS)) if edge == "skip" else 0)
+            seen = seen * np.ones((len(LABELS), len(LABELS)))
             for _, a, b, n in (p for p in pairs if p[0] == edge):
-                seen[a, b] += n
+                if edge == "chain" or (a > 0) == (b > 0):
+                    seen[a, b] += n
             if edge == "skip":
                 seen = seen + seen.T
             seen /= seen.sum()
-            tables.append(np.clip(np.log(seen / np.outer(seen.sum(1), seen.sum(0))), -4, 4))
+            tables.append(np.clip(np.log(seen / np.outer(seen.sum(1), seen.sum(0))), -BOUND, BOUND))
         return cls(weights, *tables)
 
     def marginals(self, bits: np.ndarray, known: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
