@@ -17,7 +17,8 @@ def frequent_digests(digests: DataFrame, tracked: int = TRACKED, heavy: int = HE
     """At most `heavy` candidates, one row each: a Misra-Gries sketch (the built-in frequent-items aggregate)
     per partition, merged in two steps so that no task receives the sketches of all partitions."""
     part = digests.groupBy((F.spark_partition_id() % GROUPS).alias("_part"))
-    sketch = part.agg(F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("s")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    sketch = part.agg(F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("s"))
+    sketch = sketch.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))  # grouped: a task without rows makes no state
     items = sketch.select(F.explode(F.expr(f"approx_top_k_estimate(s, {heavy})")).alias("i"))
     return items.select(F.col("i.item").alias("digest"))
 
