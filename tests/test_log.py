@@ -85,7 +85,7 @@ def test_unknown_codec(spark, log):
 
 @pytest.mark.parametrize("topic", ["my.topic", "events/exp-a", "a=b", "x%y", "sp ace"])
 def test_topic_folders(spark, log, topic):
-    log.append(keyed(spark, 4, topic))
+    log.append(keyed(spark, 4, topic), check_names=False)
     assert [r.topic for r in log.scan(topic).select("topic").distinct().collect()] == [topic]
     assert log.stream(topic).isStreaming
 
@@ -105,35 +105,100 @@ def test_transaction(spark, log):
     assert log.scan("a").count() == 4
 
 
-def test_failed_append_is_not_seen(spark, log):
-    """Data without its manifest entry, as a crash between the two leaves it."""
+def test_failed_append_is_not_seen(spark, log, monkeypatch):
+    """A writer that dies before its commit: neither scans nor streams see its records."""
     log.append(keyed(spark, 3))
-    orphan = keyed(spark, 5).select(F.lit(0).alias("partition"), "topic", F.lit(3).cast("bigint").alias("offset"), "timestamp", "key", "value", F.create_map().cast("map<string,binary>").alias("headers"))
-    orphan.write.partitionBy("topic", "partition").parquet(f"{log.root}/data/txn=crashed")
-    assert log.scan("t").count() == 3
+    other = TopicLog(spark, log.root)
+    monkeypatch.setattr(other, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        other.append(keyed(spark, 5))
+    assert log.scan("t").count() == 3 and streamed(spark, log) == 3
     log.append(keyed(spark, 2))
-    assert log.scan("t").agg(F.max("offset")).first()[0] == 4
+    assert log.scan("t").agg(F.max("offset")).first()[0] == 4 and streamed(spark, log) == 5
+
+
+def test_committed_append_is_finished_by_others(spark, log, monkeypatch):
+    """A writer that dies between its commit and the move: the records are there for whoever comes next."""
+    log.append(keyed(spark, 3))
+    other = TopicLog(spark, log.root)
+    monkeypatch.setattr(other, "_move", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        other.append(keyed(spark, 5))
+    assert streamed(spark, log) == 8 and log.scan("t").count() == 8
+
+
+def streamed(spark, log):
+    from tidelog.session import new_path
+    from tidelog.streaming import follow
+
+    path = new_path(spark, "streamed")
+    stream = log.stream("t")
+    follow.land(stream, path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path).count()
 
 
 def test_second_writer_is_told(spark, log, monkeypatch):
+    """Another append falls between a writer's look at the log and its commit, at the last moment."""
     other = TopicLog(spark, log.root)
+    log.append(keyed(spark, 4))
     publish = log._publish
 
-    def late(entries):
+    def late(*args):
         other.append(keyed(spark, 1))
-        publish(entries)
+        publish(*args)
 
     monkeypatch.setattr(log, "_publish", late)
     with pytest.raises(ConcurrentAppend):
         log.append(keyed(spark, 2))
-    assert log.scan("t").count() == 1
+    offsets = [r.offset for r in log.scan("t").collect()]
+    assert sorted(offsets) == list(range(5))
+
+
+def test_partition_count_is_the_topics(spark, log):
+    log.append(keyed(spark, 50), partitions=4, arrival=["timestamp"])
+    log.append(keyed(spark, 50), arrival=["timestamp"])
+    with pytest.raises(Exception, match="another number of partitions"):
+        log.append(keyed(spark, 5), partitions=6)
+    by_key = log.scan("t").groupBy("key").agg(F.countDistinct("partition").alias("n")).collect()
+    assert all(r.n == 1 for r in by_key)
+    assert {r.topic: r.partitions for r in log.topics().collect()} == {"t": 4}
+    found = log.key_scan("t", "user-3")
+    assert found.count() == reads.key_filter(log.scan("t"), "user-3").count() == 14
+    assert "PartitionFilters: [isnotnull(partition" in found._jdf.queryExecution().executedPlan().toString()
+    log.append(keyed(spark, 10).withColumn("partition", F.lit(9)))
+    assert log.key_scan("t", "user-3").count() == reads.key_filter(log.scan("t"), "user-3").count() == 15
+
+
+@pytest.mark.parametrize("topic", ["my topic@!", "", ".."])
+def test_names_are_checked(spark, log, topic):
+    with pytest.raises(Exception, match="topic name is"):
+        log.append(keyed(spark, 2, topic))
+    assert log.scan().isEmpty()
+
+
+def test_compaction(spark, log):
+    for topic, n in (("a", 3), ("b", 4), ("a", 5)):
+        log.append(keyed(spark, n, topic), partitions=2, arrival=["timestamp"])
+    before = sorted(log.scan().drop("headers").collect())
+    log.compact()
+    assert sorted(log.scan().drop("headers").collect()) == before and log.manifest().select("txn").distinct().count() == 1
+    log.append(keyed(spark, 2, "a"), arrival=["timestamp"])
+    log.compact()
+    assert log.scan("a").count() == 10 and log.scan("b").count() == 4
+    assert log.end_offsets().agg(F.sum("end_offset")).first()[0] == 14
+
+
+def test_staged_tables_are_dropped(spark, log):
+    import os
 
+    from tidelog.session import shared_dir
 
-def test_many_appends_are_joined(spark, log, monkeypatch):
-    log.append(keyed(spark, 3, "a"))
-    log.append(keyed(spark, 4, "b"))
-    monkeypatch.setattr(topic_log, "MAX_FOLDERS", 1)
-    assert log.scan().count() == 7 and log.scan("b").count() == 4
+    folder = f"{shared_dir(spark)}/tidelog/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    log.append(keyed(spark, 30), partitions=3)
+    log.compact()
+    new = set(os.listdir(folder)) - before
+    assert not [n for n in new if n.startswith(("sliced-", "slices-", "arrived-", "ends-", "topics-"))]
 
 
 def test_reads_reach_the_scan(spark, log):
@@ -160,17 +225,25 @@ def test_seek(spark, log):
     assert reads.inspect_messages(records, 9, 5).isEmpty()
 
 
-def test_dense_logs_are_read_in_part(spark, log):
-    log.append(keyed(spark, 90), partitions=3, arrival=["timestamp"])
+def test_polls_read_in_part(spark, log):
+    log.append(keyed(spark, 900), partitions=3, arrival=["timestamp"])
     records = log.scan("t")
-    assert reads.poll_limit(records, 35, dense=True).collect() == reads.poll_limit(records, 35).collect()
     part = records.first().partition
-    assert reads.inspect_messages(records, part, 4, 3, dense=True).collect() == reads.inspect_messages(records, part, 4, 3).collect()
-    assert reads.inspect_messages(records, part, 4, dense=True).count() == 4
-    whole, pruned = reads.key_filter(records, "user-3"), reads.key_filter(records, "user-3", 3)
-    assert sorted(whole.select("offset").collect()) == sorted(pruned.select("offset").collect()) and whole.count() > 0
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(partition" in plan and "LessThan" not in plan
+    for n in (35, 500, 2000):
+        assert reads.poll(log, "t", n).drop("headers").collect() == reads.poll_limit(records, n).drop("headers").collect()
+    starts = {part: 100, (part + 1) % 3: reads.END}
+    seek = reads.poll_limit(reads.read_from_offsets(records, starts), 50)
+    assert reads.poll(log, "t", 50, starts).drop("headers").collect() == seek.drop("headers").collect() and seek.count() == 50
+    assert reads.inspect(log, "t", part, 4, 3).collect() == reads.inspect_messages(records, part, 4, 3).collect()
+    assert reads.inspect(log, "t", part, 4).count() == 4 and reads.poll(log, "none", 5).isEmpty() and reads.inspect(log, "t", 99, 5).isEmpty()
+
+
+def test_logs_that_begin_above_zero(spark, log):
+    first = spark.createDataFrame([("t", 0, 5000)], "topic string, partition int, first_offset bigint")
+    log.append(keyed(spark, 20), first_offsets=first, arrival=["timestamp"])
+    assert [r.offset for r in reads.inspect(log, "t", 0, 5).collect()] == list(range(5000, 5005))
+    assert [r.offset for r in reads.poll(log, "t", 3).collect()] == [5000, 5001, 5002]
+    assert [r.offset for r in reads.poll(log, "t", 3, {0: 5018}).collect()] == [5018, 5019]
 
 
 def test_oversize_counts_bytes_and_nulls(spark):

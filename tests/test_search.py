@@ -85,9 +85,17 @@ def test_remember(spark):
     assert [r.offset for r in got.where("topic = 'a-sem'").orderBy("seq").collect()] == list(range(8))
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_recall(spark, monkeypatch, limit):
-    monkeypatch.setattr(memory, "REQUEST_ROWS", limit)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_recall(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        recall(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def recall(spark):
     stored = remembered(spark)
     asked = spark.createDataFrame([("a", "fish number 3"), ("b", " ")], "agent_id string, query string")
     got = memory.memory_recall(stored, asked, k_semantic=2).collect()

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from tidelog.operators import catalog, reads
 from tidelog.session import new_path
 from tidelog.streaming import follow
-from tidelog.streaming.windows import dedup_stream, metric_windows
+from tidelog.operators.metrics import failure_states
+from tidelog.streaming.windows import dedup_stream, failure_windows, metric_windows
 
 
 def rows(spark, start, n):
@@ -58,10 +59,11 @@ def test_only_whole_appends_are_followed(spark, log):
     seen, checkpoint = [], new_path(spark, "cp")
     handle = lambda df, number: seen.append((number, df.count()))
     log.append(rows(spark, 0, 5))
-    rows(spark, 0, 9).select("timestamp").write.parquet(f"{log.root}/data/txn=crashed/topic=t/partition=0")
+    rows(spark, 0, 9).select("timestamp").write.parquet(f"{log.root}/pending/txn=crashed/topic=t/partition=0")
     log.transaction().send(rows(spark, 5, 7)).commit()
     follow.follow_committed(log, "t", handle, checkpoint).awaitTermination()
     log.append(rows(spark, 12, 2).withColumn("topic", F.lit("other")))
+    log.compact()
     log.append(rows(spark, 14, 3))
     follow.follow_committed(log, "t", handle, checkpoint).awaitTermination()
     assert [n for _, n in seen] == [12, 3]
@@ -94,3 +96,23 @@ def test_dedup_stream_over_batches(spark, log):
         once = dedup_stream(log.stream("t"), ["key"], "1 hour").select("key")
         follow.land(once, path, checkpoint).awaitTermination()
     assert sorted(int(r.key) for r in spark.read.parquet(path).collect()) == list(range(1, 10))
+
+
+def test_failure_windows(spark, log):
+    hour = 3_600_000
+    rows_ = [("t", k, v, at) for k, v, at in (("s", "e", 1), ("s", "e", 2), ("s", "ok", 3), ("r", "e", 4), ("s", "e", 9 * hour))]
+    log.append(spark.createDataFrame(rows_, "topic string, key string, value string, timestamp bigint"))
+    stream = log.stream("t").select(F.col("key").alias("service"), (F.col("value") == "e").alias("failed"), "timestamp")
+    out = failure_windows(stream, "1 hour", "1 hour", 2)
+    path = new_path(spark, "failures")
+    follow.land(out, path, new_path(spark, "cp")).awaitTermination()
+    got = {r.service: (r.attempts, r.failures, r.state) for r in spark.read.schema(out.schema).parquet(path).collect()}
+    assert got == {"s": (3, 2, "OPEN"), "r": (1, 1, "CLOSED")}
+
+
+def test_failure_states(spark):
+    fails = [1, 1, 0, 1, 1, 1, 0]
+    df = spark.createDataFrame([("s", i, bool(f)) for i, f in enumerate(fails)] + [("r", 0, True)], "service string, at bigint, failed boolean")
+    got = sorted((r.service, r.at, r.streak, r.state) for r in failure_states(df, "service", ["at"], F.col("failed"), 2).collect())
+    streaks = [1, 2, 0, 1, 2, 3, 0]
+    assert got == [("r", 0, 1, "CLOSED")] + [("s", i, n, "OPEN" if n >= 2 else "CLOSED") for i, n in enumerate(streaks)]

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import base64
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions import ed25519
 from tidelog.functions.headers import header_add, header_get
+from tidelog.functions.mac import hmac_sha256
 
 # The header's name is the writer's choice; give `header` where a log uses another.
 HEADER = "attestation"
-DEFAULT_KEY_ID, ED25519 = "broker-0", "ed25519"
+DEFAULT_KEY_ID = "broker-0"
+MAC_BYTES = 32
 
 ENVELOPE = (
     "payload_sha256 string, topic string, partition int, offset bigint, schema_id int, "
@@ -35,34 +33,10 @@ def base64_text(data: Column) -> Column:
     return F.regexp_replace(F.base64(data), r"\s", "")
 
 
-def signature_of(text: Column, seed: bytes) -> Column:
-    """Base64 Ed25519 signature, computed in Arrow batches."""
-
-    @F.arrow_udf("string")
-    def run(messages: pa.Array) -> pa.Array:
-        return pa.array(
-            [base64.b64encode(ed25519.sign(seed, m.encode())).decode() for m in messages.to_pylist()], pa.string()
-        )
-
-    return run(text)
-
-
-def signature_holds(text: Column, signature: Column, public_key: bytes) -> Column:
-    """Whether the signature (bytes) fits; false for null."""
-
-    @F.arrow_udf("boolean")
-    def run(messages: pa.Array, signatures: pa.Array) -> pa.Array:
-        pairs = zip(messages.to_pylist(), signatures.to_pylist())
-        return pa.array([s is not None and ed25519.verify(public_key, m.encode(), s) for m, s in pairs], pa.bool_())
-
-    return run(text, signature)
-
-
 def attest_sign(
     records: DataFrame,
-    seed: bytes,
+    secret: bytes,
     key_id: str = DEFAULT_KEY_ID,
-    algorithm: str = ED25519,
     schema_id: Column | None = None,
     contract_id: Column | None = None,
     value: str = "value",
@@ -71,12 +45,11 @@ def attest_sign(
 ) -> DataFrame:
     """Records with an attestation header over their value and coordinates.
 
+    The signature is an HMAC-SHA256 by a secret that signer and verifier share: it needs no code but Spark's own.
     The payload is `value`, unless value_string names a text column and value is None; both is an error.
     """
     if value and value_string:
-        raise ValueError("set either value or value_string, not both")
-    if algorithm != ED25519:
-        raise ValueError(f"unknown algorithm {algorithm!r}")
+        raise ValueError("a payload is either `value` or `value_string`")
     payload = F.coalesce(F.col(value or value_string).cast("binary"), F.lit(b""))
     env = {
         "payload_sha256": F.sha2(payload, 256),
@@ -88,7 +61,7 @@ def attest_sign(
         "key_id": F.lit(key_id),
     }
     contract = (F.lit(None) if contract_id is None else contract_id).cast("string")
-    signed = records.withColumn("_signature", signature_of(canonical(env), seed))
+    signed = records.withColumn("_signature", base64_text(hmac_sha256(canonical(env), secret)))
     envelope = F.to_json(F.struct(
         *[c.alias(n) for n, c in env.items()], F.col("_signature").alias("signature"), contract.alias("contract_id")
     ))
@@ -116,7 +89,7 @@ def attest_open(records: DataFrame, header: str = HEADER) -> DataFrame:
     return opened.withColumn("status", status).drop("_raw", "_bytes")
 
 
-def attest_verify(records: DataFrame, public_key: bytes, header: str = HEADER) -> DataFrame:
+def attest_verify(records: DataFrame, secret: bytes, header: str = HEADER) -> DataFrame:
     """Add verified, status, producer_id, schema_id (null for 0), contract_id and timestamp_ms.
 
     The signature is checked over the envelope's fields. A broken header is a status, not a failed job:
@@ -127,9 +100,9 @@ def attest_verify(records: DataFrame, public_key: bytes, header: str = HEADER) -
     text = canonical({n: env.getField(n) for n in NEEDED})
     signature = F.try_to_binary(env.getField("signature"), F.lit("base64"))
     here = F.col("status") == "present"
-    checked = opened.withColumn("_holds", signature_holds(F.when(here, text).otherwise(""), F.when(here, signature), public_key))
+    checked = opened.withColumn("_holds", F.coalesce(hmac_sha256(text, secret) == signature, F.lit(False)))
     # As in the reader's contract: fields are told once the signature could be checked at all.
-    told = here & (F.octet_length(signature) == 64)
+    told = here & (F.octet_length(signature) == MAC_BYTES)
     return checked.select(
         *records.columns,
         (here & F.col("_holds")).alias("verified"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.text import not_blank, word_cosine, words
 from tidelog.operators.ordered import ordered_scan
-from tidelog.session import bounded, store
+from tidelog.session import store
 
 EPISODIC, SEMANTIC, PROCEDURAL = "episodic", "semantic", "procedural"
 
@@ -15,8 +15,6 @@ EPISODIC, SEMANTIC, PROCEDURAL = "episodic", "semantic", "procedural"
 TIERS = {"observation": [EPISODIC], "fact": [EPISODIC, SEMANTIC], "procedure": [PROCEDURAL]}
 ENDINGS = {EPISODIC: "-ep", SEMANTIC: "-sem", PROCEDURAL: "-proc"}
 DEFAULT_K = 5
-SALTS = 32
-REQUEST_ROWS = 100_000
 
 
 def memory_errors() -> Column:
@@ -66,17 +64,13 @@ def memory_recall(
 
     requests: one row per `scope` value, with its query. scope is "agent_id", or "namespace" for
     memories shared by all agents of a namespace. score compares `content` with `query`; by default it
-    is the cosine of their words, a query being split once and a memory's content once per request.
+    is the cosine of their words, a query being split once and a memory's content once per request. The requests are
+    stored, so the planner knows their size: it broadcasts them or, if they are many, sorts both sides and splits the
+    memories of a busy agent.
     """
     asked = [scope, "query", words(F.col("query")).alias("_asked")] if score is None else [scope, "query"]
-    requests = requests.where(not_blank(F.col(scope)) & not_blank(F.col("query"))).select(*asked)
-    if bounded(requests, REQUEST_ROWS):
-        hits = memories.join(F.broadcast(requests), scope)
-    else:
-        # Too many requests to broadcast: the salt spreads the memories of a busy agent.
-        salted = requests.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64("topic", "offset"), F.lit(SALTS)).cast("int")
-        hits = memories.withColumn("_salt", salt).join(salted, [scope, "_salt"]).drop("_salt")
+    requests = store(requests.where(not_blank(F.col(scope)) & not_blank(F.col("query"))).select(*asked), "requests")
+    hits = memories.join(requests, scope)
     if score is None:
         hits = hits.withColumn("_told", words(F.col("content")))
         score = word_cosine(F.col("_told"), F.col("_asked"))

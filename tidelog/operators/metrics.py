@@ -135,3 +135,14 @@ def failure_streaks(
         .where(F.col("failures") >= threshold)
         .drop("_run")
     )
+
+
+def failure_states(outcomes: DataFrame, service: str, order: list[str], failed: Column, threshold: int) -> DataFrame:
+    """For every outcome how many failures in a row have led up to it, and OPEN from `threshold` on, else CLOSED.
+
+    The place of the last success is carried forward by a sliced scan, so no service has to fit into one task.
+    """
+    numbered = ordered_scan(outcomes.select(service, *order, failed.alias("_failed")), [service], order, number="_place")
+    marked = ordered_scan(numbered, [service], ["_place"], last={"_success": F.when(~F.col("_failed"), F.col("_place"))})
+    streak = F.col("_place") - F.coalesce("_success", F.lit(-1))
+    return marked.select(service, *order, streak.alias("streak"), F.when(streak >= threshold, "OPEN").otherwise("CLOSED").alias("state"))

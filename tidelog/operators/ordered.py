@@ -21,15 +21,20 @@ SPREAD = "_spread"
 
 
 SLICE_BYTES = 1 << 30
-MAX_SLICES = 20_000  # the driver sees a sample of keys for each when the bounds are drawn
+UNKNOWN = 1 << 60  # what the planner says of inputs that are not stored is beyond any size
 
 
 def slices_for(df: DataFrame) -> int | None:
-    """How many slices keep each near SLICE_BYTES, by the planner's estimate of df; None if the session's
-    own number of shuffle partitions will do (which adaptive execution may then lower)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """How many slices keep each near SLICE_BYTES, by the stored size of what df reads; None if the session's
+    own number of shuffle partitions will do (which adaptive execution may then lower).
+
+    The sizes of the inputs are summed: the planner's estimate of a join would be their product.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(n for n in sizes if n < UNKNOWN)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(size // SLICE_BYTES, MAX_SLICES)
+    wanted = size // SLICE_BYTES
     return wanted if wanted > usual else None
 
 
@@ -71,11 +76,13 @@ def ordered_scan(
     sums: dict[str, Column] | None = None,
     last: dict[str, Column] | None = None,
     slices: int | None = None,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per group `keys` in the order `order`:
 
     number: 0, 1, 2, ... ; sums: running totals, this row included; last: the latest non-null
-    value, this row included. `order` should be unique within a group.
+    value, this row included. `order` should be unique within a group. starts: (*keys, start), the number
+    a group begins with; it meets the summaries, not the rows.
     """
     sums, last = sums or {}, last or {}
     inputs = {f"_in_{name}": col for name, col in {**sums, **last}.items()}
@@ -98,6 +105,11 @@ def ordered_scan(
     summary = summary.select(
         F.col(SLICE), *keys, F.col("_first"), *carried
     )
+    if starts is not None:
+        begin = starts.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("start").alias("_start"))
+        match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+        summary = summary.join(begin, match, "left").withColumn("_before", F.col("_before") + F.coalesce("_start", F.lit(0)))
+        summary = store(summary.drop(*[f"_of_{k}" for k in keys], "_start"), "slices")
 
     local = staged
     if inputs:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.headers import header_count
-from tidelog.functions.routing import hash_partition
+from tidelog.session import store
+from tidelog.sources.topic_log import TopicLog
 
 EARLIEST, LATEST = "earliest", "latest"
 BEGINNING, END = 0, -1
@@ -30,7 +31,8 @@ def read_from_offsets(records: DataFrame, starts: dict[int, int] | DataFrame) ->
     """Records from each partition's start on; partitions without a start are read from the beginning.
 
     A start of -1 means the end: nothing of what is there. A dict becomes a plain filter that reaches
-    the scan (folders and row groups); a table of (partition, start_offset) is joined.
+    the scan (folders and row groups). A table of (partition, start_offset) is stored, so that the planner knows its size,
+    and its lowest start bounds the scan.
     """
     if isinstance(starts, dict):
         if not starts:
@@ -39,8 +41,9 @@ def read_from_offsets(records: DataFrame, starts: dict[int, int] | DataFrame) ->
         given = [(partition == p) & (offset >= o) for p, o in starts.items() if o != END]
         return records.where(reduce(lambda a, b: a | b, given, ~partition.isin(*starts)))
     keys = ["topic", "partition"] if "topic" in starts.columns else ["partition"]
+    known = store(starts.select(*keys, "start_offset"), "starts")
     start = F.coalesce("start_offset", F.lit(BEGINNING))
-    joined = records.join(starts.select(*keys, "start_offset"), keys, "left")
+    joined = records.join(known, keys, "left")
     return joined.where((start != END) & (F.col("offset") >= start)).select(*records.columns)
 
 
@@ -59,32 +62,42 @@ def partition_select(
     return records
 
 
-def poll_limit(records: DataFrame, max_records: int = DEFAULT_MAX_POLL_RECORDS, dense: bool = False) -> DataFrame:
-    """The first max_records by partition and offset.
-
-    dense: the offsets of each partition are 0, 1, 2, ..., as a topic log has them. Then no offset from
-    max_records on can be among them, and the scan skips the row groups behind.
-    """
-    if dense:
-        records = records.where(F.col("offset") < max_records)
+def poll_limit(records: DataFrame, max_records: int = DEFAULT_MAX_POLL_RECORDS) -> DataFrame:
+    """The first max_records by partition and offset."""
     return records.orderBy("partition", "offset").limit(max_records)
 
 
-def inspect_messages(
-    records: DataFrame, partition: int, limit: int, offset: int | None = None, dense: bool = False
-) -> DataFrame:
-    """Up to `limit` messages of one partition, from an offset on, with headers as text.
+def poll(log: TopicLog, topic: str, max_records: int = DEFAULT_MAX_POLL_RECORDS, starts: dict[int, int] | None = None) -> DataFrame:
+    """The first max_records of a topic by partition and offset, from each partition's start (or beginning) on.
 
-    dense: as for poll_limit; only the row groups that hold the messages are then read.
+    Offsets are dense, so the manifest tells which ranges hold them; the scan reads these alone.
     """
-    if dense:
-        records = records.where(F.col("offset") < (offset or 0) + limit)
+    left, ranges = max_records, []
+    for row in log.describe().where(F.col("topic") == topic).orderBy("partition").collect():
+        start = (starts or {}).get(row.partition, BEGINNING)
+        begin = row.end_offset if start == END else max(row.begin_offset, start)
+        take = max(0, min(left, row.end_offset - begin))
+        if take:
+            ranges.append((F.col("partition") == row.partition) & (F.col("offset") >= begin) & (F.col("offset") < begin + take))
+            left -= take
+    return poll_limit(log.scan(topic).where(reduce(lambda a, b: a | b, ranges, F.lit(False))), max_records)
+
+
+def inspect_messages(records: DataFrame, partition: int, limit: int, offset: int | None = None) -> DataFrame:
+    """Up to `limit` messages of one partition, from an offset on, with headers as text."""
     chosen = records.where(F.col("partition") == partition)
     if offset is not None:
         chosen = chosen.where(F.col("offset") >= offset)
     return _shown(chosen.orderBy("offset").limit(limit))
 
 
+def inspect(log: TopicLog, topic: str, partition: int, limit: int, offset: int | None = None) -> DataFrame:
+    """inspect_messages of a topic, reading only the offsets that the manifest says are asked for."""
+    first = log.describe().where((F.col("topic") == topic) & (F.col("partition") == partition)).first()
+    begin = max(offset or BEGINNING, first.begin_offset if first else BEGINNING)
+    return inspect_messages(log.scan(topic).where(F.col("offset") < begin + limit), partition, limit, begin)
+
+
 def latest_messages(records: DataFrame, count: int) -> DataFrame:
     """The most recent `count` messages."""
     newest = records.orderBy(F.desc("timestamp"), "partition", F.desc("offset")).limit(count)
@@ -103,12 +116,6 @@ def _shown(messages: DataFrame) -> DataFrame:
     )
 
 
-def key_filter(records: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Records with the key.
-
-    partitions: the topic's number of partitions, if all its records were routed by key; then only the
-    folder the key belongs to is read.
-    """
-    if partitions is not None:
-        records = records.where(F.col("partition") == hash_partition(F.lit(key), partitions))
+def key_filter(records: DataFrame, key: str) -> DataFrame:
+    """Records with the key; TopicLog.key_scan also leaves out the partitions it cannot be in."""
     return records.where(F.col("key") == key)

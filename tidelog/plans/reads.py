@@ -37,15 +37,12 @@ SELECT 'latest', topic, "partition", end_offset, CAST(0 AS BIGINT) FROM ends
 def start_position(spark, sf_dir):
     """Where a reader begins under each reset policy, and how many records it then finds."""
     log = full_log(spark, sf_dir)
-    records = log.scan("events", "orders")
-    ends = store(catalog.describe_topic(records).select("topic", "partition", "end_offset"), "ends")
+    described = store(log.describe(), "described")
     out = None
     for reset in (reads.EARLIEST, reads.LATEST):
-        starts = reads.start_positions(ends, reset)
-        found = reads.read_from_offsets(records, starts).groupBy("topic", "partition").agg(F.count("*").alias("n"))
-        told = starts.join(found, ["topic", "partition"], "left").select(
-            F.lit(reset).alias("reset"), "topic", "partition", "start_offset", F.coalesce("n", F.lit(0)).alias("to_read")
-        )
+        starts = reads.start_positions(described, reset).join(described.select("topic", "partition", "begin_offset", "end_offset"), ["topic", "partition"])
+        to_read = F.col("end_offset") - F.greatest("start_offset", "begin_offset")
+        told = starts.select(F.lit(reset).alias("reset"), "topic", "partition", "start_offset", to_read.alias("to_read"))
         out = told if out is None else out.unionByName(told)
     return out
 
@@ -73,7 +70,7 @@ def partition_select(spark, sf_dir):
 
 @query("poll_limit", f'WITH {ELOG} SELECT {RECORD} FROM elog ORDER BY "partition", "offset" LIMIT 500')
 def poll_limit(spark, sf_dir):
-    return reads.poll_limit(events(spark, sf_dir), dense=True).select(*PLAIN)
+    return reads.poll(event_log(spark, sf_dir), "events").select(*PLAIN)
 
 
 @query("inspect_messages", f"""
@@ -81,7 +78,7 @@ WITH {ELOG} SELECT "partition", "offset", "timestamp", "key", payload AS "value"
 WHERE "partition" = 1 AND "offset" >= 10 ORDER BY "offset" LIMIT 20
 """)
 def inspect_messages(spark, sf_dir):
-    return with_headers(reads.inspect_messages(events(spark, sf_dir), 1, 20, offset=10, dense=True))
+    return with_headers(reads.inspect(event_log(spark, sf_dir), "events", 1, 20, offset=10))
 
 
 @query("latest_messages", f"""
@@ -99,7 +96,7 @@ def with_headers(messages: DataFrame) -> DataFrame:
 
 @query("key_filter", f"""WITH {ELOG} SELECT {RECORD} FROM elog WHERE "key" = '8'""")
 def key_filter(spark, sf_dir):
-    return reads.key_filter(events(spark, sf_dir), "8", PARTITIONS).select(*PLAIN)
+    return event_log(spark, sf_dir).key_scan("events", "8").select(*PLAIN)
 
 
 # -- writes -----------------------------------------------------------------------------------------
@@ -129,24 +126,22 @@ def partition_route(spark, sf_dir):
 
 @query("transactional_append", f"""
 WITH kept AS (
-  SELECT CASE event_type WHEN 'purchase' THEN 'purchases' ELSE 'signups' END AS topic,
+  SELECT event_type || 's' AS topic,
          {hashed('CAST(user_id AS VARCHAR)', 2)} AS "partition", epoch_us(ts) // 1000 AS "timestamp",
          CAST(user_id AS VARCHAR) AS "key", ts, event_id
-  FROM events WHERE event_type IN ('purchase', 'signup'))
+  FROM events)
 SELECT topic, "partition", row_number() OVER (PARTITION BY topic, "partition" ORDER BY ts, event_id) - 1 AS "offset",
        "timestamp", "key" FROM kept
 """)
 def transactional_append(spark, sf_dir):
-    """One transaction over two topics is committed, one is aborted, one is empty: what readers then see."""
+    """One transaction over a topic for every kind of event is committed, one is aborted, one is empty: what readers then see."""
     log = TopicLog(spark, new_path(spark, "txn"))
-    records = event_records(spark, sf_dir).withColumn("kind", F.col("headers")["event_type"].cast("string"))
+    kind = F.col("headers")["event_type"].cast("string")
+    records = event_records(spark, sf_dir).withColumn("topic", F.concat(kind, F.lit("s")))
     settings = {"partitions": 2, "arrival": ["ts", "event_id"]}
-
-    def of(kind: str, topic: str) -> DataFrame:
-        return records.where(F.col("kind") == kind).withColumn("topic", F.lit(topic)).drop("kind")
-
-    log.transaction(**settings).send(of("purchase", "purchases")).send(of("signup", "signups")).commit()
-    log.transaction(**settings).send(of("error", "signups")).abort()
+    paid = F.col("topic") == "purchases"
+    log.transaction(**settings).send(records.where(paid)).send(records.where(~paid)).commit()
+    log.transaction(**settings).send(records).abort()
     log.transaction(**settings).commit()
     return log.scan().select("topic", "partition", "offset", "timestamp", "key")
 
@@ -198,7 +193,7 @@ both_topics AS (SELECT topic, "partition", "offset", "timestamp" FROM elog
 {BOTH} SELECT topic, count(DISTINCT "partition") AS partitions, count(*) AS records FROM both_topics GROUP BY topic
 """)
 def list_topics(spark, sf_dir):
-    return catalog.list_topics(full_log(spark, sf_dir).scan("events", "orders"))
+    return catalog.list_topics(full_log(spark, sf_dir).describe())
 
 
 @query("describe_topic", f"""
@@ -206,7 +201,7 @@ WITH {ELOG} SELECT topic, "partition", min("offset") AS begin_offset, max("offse
        min("timestamp") AS first_timestamp, max("timestamp") AS last_timestamp FROM elog GROUP BY ALL
 """)
 def describe_topic(spark, sf_dir):
-    return catalog.describe_topic(events(spark, sf_dir))
+    return event_log(spark, sf_dir).describe()
 
 
 @query("partition_positions", f"""
@@ -247,9 +242,21 @@ def flat(lags: DataFrame) -> DataFrame:
     return lags.select("group_id", "total_lag", F.inline("partitions"))
 
 
-@query("commit_offsets", f"""{LAGS} SELECT group_id, topic, "partition", current_offset AS "offset", committed_at FROM current""")
+@query("commit_offsets", f"""
+WITH {ELOG},
+read AS (SELECT 'readers' AS group_id, topic, "partition", max("offset") FILTER ("timestamp" < until) + 1 AS "offset", until AS committed_at
+         FROM elog, (VALUES ({MID_JANUARY}::BIGINT), ({MID_JANUARY}::BIGINT * 2)) halves(until) GROUP BY ALL)
+SELECT group_id, topic, "partition", "offset", committed_at FROM read WHERE committed_at > {MID_JANUARY}
+""")
 def commit_offsets(spark, sf_dir):
-    return catalog.current_commits(commit_history(spark, sf_dir))
+    """A group commits its positions after half of the month and after all of it; one reader without a group does so too."""
+    records, path = events(spark, sf_dir), new_path(spark, "committed")
+    partitions = event_log(spark, sf_dir).end_offsets().select("topic", "partition")
+    for until in (MID_JANUARY, 2 * MID_JANUARY):
+        positions = catalog.partition_positions(records.where(F.col("timestamp") < until), partitions)
+        catalog.commit_offsets(path, "readers", positions, F.lit(until))
+        catalog.commit_offsets(path, None, positions, F.lit(until))
+    return catalog.current_commits(spark.read.parquet(path))
 
 
 @query("list_consumer_groups", "SELECT DISTINCT 'group-' || event_type AS group_id FROM events")

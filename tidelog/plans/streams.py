@@ -6,18 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators import catalog
-from tidelog.operators.breaker import Limits, breaker_states
+from tidelog.operators.metrics import failure_states
 from tidelog.plans.inputs import PARTITIONS, event_log, event_records, millis, table
 from tidelog.plans.reads import MID_JANUARY, PLAIN
 from tidelog.plans.registry import ELOG, RECORD, query
 from tidelog.session import new_path, store
 from tidelog.sources.topic_log import TopicLog
 from tidelog.streaming import follow
-from tidelog.streaming.breaker import breaker_stream
-from tidelog.streaming.windows import dedup_stream, metric_windows
+from tidelog.streaming.windows import dedup_stream, failure_windows, metric_windows
 
 DAY_MS, HOUR_MS = 86_400_000, 3_600_000
-LIMITS = Limits(failures=3, successes=2, open_ms=6 * HOUR_MS, probes=3)
 
 
 @query("topic_stream", f"WITH {ELOG} SELECT {RECORD} FROM elog")
@@ -78,77 +76,56 @@ def stream_metric_windows(spark, sf_dir):
     return spark.read.schema(closed.schema).parquet(path)
 
 
-@query("dedup_stream", f'WITH {ELOG} SELECT "partition", "offset", "timestamp", "key" FROM elog')
+@query("dedup_stream", f"""
+WITH {ELOG}, sent AS (
+  SELECT *, 0 AS half FROM elog UNION ALL SELECT *, 1 FROM elog)
+SELECT "partition", row_number() OVER (PARTITION BY "partition" ORDER BY half, ts, event_id) - 1 AS "offset", "timestamp", "key"
+FROM sent QUALIFY half = 0
+""")
 def dedup_stream_query(spark, sf_dir):
-    """Every event is appended twice; the stream keeps the first of each, by user and event id."""
+    """Every event is appended twice, one append after the other; the stream takes them in turn and keeps the first of
+    each by user and event id, with the offset it had."""
     log = TopicLog(spark, new_path(spark, "twice"))
-    sent = event_records(spark, sf_dir)
-    log.append(sent, PARTITIONS, ["ts", "event_id"])
-    log.append(sent, PARTITIONS, ["ts", "event_id"])
-    ids = log.stream("events", maxFilesPerTrigger="100000").withColumn("seq", F.get_json_object("value", "$.event_id"))
-    path = new_path(spark, "deduped")
-    once = dedup_stream(ids, ["key", "seq"], "31 days")
-    follow.land(once.select("partition", "timestamp", "key", "seq"), path, new_path(spark, "checkpoint")).awaitTermination()
-    kept = spark.read.parquet(path)
-    firsts = event_log(spark, sf_dir).scan("events").select("partition", "offset", F.get_json_object("value", "$.event_id").alias("seq"))
-    return kept.join(firsts, ["partition", "seq"]).select("partition", "offset", "timestamp", "key")
-
-
-ATTEMPTS = f"""
-attempts AS (
-  SELECT user_id, event_id, epoch_us(ts) // 1000 AS at_ms, event_type <> 'error' AS ok,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
-replay AS (
-  SELECT user_id, 0::BIGINT AS n, 0::BIGINT AS event_id, TRUE AS allowed, 'CLOSED' AS state, 0 AS failures, 0 AS successes, 0::BIGINT AS failed_at
-  FROM (SELECT DISTINCT user_id FROM attempts)
-  UNION ALL
-  SELECT user_id, n, event_id, allowed,
-         CASE WHEN NOT allowed THEN 'OPEN'
-              WHEN before = 'CLOSED' AND NOT ok AND failures + 1 >= {LIMITS.failures} THEN 'OPEN'
-              WHEN before = 'CLOSED' THEN 'CLOSED'
-              WHEN NOT ok THEN 'OPEN'
-              WHEN successes + 1 >= {LIMITS.successes} THEN 'CLOSED' ELSE 'HALF_OPEN' END,
-         CASE WHEN allowed AND before = 'CLOSED' AND NOT ok AND failures + 1 < {LIMITS.failures} THEN failures + 1 ELSE 0 END,
-         CASE WHEN allowed AND before = 'HALF_OPEN' AND ok AND successes + 1 < {LIMITS.successes} THEN successes + 1 ELSE 0 END,
-         CASE WHEN allowed AND NOT ok THEN at_ms ELSE failed_at END
-  FROM (SELECT a.user_id, a.n, a.event_id, a.at_ms, a.ok, r.failures, r.failed_at,
-               r.state <> 'OPEN' OR a.at_ms - r.failed_at >= {LIMITS.open_ms} AS allowed,
-               CASE WHEN r.state = 'OPEN' THEN 'HALF_OPEN' ELSE r.state END AS before,
-               CASE WHEN r.state = 'OPEN' THEN 0 ELSE r.successes END AS successes
-        FROM replay r JOIN attempts a ON a.user_id = r.user_id AND a.n = r.n + 1))"""
-STATES = f"WITH RECURSIVE {ATTEMPTS} SELECT user_id, event_id, allowed, state FROM replay WHERE n > 0"
-
-
-def attempts(df: DataFrame) -> DataFrame:
-    return df.select("user_id", "event_id", millis("ts").alias("at_ms"), (F.col("event_type") == "error").alias("failed"))
-
-
-@query("breaker_states", STATES)
+    sent, path, checkpoint = event_records(spark, sf_dir), new_path(spark, "deduped"), new_path(spark, "checkpoint")
+    schema = None
+    for _ in range(2):
+        log.append(sent, PARTITIONS, ["ts", "event_id"])
+        ids = log.stream("events", maxFilesPerTrigger="100000").withColumn("seq", F.get_json_object("value", "$.event_id"))
+        once = dedup_stream(ids, ["key", "seq"], "31 days").select("partition", "offset", "timestamp", "key")
+        follow.land(once, path, checkpoint).awaitTermination()
+        schema = once.schema
+    return spark.read.schema(schema).parquet(path)
+
+
+FAILURES = 3
+
+
+@query("breaker_states", f"""
+SELECT user_id, event_id, streak, CASE WHEN streak >= {FAILURES} THEN 'OPEN' ELSE 'CLOSED' END AS state
+FROM (SELECT user_id, event_id, n - coalesce(max(CASE WHEN event_type <> 'error' THEN n END)
+               OVER (PARTITION BY user_id ORDER BY n ROWS UNBOUNDED PRECEDING), 0) AS streak
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events))
+""")
 def breaker_states_query(spark, sf_dir):
-    """A breaker per user over all events; errors are failures."""
-    rows = attempts(table(spark, sf_dir, "events"))
-    states = breaker_states(rows, "user_id", "at_ms", ["at_ms", "event_id"], F.col("failed"), LIMITS)
-    return states.select("user_id", "event_id", "allowed", "state")
+    """How many errors in a row each user has had after each event, and whether a breaker would be open."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", millis("ts").alias("at_ms"), (F.col("event_type") == "error").alias("failed"))
+    return failure_states(rows, "user_id", ["at_ms", "event_id"], F.col("failed"), FAILURES).drop("at_ms")
 
 
-@query("breaker_stream", STATES)
+@query("breaker_stream", f"""
+SELECT *, CASE WHEN failures >= {FAILURES} THEN 'OPEN' ELSE 'CLOSED' END AS state FROM (
+  SELECT epoch_us(ts) // 1000 // {DAY_MS} * {DAY_MS} AS window_start, CAST(user_id AS VARCHAR) AS service, count(*) AS attempts,
+         count(*) FILTER (event_type = 'error') AS failures
+  FROM events GROUP BY 1, 2)
+WHERE window_start + {DAY_MS} <= (SELECT max(epoch_us(ts) // 1000) - {6 * HOUR_MS} FROM events)
+""")
 def breaker_stream_query(spark, sf_dir):
-    """The same breaker as a stream over the events topic."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, rocks)
-    try:
-        parsed = F.from_json("value", "event_id bigint, event_type string")
-        stream = event_log(spark, sf_dir).stream("events").withColumn("v", parsed).select(
-            F.col("key").alias("service"), F.col("timestamp").alias("at_ms"), F.col("v.event_id").alias("seq"),
-            (F.col("v.event_type") != "error").alias("ok"),
-        )
-        out = breaker_stream(stream, LIMITS)
-        path = new_path(spark, "breaker")
-        follow.land(out, path, new_path(spark, "checkpoint")).awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
-    return spark.read.schema(out.schema).parquet(path).select(
-        F.col("service").cast("bigint").alias("user_id"), F.col("seq").alias("event_id"), "allowed", "state"
+    """Errors per user and closed day, as a stream over the events topic."""
+    parsed = F.from_json("value", "event_type string")
+    outcomes = event_log(spark, sf_dir).stream("events").select(
+        F.col("key").alias("service"), (parsed["event_type"] == "error").alias("failed"), "timestamp"
     )
+    closed = failure_windows(outcomes, "1 day", "6 hours", FAILURES)
+    path = new_path(spark, "breaker")
+    follow.land(closed, path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(closed.schema).parquet(path)

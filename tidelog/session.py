@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings that results depend on; they can be changed while a session runs.
 RESULT_SETTINGS = {
@@ -17,6 +19,7 @@ RESULT_SETTINGS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_staged: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("staged", default=None)
 _shipped: set[str] = set()
 
 
@@ -96,12 +99,27 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if _staged.get() is not None:
+        _staged.get().append(path)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, rows: int, bytes_: int = 64 << 20) -> bool:
-    """Whether df is small enough to broadcast: counts no further than the bound."""
-    width = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
-    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), width.alias("size")).first()
-    return seen.n <= rows and (seen.size or 0) <= bytes_
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as the JVM has them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside belong to the work done there and are dropped when it ends."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            fs, found = hadoop_path(spark, path)
+            fs.delete(found, True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.sources.topic_log import MANIFEST, TopicLog
+from tidelog.sources.topic_log import COMMIT, TopicLog
 
 
 def kafka_topic(spark, servers: str, topic: str, reset: str = "earliest", max_per_poll: int | None = None) -> DataFrame:
@@ -78,7 +78,7 @@ def resume(
         positions = batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))
         positions.select(
             F.lit(group_id).alias("group_id"), "topic", "partition", "offset",
-            F.lit(number).cast("bigint").alias("committed_at"),
+            F.unix_millis(F.current_timestamp()).alias("committed_at"),
         ).coalesce(1).write.mode("overwrite").parquet(f"{commits}/batch={number}")
 
     return (
@@ -87,13 +87,16 @@ def resume(
     )
 
 
-def follow_committed(log: TopicLog, topic: str, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Follow whole appends only: the stream is the manifest, the records are read by append."""
+def follow_committed(
+    log: TopicLog, topic: str, handle: Callable[[DataFrame, int], None], checkpoint: str, appends_per_batch: int = 100
+) -> StreamingQuery:
+    """Follow whole appends, in the order of their commits: a batch holds all records of at most appends_per_batch appends."""
 
     def step(batch: DataFrame, number: int) -> None:
-        appends = [r.txn for r in batch.where(F.col("topic") == topic).select("txn").distinct().collect()]
-        if appends:
-            handle(log.read_appends(appends, topic), number)
+        appends = [r.txn for r in batch.where(F.col("folder") == "data").collect()]  # appends_per_batch at most
+        held = [r.txn for r in log.entries().where(F.col("txn").isin(*appends) & (F.col("topic") == topic)).select("txn").distinct().collect()]
+        if held:
+            handle(log.read_appends(held, topic), number)
 
-    entries = log.spark.readStream.schema(MANIFEST).parquet(f"{log.root}/manifest")
-    return entries.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    commits = log.spark.readStream.schema(COMMIT).option("maxFilesPerTrigger", str(appends_per_batch)).json(f"{log.root}/commits")
+    return commits.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

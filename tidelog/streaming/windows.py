@@ -20,3 +20,17 @@ def dedup_stream(records: DataFrame, ids: list[str], lateness: str) -> DataFrame
     """A stream in which records sent again within `lateness` are dropped."""
     timed = records.withColumn("_at", F.timestamp_millis("timestamp")).withWatermark("_at", lateness)
     return timed.dropDuplicatesWithinWatermark(ids).drop("_at")
+
+
+def failure_windows(outcomes: DataFrame, width: str, lateness: str, threshold: int) -> DataFrame:
+    """Outcomes (service, failed, timestamp in ms) per service and tumbling window, OPEN where `threshold` have failed."""
+    timed = outcomes.withColumn("_at", F.timestamp_millis("timestamp")).withWatermark("_at", lateness)
+    failures = F.sum(F.col("failed").cast("bigint"))
+    return (
+        timed.groupBy(F.window("_at", width).alias("w"), "service")
+        .agg(F.count("*").alias("attempts"), failures.alias("failures"))
+        .select(
+            F.unix_millis("w.start").alias("window_start"), "service", "attempts", "failures",
+            F.when(F.col("failures") >= threshold, "OPEN").otherwise("CLOSED").alias("state"),
+        )
+    )
