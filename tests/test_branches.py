@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators import branches as b
@@ -57,3 +58,35 @@ def test_per_partition_forks(spark):
     asked = spark.createDataFrame([("t", "m", {0: 3})], "topic string, name string, base_offsets map<int,bigint>")
     got = {r.partition: (r.fork_offset, r.state, r.branch_id) for r in b.branch_create(asked, ends, 1).collect()}
     assert got == {0: (3, "active", "t/m"), 1: (4, "active", "t/m")}
+
+
+def test_rejected_requests(spark):
+    ends = spark.createDataFrame([("t", 0, 10)], "topic string, partition int, end_offset bigint")
+    known = b.branch_create(request(spark, name="old"), ends, 1)
+    asked = spark.createDataFrame([("t", "old"), ("t", "new"), ("nope", "x"), ("t", "two"), ("t", "two"), ("t", " ")], "topic string, name string")
+    reasons = sorted((r.topic, r.name, r.reason) for r in b.branch_check(asked, ends, known).where("reason IS NOT NULL").collect())
+    assert reasons == [("nope", "x", "unknown source"), ("t", " ", "blank"), ("t", "old", "exists"), ("t", "two", "asked twice"), ("t", "two", "asked twice")]
+    assert [r.branch_id for r in b.branch_create(asked, ends, 1, known).collect()] == ["t/new"]
+
+
+def test_long_chains(spark):
+    rows_ = [("t/0", "t", None, 0, 500)] + [(f"t/{i}", "t", f"t/{i - 1}", 0, 500 - i) for i in range(1, 150)]
+    chain = spark.createDataFrame(rows_, "branch_id string, topic string, parent_id string, partition int, fork_offset bigint")
+    lines = [r for r in b.branch_lineage(chain).collect() if r.branch_id == "t/149"]
+    assert sorted(r.depth for r in lines) == list(range(151))
+    assert {r.depth: r.upto for r in lines}[150] == 351 and next(r.source for r in lines if r.depth == 150) == "t"
+    ring = spark.createDataFrame([("t/a", "t", "t/b", 0, 5), ("t/b", "t", "t/a", 0, 5)], chain.schema)
+    with pytest.raises(ValueError):
+        b.branch_lineage(ring)
+
+
+def test_one_branch_reads_its_bounds(spark, log):
+    own = TopicLog(spark, new_path(spark, "own"))
+    log.append(rows(spark, "t", list("abcde")), arrival=["timestamp"])
+    known = b.branch_create(request(spark, name="x", fork_offset=2), log.end_offsets(), 1000)
+    b.branch_append(own, known, "t/x", rows(spark, "t", ["X1", "X2"]), arrival=["timestamp"])
+    one = b.branch_scan(log, own, known, "t/x")
+    assert [r.value for r in b.branch_messages(one, "t/x").collect()] == ["a", "b", "X1", "X2"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(offset,2)" in plan and "PartitionFilters: [" in plan
+    assert b.branch_scan(log, own, known.withColumn("state", F.lit("discarded")), "t/x").isEmpty()

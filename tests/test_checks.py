@@ -86,6 +86,31 @@ def test_contract_types_are_known():
         contracts.contract_fields({"properties": {"a": {"type": "money"}}})
 
 
+RULES = {
+    "type": "object", "additionalProperties": False, "required": ["n"],
+    "properties": {
+        "n": {"type": "integer", "minimum": 1, "exclusiveMaximum": 18446744073709551617}, "a.b": {"type": "string", "maxLength": 3, "pattern": "^x"},
+        "c": {"enum": ["red", 5, None]}, "it's": {"type": "object", "properties": {"k": {"type": "number", "maximum": 2.5}}},
+    },
+}
+
+
+@pytest.mark.parametrize("value,paths", [
+    ('{"n":18446744073709551615,"a.b":"xy","c":5,"it\'s":{"k":2.5}}', []), ('{"n":0}', ["n"]), ('{"n":1.5}', ["n"]),
+    ('{"n":1,"a.b":"xyzz"}', ["a.b"]), ('{"n":1,"a.b":"y"}', ["a.b"]), ('{"n":1,"a":{"b":1}}', ["a"]), ('{"n":1,"c":"blue"}', ["c"]),
+    ('{"n":1,"c":null}', []), ('{"n":1,"it\'s":{"k":3}}', ["it's.k"]), ('{"more":1}', ["more", "n"]),
+])
+def test_contract_keywords(spark, value, paths):
+    row = contracts.contract_validate(spark.createDataFrame([(value,)], "value string"), RULES).first()
+    assert sorted(e.field_path for e in row.errors) == paths and row.valid == (not paths)
+
+
+def test_keywords_that_are_not_covered_are_told():
+    for rule in ({"anyOf": []}, {"properties": {"a": {"format": "date"}}}, {"additionalProperties": {"type": "string"}}):
+        with pytest.raises(ValueError):
+            contracts.contract_fields(rule)
+
+
 def test_client_metrics(spark):
     ops = [("c", "produce", 1, 64, ms) for ms in (10.0, 20.0, 30.0)] + [("c", "consume", 2, 128, 5.0), ("c", "error", 0, 0, None), ("idle", "error", 0, 0, None)]
     df = spark.createDataFrame(ops, "client string, op string, messages bigint, bytes bigint, latency_ms double")
@@ -111,7 +136,7 @@ def test_quantile_of_repeated_values(spark):
 
 
 def test_throughput(spark):
-    df = spark.createDataFrame([("a", 0), ("a", 2000), ("b", 5)], "topic string, timestamp bigint")
+    df = spark.createDataFrame([("a", 1, 0, 0), ("a", 1, 2000, 2000), ("b", 1, 5, 5)], "topic string, records bigint, first_timestamp bigint, last_timestamp bigint")
     got = {r.topic: r.messages_per_second for r in metrics.throughput(df).collect()}
     assert got == {"a": 1.0, "b": None}
 

@@ -58,3 +58,54 @@ def test_compatibility(spark, new, compatible, change):
     got = {r.subject: r.is_compatible for r in sc.schema_compat_report(candidates, known).collect()}
     assert got == {"s": compatible, "unknown": True}
     assert [r.change for r in sc.schema_changes(candidates, known).collect()] == ([change] if change else [])
+
+
+def report(spark, schema_type, old, new):
+    known = spark.createDataFrame([(1, "s", 1, schema_type, json.dumps(old))], CATALOG)
+    asked = spark.createDataFrame([("s", schema_type, json.dumps(new))], "subject string, schema_type string, schema string")
+    changes = {(r.name, r.change) for r in sc.schema_changes(asked, known).collect()}
+    return changes, sc.schema_compat_report(asked, known).first().is_compatible
+
+
+def record(*fields):
+    return {"type": "record", "name": "R", "fields": list(fields)}
+
+
+def field(name, kind, **more):
+    return {"name": name, "type": kind, **more}
+
+
+@pytest.mark.parametrize("old,new,changes,compatible", [
+    (record(), record(field("x", ["null", "int"], default=None)), {("x", "added")}, True),
+    (record(field("x", "int")), record(field("x", ["null", "long"])), {("x", "widened")}, True),
+    (record(field("x", ["null", "int"])), record(field("x", "int")), {("x", "retyped")}, False),
+    (record(field("r", record(field("a", "int")))), record(field("r", record(field("a", "int"), field("b", "int")))), {("r.b", "added without default")}, False),
+    (record(field("r", {"type": "array", "items": record(field("a", "int"))})), record(field("r", {"type": "array", "items": record(field("a", "long"))})), {("r.a", "widened")}, True),
+])
+def test_unions_defaults_and_nested_records(spark, old, new, changes, compatible):
+    got, fits = report(spark, "AVRO", old, new)
+    assert {c for c in got if c[0] != "r"} == changes and fits == compatible
+
+
+def test_json_schemas(spark):
+    old = {"type": "object", "properties": {"a": {"type": "integer"}, "b": {"type": "string"}, "c": {"type": "object", "properties": {"d": {"type": "integer"}}}}, "required": ["a"]}
+    new = json.loads(json.dumps(old))
+    assert report(spark, "JSON", old, new) == (set(), True)
+    new["properties"]["a"]["type"] = "number"
+    assert report(spark, "JSON", old, new) == ({("a", "widened")}, True)
+    new["properties"]["c"]["properties"]["d"]["type"] = "string"
+    new["required"] = ["a", "b", "e"]
+    new["properties"]["e"] = {"type": "integer"}
+    got, fits = report(spark, "JSON", old, new)
+    assert got == {("a", "widened"), ("c.d", "retyped"), ("b", "now required"), ("e", "added without default")} and not fits
+    with pytest.raises(Exception, match="not covered"):
+        report(spark, "PROTOBUF", {}, {})
+
+
+def test_ids_of_deleted_subjects_stay(spark):
+    ask = lambda *rows: spark.createDataFrame(list(rows), "subject string, schema_type string, schema string, at int")
+    known = sc.schema_register(ask(("s", "AVRO", "A", 1), ("t", "AVRO", "B", 2)), spark.createDataFrame([], CATALOG), ["at"])
+    left, _ = sc.schema_delete(known, spark.createDataFrame([("t",)], "subject string"))
+    more = sc.schema_register(ask(("u", "AVRO", "C", 1), ("t", "AVRO", "B", 2)), left, ["at"])
+    assert sorted(more.collect()) == [(2, "t", 2, "AVRO", "B"), (3, "u", 1, "AVRO", "C")]
+    assert sc.schema_by_id(left, 2).collect() == [(2, "AVRO", "B")] and sc.versions(left, "t").isEmpty()

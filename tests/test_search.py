@@ -85,6 +85,13 @@ def test_remember(spark):
     assert [r.offset for r in got.where("topic = 'a-sem'").orderBy("seq").collect()] == list(range(8))
 
 
+def test_offsets_go_on(spark):
+    first = remembered(spark)
+    more = spark.createDataFrame([("a", "ns", "fact", "later", None, None, 20), ("c", "ns", "fact", "new", None, None, 21)], "agent_id string, namespace string, kind string, content string, salience double, skill string, seq int")
+    got = {(r.topic, r.offset) for r in memory.memory_remember(more, ["seq"], first).collect()}
+    assert got == {("a-ep", 9), ("a-sem", 8), ("c-ep", 0), ("c-sem", 0)}
+
+
 @pytest.mark.parametrize("threshold", ["10m", "-1"])
 def test_recall(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -32,6 +32,14 @@ def test_not_truncated(topics):
         assert result.rows == rows and not result.truncated
 
 
+def test_later_appends_are_seen(spark, topics, log):
+    count = tsql.QueryRequest("SELECT count(*) FROM topic('events')")
+    more = spark.createDataFrame([("events", "k", "{}", 99, 0)], "topic string, key string, value string, timestamp bigint, partition int")
+    assert tsql.run(topics, count).rows == [[10]]
+    log.append(more)
+    assert tsql.run(topics, count).rows == [[11]]
+
+
 def test_parameters(topics):
     request = tsql.QueryRequest("SELECT `key` FROM topic('events') WHERE `offset` = :o AND `partition` = 0", parameters={"o": 2})
     assert tsql.run(topics, request).rows == [["user-4"]]

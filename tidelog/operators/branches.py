@@ -7,6 +7,8 @@ begin at the fork offset. Reading a branch joins the base records to the forks o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,11 @@ from tidelog.sources.topic_log import TopicLog
 ACTIVE, DISCARDED, MERGED = "active", "discarded", "merged"
 
 
-def branch_create(requests: DataFrame, ends: DataFrame, created_at_ms: int, branches: DataFrame | None = None) -> DataFrame:
-    """Rows of the branches table for new branches.
+def branch_check(requests: DataFrame, ends: DataFrame, branches: DataFrame | None = None) -> DataFrame:
+    """Add branch_id, source and reason, why a request is rejected: blank, unknown source, exists or asked twice; else null.
 
     requests: topic, name and, if wished, parent_id, fork_offset (for every partition), base_offsets
-    (map partition -> offset) and metadata. Without an offset the fork is where the topic, or the parent,
-    ends now; a fork never lies beyond that end. ends: (topic, partition, end_offset) of the base topics
-    and, under their ids, of branches that have records of their own.
+    (map partition -> offset) and metadata. ends: see branch_create.
     """
     optional = {
         "parent_id": "string", "fork_offset": "bigint",
@@ -33,17 +33,39 @@ def branch_create(requests: DataFrame, ends: DataFrame, created_at_ms: int, bran
     for column, kind in optional.items():
         if column not in requests.columns:
             requests = requests.withColumn(column, F.lit(None).cast(kind))
-    requests = requests.where(not_blank(F.col("topic")) & not_blank(F.col("name")))
+    named = requests.withColumns({"branch_id": F.concat_ws("/", "topic", "name"), "source": F.coalesce("parent_id", "topic")})
+    known = ends.select(F.col("topic").alias("source"))
+    if branches is not None:
+        known = known.unionByName(branches.select(F.col("branch_id").alias("source")))
+        taken = branches.select("branch_id").distinct().withColumn("_taken", F.lit(True))
+    asked = named.groupBy("branch_id").agg(F.count("*").alias("_asked"))
+    found = named.join(asked, "branch_id").join(known.distinct().withColumn("_known", F.lit(True)), "source", "left")
+    found = found.join(taken, "branch_id", "left") if branches is not None else found.withColumn("_taken", F.lit(None).cast("boolean"))
+    reason = (
+        F.when(~(not_blank(F.col("topic")) & not_blank(F.col("name"))), "blank")
+        .when(F.col("_known").isNull(), "unknown source")
+        .when(F.col("_taken").isNotNull(), "exists")
+        .when(F.col("_asked") > 1, "asked twice")
+    )
+    return found.withColumn("reason", reason).drop("_asked", "_known", "_taken")
+
+
+def branch_create(requests: DataFrame, ends: DataFrame, created_at_ms: int, branches: DataFrame | None = None) -> DataFrame:
+    """Rows of the branches table for the new branches that branch_check has nothing against.
+
+    Without an offset the fork is where the topic, or the parent, ends now; a fork never lies beyond that end.
+    ends: (topic, partition, end_offset) of the base topics and, under their ids, of branches that have records of their own.
+    """
     own_ends = ends.select(F.col("topic").alias("source"), "partition", "end_offset")
     if branches is not None:
         forks = branches.select(F.col("branch_id").alias("source"), "partition", F.col("fork_offset").alias("end_offset"))
         own_ends = own_ends.unionByName(forks).groupBy("source", "partition").agg(F.max("end_offset").alias("end_offset"))
     asked = F.coalesce(F.try_element_at("base_offsets", "partition"), F.col("fork_offset"))
     return (
-        requests.withColumn("source", F.coalesce("parent_id", "topic"))
+        branch_check(requests, ends, branches).where("reason IS NULL")
         .join(own_ends, "source")
         .select(
-            F.concat_ws("/", "topic", "name").alias("branch_id"), "topic", "name", "parent_id", "partition",
+            "branch_id", "topic", "name", "parent_id", "partition",
             F.least(F.coalesce(asked, F.col("end_offset")), F.col("end_offset")).alias("fork_offset"),
             F.lit(created_at_ms).cast("bigint").alias("created_at_ms"),
             F.lit(ACTIVE).alias("state"), "metadata",
@@ -56,31 +78,40 @@ def branch_append(log: TopicLog, branches: DataFrame, branch_id: str, records: D
     forks = branches.where(F.col("branch_id") == branch_id).select(
         F.lit(branch_id).alias("topic"), "partition", F.col("fork_offset").alias("first_offset")
     )
-    return log.append(records.withColumn("topic", F.lit(branch_id)), first_offsets=forks, **options)
+    return log.append(records.withColumn("topic", F.lit(branch_id)), first_offsets=forks, check_names=False, **options)
 
 
 def branch_lineage(branches: DataFrame) -> DataFrame:
     """(branch_id, source, depth, partition, upto): whose records each branch sees, below which offset.
 
     depth 0 is the branch itself, without a bound; then its parents and at last the topic, bounded by
-    the lowest fork on the way.
+    the lowest fork on the way. Every round doubles the length of the ways up that are known, so there are as many
+    rounds as the longest way has binary digits; a branch that is its own ancestor is an error.
     """
-    spark = branches.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE path(branch_id, topic, at_branch, at_parent, depth, partition, upto, seen_upto) AS (
-          SELECT branch_id, topic, branch_id, parent_id, 0, partition, fork_offset, CAST(NULL AS BIGINT) FROM {b}
-          UNION ALL
-          SELECT p.branch_id, p.topic, up.branch_id, up.parent_id, p.depth + 1, p.partition,
-                 least(p.upto, up.fork_offset), p.upto
-          FROM path p JOIN {b} up ON up.branch_id = p.at_parent AND up.partition = p.partition
-        )
-        SELECT branch_id, at_branch AS source, depth, partition, seen_upto AS upto FROM path
-        UNION ALL
-        SELECT branch_id, topic, depth + 1, partition, upto FROM path WHERE at_parent IS NULL
-        """,
-        b=branches,
+    key = ["branch_id", "partition"]
+    up = branches.select(*key, F.coalesce("parent_id", "topic").alias("source"), F.col("fork_offset").alias("upto"), F.lit(1).alias("depth"))
+    rounds = 0
+    jumps = store(up, "jumps")  # from each branch to what lies 2 ** rounds steps up, and the lowest fork on that way
+    seen = store(
+        branches.select(*key, F.col("branch_id").alias("source"), F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("upto")), "lineage"
     )
+    roots = store(up.select(F.col("source").alias("branch_id"), "partition").join(branches.select(*key), key, "left_anti").distinct(), "roots")
+    tops = roots.select(*key, F.col("branch_id").alias("source"), F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("upto"))
+    names = branches.select("branch_id").distinct().count()
+    while not jumps.isEmpty():
+        if 1 << rounds > 2 * names:
+            raise ValueError("a branch is its own ancestor")
+        via = jumps.select("branch_id", "partition", F.col("source").alias("_via"), F.col("upto").alias("_upto"), F.col("depth").alias("_depth"))
+        above = seen.unionByName(tops).select(F.col("branch_id").alias("_via"), "partition", "source", "depth", "upto")
+        further = via.join(above, ["_via", "partition"]).select(
+            *key, "source", (F.col("depth") + F.col("_depth")).alias("depth"), F.least("upto", "_upto").alias("upto")
+        )
+        onward = jumps.select(F.col("branch_id").alias("_via"), "partition", "source", "upto", "depth")
+        longer = via.join(onward, ["_via", "partition"]).select(
+            *key, "source", F.least("upto", "_upto").alias("upto"), (F.col("depth") + F.col("_depth")).alias("depth")
+        )
+        seen, jumps, rounds = store(seen.unionByName(further), "lineage"), store(longer, "jumps"), rounds + 1
+    return seen.select("branch_id", "source", "depth", "partition", "upto")
 
 
 def branch_discard(branches: DataFrame, changes: DataFrame) -> DataFrame:
@@ -129,3 +160,24 @@ def branch_messages(view: DataFrame, branch_id: str, limit: int | None = None) -
     """Messages of one branch by partition and offset, as many as asked for."""
     rows = view.where(F.col("branch_id") == branch_id).orderBy("partition", "offset")
     return rows if limit is None else rows.limit(limit)
+
+
+def branch_scan(base: TopicLog, own: TopicLog, branches: DataFrame, branch_id: str) -> DataFrame:
+    """All records of one branch, with branch_id first: its lineage becomes bounds that reach the scans.
+
+    The lineage of one branch has a row per ancestor and partition; these come to the driver.
+    """
+    here = F.col("branch_id") == branch_id
+    gone = branches.where(here & (F.col("state") == DISCARDED)).take(1)
+    lines = [] if gone else branch_lineage(branches).where(here).collect()
+    ids = {r.branch_id for r in branches.select("branch_id").distinct().collect()} if lines else set()
+    parts = None
+    for source in sorted({r.source for r in lines}):
+        bounds = [
+            (F.col("partition") == r.partition) & (F.lit(True) if r.upto is None else F.col("offset") < r.upto) for r in lines if r.source == source
+        ]
+        records = (own if source in ids else base).scan(source).where(reduce(lambda a, b: a | b, bounds))
+        parts = records if parts is None else parts.unionByName(records)
+    if parts is None:
+        parts = base.scan().limit(0)
+    return parts.select(F.lit(branch_id).alias("branch_id"), *[c for c in parts.columns if c != "topic"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,22 +15,84 @@ FAILURE = "struct<field_path:string,expected:string,actual:string,message:string
 TYPES = ["object", "array", "string", "integer", "number", "boolean", "null"]
 
 
-def contract_fields(contract: dict | str) -> list[tuple[str, str | None, bool]]:
-    """(path, type, required) for each property of a JSON Schema object, nested ones included."""
+# Keywords that are checked, and those that say nothing about validity.
+BOUNDS = {"minimum": ">=", "maximum": "<=", "exclusiveMinimum": ">", "exclusiveMaximum": "<"}
+CHECKED = {"type", "properties", "required", "additionalProperties", "enum", "minLength", "maxLength", "pattern", *BOUNDS}
+SILENT = {"$schema", "$id", "$comment", "title", "description", "default", "examples"}
+
+
+class Field(NamedTuple):
+    path: tuple[str, ...]
+    rule: dict
+    required: bool
+
+    @property
+    def name(self) -> str:
+        return ".".join(self.path)
+
+
+def contract_fields(contract: dict | str) -> list[Field]:
+    """Each property of a JSON Schema object, nested ones included. A keyword that is not covered is an error."""
     schema = json.loads(contract) if isinstance(contract, str) else contract
-    return list(_fields(schema, "", True))
+    _check_rule(schema, "$")
+    return list(_fields(schema, (), True))
+
 
+def _check_rule(rule: dict, path: str) -> None:
+    unknown = set(rule) - CHECKED - SILENT
+    if unknown:
+        raise ValueError(f"keywords not covered at {path}: {sorted(unknown)}")
+    if rule.get("type") is not None and rule["type"] not in TYPES:
+        raise ValueError(f"unknown type {rule['type']!r} of {path}")
+    if not isinstance(rule.get("additionalProperties", True), bool):
+        raise ValueError(f"additionalProperties of {path} must be true or false")
 
-def _fields(schema: dict, prefix: str, needed: bool) -> Iterator[tuple[str, str | None, bool]]:
+
+def _fields(schema: dict, prefix: tuple[str, ...], needed: bool) -> Iterator[Field]:
     required = set(schema.get("required", []))
     for name, rule in schema.get("properties", {}).items():
-        path = f"{prefix}{name}"
-        kind = rule.get("type")
-        if kind is not None and kind not in TYPES:
-            raise ValueError(f"unknown type {kind!r} of {path}")
-        yield path, kind, needed and name in required
-        if kind == "object":
-            yield from _fields(rule, f"{path}.", needed and name in required)
+        field = Field((*prefix, name), rule, needed and name in required)
+        _check_rule(rule, field.name)
+        yield field
+        if "properties" in rule:
+            yield from _fields(rule, field.path, field.required)
+
+
+def variant_path(path: tuple[str, ...]) -> str:
+    """The path as Spark's variant functions read it, names quoted, so that dots in them are part of them."""
+    return "$" + "".join(f'["{p}"]' if "'" in p else f"['{p}']" for p in path)
+
+
+def rule_failures(field: Field, value: Column, kind: Column) -> list[Column]:
+    """What a value that is there does against its rule; each is null where nothing is wrong."""
+    rule, name, out = field.rule, field.name, []
+    number = value.cast("double")
+    text = F.when(kind == "string", F.variant_get(value, "$", "string"))
+    for word, sign in BOUNDS.items():
+        if word in rule:
+            bound = F.lit(float(rule[word]))
+            wrong = {">=": number < bound, "<=": number > bound, ">": number <= bound, "<": number >= bound}[sign]
+            out.append(F.when(kind.isin("integer", "number") & wrong, failure(name, f"{sign} {rule[word]}", F.to_json(value), F.lit(f"{name} must be {sign} {rule[word]}"))))
+    for word, wrong in (("minLength", F.length(text) < rule.get("minLength", 0)), ("maxLength", F.length(text) > rule.get("maxLength", 0))):
+        if word in rule:
+            out.append(F.when(wrong, failure(name, f"{word} {rule[word]}", F.length(text).cast("string"), F.lit(f"{name} breaks {word} {rule[word]}"))))
+    if "pattern" in rule:
+        out.append(F.when(~text.rlike(rule["pattern"]), failure(name, rule["pattern"], text, F.lit(f"{name} does not match"))))
+    if "enum" in rule:
+        allowed = [json.dumps(v, separators=(",", ":"), ensure_ascii=False) for v in rule["enum"]]
+        out.append(F.when(~F.to_json(value).isin(*allowed), failure(name, "enum", F.to_json(value), F.lit(f"{name} is none of the allowed values"))))
+    return out
+
+
+def extra_failures(path: tuple[str, ...], rule: dict, value: Column, kind: Column) -> list[Column]:
+    if rule.get("additionalProperties", True):
+        return []
+    names = F.array(*[F.lit(n) for n in rule.get("properties", {})]).cast("array<string>")
+    extra = F.array_except(F.json_object_keys(F.to_json(value)), names)
+    first = F.concat_ws(".", *[F.lit(p) for p in path], extra[0])
+    told = F.concat(first, F.lit(" is not among the properties"))
+    found = failure("", "nothing", F.lit("present"), told).withField("field_path", first)
+    return [F.when((kind == "object") & (F.size(extra) > 0), found)]
 
 
 def json_type(value: Column) -> Column:
@@ -41,7 +104,7 @@ def json_type(value: Column) -> Column:
         .when(shown.startswith("OBJECT"), "object")
         .when(shown.startswith("ARRAY"), "array")
         .when(shown == "STRING", "string")
-        .when(shown == "BIGINT", "integer")
+        .when((shown == "BIGINT") | shown.rlike(r"^DECIMAL\(\d+,\s?0\)$"), "integer")  # beyond 64 bits it is a decimal
         .when(shown == "BOOLEAN", "boolean")
         .otherwise("number")
     )
@@ -63,22 +126,21 @@ def contract_validate(records: DataFrame, contract: dict | str, value: str = "va
     fields = contract_fields(contract)
     text = F.try_validate_utf8(F.col(value).cast("string"))
     staged = records.withColumn("_json", F.try_parse_json(text))
-    parts = {
-        f"_f{i}": F.try_variant_get("_json", "$" + "".join(f"['{p}']" for p in path.split(".")), "variant")
-        for i, (path, _, _) in enumerate(fields)
-    }
+    parts = {f"_f{i}": F.try_variant_get("_json", variant_path(f.path), "variant") for i, f in enumerate(fields)}
     kinds = {f"_k{i}": json_type(F.col(f"_f{i}")) for i in range(len(fields))}
     staged = staged.withColumns({"_kind": json_type(F.col("_json")), **parts}).withColumns(kinds)
 
-    checks = []
-    for i, (path, kind, required) in enumerate(fields):
-        actual = F.col(f"_k{i}")
-        if required:
+    schema = json.loads(contract) if isinstance(contract, str) else contract
+    checks = extra_failures((), schema, F.col("_json"), F.col("_kind"))
+    for i, field in enumerate(fields):
+        path, kind, actual = field.name, field.rule.get("type"), F.col(f"_k{i}")
+        if field.required:
             checks.append(F.when(actual.isNull(), failure(path, kind, F.lit("missing"), F.lit(f"{path} is required"))))
         if kind is not None:
             fits = actual.isin("integer", "number") if kind == "number" else actual == kind
             told = F.concat(F.lit(f"{path} must be {kind}, found "), actual)
             checks.append(F.when(actual.isNotNull() & ~fits, failure(path, kind, actual, told)))
+        checks += rule_failures(field, F.col(f"_f{i}"), actual) + extra_failures(field.path, field.rule, F.col(f"_f{i}"), actual)
     whole = (
         F.when(F.col(value).isNull(), failure("$", "object", F.lit("missing"), F.lit("no value")))
         .when(text.isNull(), failure("$", "utf-8", F.lit("bytes"), F.lit("value is not UTF-8 text")))

@@ -35,10 +35,11 @@ def validate_memories(entries: DataFrame) -> DataFrame:
     return entries.withColumn("errors", memory_errors()).withColumn("valid", F.size("errors") == 0)
 
 
-def memory_remember(entries: DataFrame, arrival: list[str]) -> DataFrame:
-    """File valid entries under their tiers' topics, with dense offsets per topic.
+def memory_remember(entries: DataFrame, arrival: list[str], stored: DataFrame | None = None) -> DataFrame:
+    """File valid entries under their tiers' topics, with dense offsets per topic that go on from those in `stored`,
+    what earlier calls have returned.
 
-    Returns the stored rows, kept by tier and in topic order, so that a recall for one agent reads
+    Returns the new rows, which are the receipts, kept by tier and in topic order, so that a recall for one agent reads
     one folder per tier and few row groups of it.
     """
     valid = validate_memories(entries).where("valid").drop("valid", "errors")
@@ -48,7 +49,8 @@ def memory_remember(entries: DataFrame, arrival: list[str]) -> DataFrame:
         valid.withColumn("tier", F.explode(by_kind[F.col("kind")]))
         .withColumn("topic", F.concat("agent_id", ending[F.col("tier")]))
     )
-    numbered = ordered_scan(filed, ["tier", "topic"], arrival, number="offset")
+    starts = None if stored is None else store(stored.groupBy("tier", "topic").agg((F.max("offset") + 1).alias("start")), "starts")
+    numbered = ordered_scan(filed, ["tier", "topic"], arrival, number="offset", starts=starts)
     return store(numbered.sortWithinPartitions("tier", "topic", "offset"), "memories", ["tier"])
 
 

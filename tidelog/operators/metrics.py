@@ -75,21 +75,24 @@ def latency_quantile(
         )
     counts = store(latencies.groupBy(*by, value).agg(F.count("*").alias("_n")), "counts")
     ranked = ordered_scan(counts, by, [value], sums={"_through": F.col("_n")})
-    sizes = counts.groupBy(*by).agg(F.sum("_n").alias("n")).withColumn(
+    sizes = store(counts.groupBy(*by).agg(F.sum("_n").alias("n")).withColumn(
         "_at", F.least(F.floor(F.col("n") * F.lit(fraction)), F.col("n") - 1)
-    )
+    ), "sizes")  # one row per group
     hit = same(ranked, sizes, by) & (ranked["_through"] > sizes["_at"]) & (ranked["_through"] - ranked["_n"] <= sizes["_at"])
     return ranked.join(sizes, hit, "inner").select(*[ranked[c] for c in by], ranked[value].alias("latency"), sizes["n"])
 
 
-def throughput(records: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Messages per second between the first and the last record; null if no time has passed."""
+def throughput(described: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Messages per second between the first and the last record; null if no time has passed.
+
+    described: records, first_timestamp and last_timestamp per topic and partition, as the manifest has them.
+    """
     by = by or ["topic"]
-    seconds = (F.max("timestamp") - F.min("timestamp")) / F.lit(1000.0)
-    return records.groupBy(*by).agg(
-        F.count("*").alias("messages"),
+    seconds = (F.max("last_timestamp") - F.min("first_timestamp")) / F.lit(1000.0)
+    return described.groupBy(*by).agg(
+        F.sum("records").alias("messages"),
         seconds.alias("seconds"),
-        F.try_divide(F.count("*").cast("double"), seconds).alias("messages_per_second"),
+        F.try_divide(F.sum("records").cast("double"), seconds).alias("messages_per_second"),
     )
 
 

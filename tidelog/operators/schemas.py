@@ -28,7 +28,8 @@ PROMOTIONS = [
     ("int", "long"), ("int", "float"), ("int", "double"), ("long", "float"), ("long", "double"),
     ("float", "double"), ("string", "bytes"), ("bytes", "string"),
 ]
-FIELDS = "struct<fields:array<struct<name:string,type:string,default:string>>>"
+JSON_PROMOTIONS = [("integer", "number")]
+DELETED = "deleted"
 
 
 def avro_type(schema) -> T.DataType:
@@ -91,15 +92,24 @@ def decode_topic(records: DataFrame, text: str, schema_type: str = AVRO, value:
     )
 
 
-# -- the catalog: schemas(id, subject, version, schema_type, schema) ---------------------------------
+# -- the catalog: schemas(id, subject, version, schema_type, schema[, deleted]) -----------------------
+#
+# Nothing is taken out of it: a deleted subject's rows are marked, so that their ids and versions are never given again
+# and stored records go on to name the schema they were written with.
+
+
+def live(schemas: DataFrame) -> DataFrame:
+    """The rows that are not deleted."""
+    return schemas.where(~F.coalesce(F.col(DELETED), F.lit(False))) if DELETED in schemas.columns else schemas
 
 
 def subjects(schemas: DataFrame) -> DataFrame:
-    return schemas.select("subject").distinct()
+    return live(schemas).select("subject").distinct()
 
 
 def versions(schemas: DataFrame, subject: str | None = None) -> DataFrame:
     """Versions per subject; an unknown subject gives no row."""
+    schemas = live(schemas)
     if subject is not None:
         schemas = schemas.where(F.col("subject") == subject)
     return schemas.groupBy("subject").agg(F.array_sort(F.collect_list("version")).alias("versions"))
@@ -111,19 +121,19 @@ def schema_by_id(schemas: DataFrame, schema_id: int) -> DataFrame:
 
 def latest(schemas: DataFrame) -> DataFrame:
     newest = F.max(F.struct("version", "id", "schema_type", "schema")).alias("s")
-    return schemas.groupBy("subject").agg(newest).select("subject", "s.*")
+    return live(schemas).groupBy("subject").agg(newest).select("subject", "s.*")
 
 
 def schema_register(requests: DataFrame, schemas: DataFrame, arrival: list[str]) -> DataFrame:
     """The rows that requests (subject, schema_type, schema) add to the catalog.
 
     A text already known keeps its id everywhere, and its version under the same subject. New ids follow
-    the highest id, new versions the subject's highest, both in the order of first arrival.
+    the highest id, new versions the subject's highest, both in the order of first arrival; what has been deleted counts.
     """
     order = F.struct(*arrival)
     text = ["schema_type", "schema"]
     firsts = requests.groupBy("subject", *text).agg(F.min(order).alias("_first"))
-    fresh = firsts.join(schemas, ["subject", *text], "left_anti")
+    fresh = firsts.join(live(schemas), ["subject", *text], "left_anti")
 
     known_ids = schemas.select("id", *text).distinct()
     new_texts = fresh.groupBy(*text).agg(F.min("_first").alias("_first")).join(known_ids, text, "left_anti")
@@ -142,44 +152,90 @@ def schema_register(requests: DataFrame, schemas: DataFrame, arrival: list[str])
 
 
 def schema_delete(schemas: DataFrame, deleted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(the catalog without the deleted subjects, the versions that were removed)."""
-    removed = versions(schemas.join(deleted.select("subject"), "subject", "left_semi"))
-    return schemas.join(deleted.select("subject"), "subject", "left_anti"), removed
+    """(the catalog with the rows of the deleted subjects marked, the versions that were removed)."""
+    gone = deleted.select(F.col("subject").alias("_gone")).distinct()
+    removed = versions(schemas.join(gone, F.col("subject") == F.col("_gone"), "left_semi"))
+    before = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in schemas.columns else F.lit(False)
+    marked = schemas.join(gone, F.col("subject") == F.col("_gone"), "left").withColumn(DELETED, before | F.col("_gone").isNotNull())
+    return marked.drop("_gone"), removed
+
+
+def avro_fields(schema, path: str = "") -> list[tuple[str, list[str], bool]]:
+    """(path, kinds, has default) of the fields of a record, those of records inside it included."""
+    out = []
+    for field in schema.get("fields", []) if isinstance(schema, dict) else []:
+        name, kinds = f"{path}{field['name']}", []
+        for branch in field["type"] if isinstance(field["type"], list) else [field["type"]]:
+            deeper = branch
+            while isinstance(deeper, dict) and deeper["type"] in ("array", "map"):
+                deeper = deeper["items"] if deeper["type"] == "array" else deeper["values"]
+            record = isinstance(deeper, dict) and deeper["type"] == "record"
+            plain = isinstance(branch, dict) and isinstance(branch["type"], str) and branch["type"] not in ("array", "map", "enum", "fixed")
+            kinds.append(branch if isinstance(branch, str) else branch["type"] if plain or record else json.dumps(branch, sort_keys=True))
+            if record:
+                out += avro_fields(deeper, f"{name}.")
+        out.append((name, sorted(kinds), "default" in field))
+    return out
+
+
+def json_fields(schema: dict, path: str = "") -> list[tuple[str, list[str], bool]]:
+    """The same of the properties of a JSON Schema object; what is not required need not be there, as with a default."""
+    out = []
+    for name, rule in schema.get("properties", {}).items():
+        kind = rule.get("type", "any")
+        out.append((f"{path}{name}", sorted(kind) if isinstance(kind, list) else [kind], name not in schema.get("required", [])))
+        deeper = rule
+        while deeper.get("type") == "array":
+            deeper = deeper.get("items", {})
+        if deeper.get("type") == "object":
+            out += json_fields(deeper, f"{path}{name}.")
+    return out
 
 
 def fields_of(schemas: DataFrame, *keys: str) -> DataFrame:
-    """One row per field of each Avro record schema: keys, name, type, default."""
-    parsed = F.from_json("schema", FIELDS, {"mode": "PERMISSIVE"})
-    return schemas.select(*keys, F.explode(parsed.getField("fields")).alias("f")).select(
-        *keys, F.col("f.name").alias("name"), F.col("f.type").alias("type"), F.col("f.default").alias("default")
-    )
+    """One row per field of each schema: keys, name (a path), kinds (the types it may have), has_default."""
+    kinds = {AVRO: avro_fields, JSON: json_fields}
+
+    @F.udf("array<struct<name:string,kinds:array<string>,has_default:boolean>>")
+    def told(schema_type: str, text: str):
+        if schema_type not in kinds:
+            raise ValueError(f"compatibility of {schema_type} schemas is not covered")
+        return kinds[schema_type](json.loads(text))
+
+    typed = schemas if "schema_type" in schemas.columns else schemas.withColumn("schema_type", F.lit(AVRO))
+    return typed.select(*keys, F.inline(told("schema_type", "schema")))
 
 
-def widens(old: Column, new: Column) -> Column:
-    return F.concat_ws(">", old, new).isin(*[f"{a}>{b}" for a, b in PROMOTIONS])
+def readable(old: Column, new: Column) -> Column:
+    """Whether every type that may have been written is among the types now, or is widened to one of them."""
+    pairs = [f"{a}>{b}" for a, b in PROMOTIONS + JSON_PROMOTIONS]
+    return F.forall(old, lambda o: F.exists(new, lambda n: (o == n) | (n == "any") | F.concat_ws(">", o, n).isin(*pairs)))
 
 
 def schema_changes(candidates: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Per subject with an earlier schema and per field: what the candidate (subject, schema) changes.
+    """Per subject with an earlier schema and per field: what the candidate (subject, schema[, schema_type]) changes.
 
-    change is removed, added, added without default, widened or retyped. Whether a reader with the
-    candidate can read what was written before is `breaks`: by fields without default and by new types.
+    change is removed, added, added without default, now required, widened or retyped. Whether a reader with the
+    candidate can read what was written before is `breaks`: by fields without default and by new types. A default of
+    null is a default. Types that may be several things are told with a bar between them.
     """
-    old = fields_of(latest(schemas).join(candidates, "subject", "left_semi"), "subject").withColumnRenamed("type", "old_type")
-    new = fields_of(candidates.join(latest(schemas), "subject", "left_semi"), "subject").withColumnRenamed("type", "new_type")
-    both = old.drop("default").join(new, ["subject", "name"], "full")
+    old = fields_of(latest(schemas).join(candidates, "subject", "left_semi"), "subject").withColumnsRenamed({"kinds": "old", "has_default": "had"})
+    new = fields_of(candidates.join(latest(schemas), "subject", "left_semi"), "subject").withColumnRenamed("kinds", "new")
+    both = old.join(new, ["subject", "name"], "full")
+    json_type = F.coalesce(F.col("had"), F.lit(False)) & ~F.col("has_default")
     change = (
-        F.when(F.col("new_type").isNull(), "removed")
-        .when(F.col("old_type").isNull() & F.col("default").isNull(), "added without default")
-        .when(F.col("old_type").isNull(), "added")
-        .when(F.col("old_type") == F.col("new_type"), None)
-        .when(widens(F.col("old_type"), F.col("new_type")), "widened")
-        .otherwise("retyped")
+        F.when(F.col("new").isNull(), "removed")
+        .when(F.col("old").isNull() & ~F.col("has_default"), "added without default")
+        .when(F.col("old").isNull(), "added")
+        .when((F.col("old") != F.col("new")) & ~readable(F.col("old"), F.col("new")), "retyped")
+        .when(json_type & F.col("_json"), "now required")
+        .when(F.col("old") != F.col("new"), "widened")
     )
+    kinds = candidates.select("subject", (F.col("schema_type") == JSON if "schema_type" in candidates.columns else F.lit(False)).alias("_json"))
     return (
-        both.withColumn("change", change).where("change IS NOT NULL")
-        .select("subject", "name", "old_type", "new_type", "change",
-                F.col("change").isin("added without default", "retyped").alias("breaks"))
+        both.join(kinds, "subject").withColumn("change", change).where("change IS NOT NULL")
+        .select("subject", "name", F.array_join("old", "|").alias("old_type"), F.array_join("new", "|").alias("new_type"), "change",
+                F.col("change").isin("added without default", "now required", "retyped").alias("breaks"))
     )
 
 

@@ -144,7 +144,9 @@ def branch_read(spark, sf_dir):
 
 @query("branch_messages", f"""{BRANCHED} SELECT * FROM seen WHERE branch_id = 'events/exp-a' ORDER BY "partition", "offset" LIMIT 200""")
 def branch_messages(spark, sf_dir):
-    rows = b.branch_messages(view(spark, sf_dir), "events/exp-a", 200)
+    made = forks(spark, sf_dir)
+    one = b.branch_scan(event_log(spark, sf_dir), made.log, made.branches, "events/exp-a")
+    rows = b.branch_messages(one, "events/exp-a", 200)
     return rows.select("branch_id", "partition", "offset", "timestamp", "key")
 
 

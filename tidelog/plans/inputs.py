@@ -32,6 +32,12 @@ def once(build: Callable) -> Callable:
     return get
 
 
+def forget(keep: tuple[str, ...] = ()) -> None:
+    """Have all but the named inputs built anew when they are next asked for."""
+    for key in [k for k in _built if k[2] not in keep]:
+        del _built[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

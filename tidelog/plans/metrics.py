@@ -84,7 +84,7 @@ SELECT topic, "partition", count(*) AS messages, (max("timestamp") - min("timest
 FROM elog GROUP BY ALL
 """)
 def throughput(spark, sf_dir):
-    out = metrics.throughput(events(spark, sf_dir), ["topic", "partition"])
+    out = metrics.throughput(event_log(spark, sf_dir).describe(), ["topic", "partition"])
     return out.withColumn("messages_per_second", F.round("messages_per_second", 9))
 
 

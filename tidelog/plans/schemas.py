@@ -79,7 +79,7 @@ def schema_delete(spark, sf_dir):
     """Two subjects are deleted: what is left, and what was removed."""
     gone = spark.createDataFrame([("Brand#1",), ("Brand#2",)], "subject string")
     left, removed = sc.schema_delete(catalog(spark, sf_dir), gone)
-    kept = left.groupBy("subject").agg(F.count("*").alias("versions")).withColumn("deleted", F.lit(False))
+    kept = sc.live(left).groupBy("subject").agg(F.count("*").alias("versions")).withColumn("deleted", F.lit(False))
     return kept.unionByName(removed.select("subject", F.size("versions").cast("bigint").alias("versions"), F.lit(True).alias("deleted")))
 
 
@@ -102,9 +102,9 @@ def decode_topic(spark, sf_dir):
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each brand proposes its last part's schema with a rank added: with a default for small parts only."""
+    """Each brand proposes its last part's schema with a rank added: small parts' may be null, which is its default."""
     last = schema_requests(spark, sf_dir).groupBy("subject").agg(F.max(F.struct("p_partkey", "schema", "p_size")).alias("r"))
-    rank = F.when(F.col("r.p_size") > 25, ',{"name":"rank","type":"int"}]}').otherwise(',{"name":"rank","type":"int","default":0}]}')
+    rank = F.when(F.col("r.p_size") > 25, ',{"name":"rank","type":"int"}]}').otherwise(',{"name":"rank","type":["null","int"],"default":null}]}')
     return last.select("subject", F.concat(F.regexp_replace("r.schema", r"\]\}$", ""), rank).alias("schema"))
 
 
@@ -112,11 +112,13 @@ CHANGES = f"""
 WITH {REQUESTS},
 candidates AS (
   SELECT subject, regexp_replace(max_by("schema", p_partkey), '\\]\\}}$', '') ||
-         CASE WHEN max_by(p_size, p_partkey) > 25 THEN ',{{"name":"rank","type":"int"}}]}}' ELSE ',{{"name":"rank","type":"int","default":0}}]}}' END AS "schema"
+         CASE WHEN max_by(p_size, p_partkey) > 25 THEN ',{{"name":"rank","type":"int"}}]}}' ELSE ',{{"name":"rank","type":["null","int"],"default":null}}]}}' END AS "schema"
   FROM asked GROUP BY subject),
 old AS (SELECT subject, json_extract_string(f, '$.name') AS name, json_extract_string(f, '$.type') AS old_type
         FROM (SELECT subject, unnest(CAST(json_extract(max_by("schema", version), '$.fields') AS JSON[])) AS f FROM catalog GROUP BY subject)),
-new AS (SELECT subject, json_extract_string(f, '$.name') AS name, json_extract_string(f, '$.type') AS new_type, json_extract_string(f, '$.default') AS dflt
+new AS (SELECT subject, json_extract_string(f, '$.name') AS name, 
+               CASE WHEN json_type(f, '$.type') = 'ARRAY' THEN 'int|null' ELSE json_extract_string(f, '$.type') END AS new_type,
+               CASE WHEN json_exists(f, '$.default') THEN 'yes' END AS dflt
         FROM (SELECT subject, unnest(CAST(json_extract("schema", '$.fields') AS JSON[])) AS f FROM candidates)),
 changes AS (
   SELECT subject, name, old_type, new_type,

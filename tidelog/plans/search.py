@@ -86,7 +86,10 @@ def semantic_search_ann(spark, sf_dir):
 
 @once
 def memories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return memory.memory_remember(memory_entries(spark, sf_dir), ["turn"])
+    """Filed in two calls: the first turns, then all others."""
+    entries = memory_entries(spark, sf_dir)
+    first = memory.memory_remember(entries.where("turn < 2"), ["turn"])
+    return first.unionByName(memory.memory_remember(entries.where("turn >= 2"), ["turn"], first))
 
 
 FILED = f"""

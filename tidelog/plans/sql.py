@@ -130,7 +130,7 @@ def sql_aggregates(spark, sf_dir):
     return topics(spark, sf_dir).sql(f"SELECT part, kind, CAST(level AS BIGINT) AS level, n, users, approx_close, first_at, last_at FROM ({text})")
 
 
-# Frames over blocks of a thousand offsets: a block has a fixed size, whatever key fills it.
+# Frames over the records of a user, as SQL takes them; operators.ordered has the forms that split a user.
 WINDOWS = """
 SELECT {p} AS part, {o} AS off, row_number() OVER (PARTITION BY {b} ORDER BY {o}) AS place,
        rank() OVER (PARTITION BY {b} ORDER BY {v}) AS value_rank,
@@ -144,10 +144,10 @@ FROM {source}
 
 @query("sql_windows", over_topics(
     "SELECT part, off, CAST(place AS INTEGER) AS place, CAST(value_rank AS INTEGER) AS value_rank, earlier, later, frame_rows, recent_high, last_hour FROM ("
-    + WINDOWS.format(b='"partition", floor("offset" / 1000)', p='"partition"', o='"offset"', t='"timestamp"', v="amount", source="elog") + ")"))
+    + WINDOWS.format(b='"key"', p='"partition"', o='"offset"', t='"timestamp"', v="amount", source="elog") + ")"))
 def sql_windows(spark, sf_dir):
     return topics(spark, sf_dir).sql(WINDOWS.format(
-        b="`partition`, floor(`offset` / 1000)", p="`partition`", o="`offset`", t="`timestamp`", v="amount",
+        b="`key`", p="`partition`", o="`offset`", t="`timestamp`", v="amount",
         source="(SELECT *, CAST(get_json_object(value, '$.value') AS DOUBLE) AS amount FROM topic('events'))",
     ))
 

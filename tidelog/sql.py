@@ -15,6 +15,8 @@ from tidelog.sources.topic_log import TopicLog
 DEFAULT_TIMEOUT_MS = 30_000
 DEFAULT_MAX_ROWS = 10_000
 
+_registered: dict[str, tuple[TopicLog, int]] = {}
+
 
 class QueryTimeout(RuntimeError):
     pass
@@ -42,9 +44,10 @@ def register_topics(log: TopicLog, function: str = "topic") -> SparkSession:
     """Make topic('name') a table of the topic's records.
 
     The function is inlined by the optimizer: conditions on topic, partition and offset reach the scan.
-    It sees what had been appended when it was registered; register again to see more.
+    It sees what had been appended when it was registered; run() registers it again if more has been appended since.
     """
     spark = configure(log.spark)
+    _registered[function] = (log, log.version())
     log.scan().createOrReplaceTempView(f"{function}_records")
     spark.sql(
         f"""
@@ -58,6 +61,13 @@ def register_topics(log: TopicLog, function: str = "topic") -> SparkSession:
     return spark
 
 
+def refresh_topics(spark: SparkSession) -> None:
+    """Let the registered functions see what has been appended since."""
+    for function, (log, version) in list(_registered.items()):
+        if log.spark is spark and log.version() != version:
+            register_topics(log, function)
+
+
 def limited(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """One row more than max_rows, to tell whether there are more."""
     return df.limit(max_rows + 1)
@@ -65,6 +75,7 @@ def limited(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
 
 def run(spark: SparkSession, request: QueryRequest) -> QueryResult:
     """Run SQL text; at most max_rows rows come to the driver, and no later than timeout_ms."""
+    refresh_topics(spark)
     tag = f"query-{uuid.uuid4().hex}"
     late = threading.Event()
     sc = spark.sparkContext
