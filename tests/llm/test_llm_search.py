@@ -100,6 +100,19 @@ def test_field_carries_labels(spark):
     assert not found[501].spans and not found[502].spans
 
 
+def test_query_counts_and_digests(spark, sf_dir):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = queries.QUERIES["op1_pii_spans"](spark, sf_dir).collect()
+    assert len(rows) == len(texts) and sum(r.n_card + r.n_phone for r in rows) > 0
+    for r in rows:
+        base = plain.personal(texts[r.doc_id])
+        told = [f"{kind}:{s}:{e}" for s, e, kind in base]
+        counts = plain.Counter(kind for _, _, kind in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(counts[k] for k in ("email", "ip", "card", "phone"))
+        assert r.base_sha256 == hashlib.sha256(",".join(told).encode()).hexdigest()
+        assert set(told) <= set(r.spans.split(",")) and len(told) + r.n_added == len([x for x in r.spans.split(",") if x])
+
+
 def test_field_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     field = fit_field(docs)

@@ -47,12 +47,16 @@ def joined_spans(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def spans_of(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 @query("op1_pii_spans")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents; the counts are of the patterns' matches, spans has also what the field adds."""
     docs = documents(spark, sf_dir)
     found = find_pii(docs, fit_field(docs))
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    counts = [spans_of(kind).alias(f"n_{kind}") for kind in KINDS]
     added = (F.size("spans") - F.size("base")).cast("long").alias("n_added")
     return found.select("doc_id", *counts, F.sha2(joined_spans("base"), 256).alias("base_sha256"), joined_spans("spans").alias("spans"), added)
 
