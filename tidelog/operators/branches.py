@@ -61,7 +61,7 @@ def branch_create(requests: DataFrame, ends: DataFrame, created_at_ms: int, bran
         forks = branches.select(F.col("branch_id").alias("source"), "partition", F.col("fork_offset").alias("end_offset"))
         own_ends = own_ends.unionByName(forks).groupBy("source", "partition").agg(F.max("end_offset").alias("end_offset"))
     asked = F.coalesce(F.try_element_at("base_offsets", "partition"), F.col("fork_offset"))
-    return (
+    return store(
         branch_check(requests, ends, branches).where("reason IS NULL")
         .join(own_ends, "source")
         .select(
@@ -69,7 +69,8 @@ def branch_create(requests: DataFrame, ends: DataFrame, created_at_ms: int, bran
             F.least(F.coalesce(asked, F.col("end_offset")), F.col("end_offset")).alias("fork_offset"),
             F.lit(created_at_ms).cast("bigint").alias("created_at_ms"),
             F.lit(ACTIVE).alias("state"), "metadata",
-        )
+        ),
+        "branches",
     )
 
 
