@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,8 @@ from tidelog.session import store
 
 K = 128  # coordinates of a signature
 SIGMAS = 5  # how far below its mean the number of equal coordinates of a linked pair may fall
-COUNTERS = 1 << 16  # hashed counts of coordinate values that tell rare from frequent ones
+AGREE = 3  # values that two nodes have to share in short lists
+COUNTERS = 1 << 17  # hashed counts of coordinate values that tell rare from frequent ones
 SHORT = 64  # longest posting list of which all pairs are looked at
 BLOCK = 512  # nodes of a long list that are compared with as many others in one step
 FILTER_BITS = 1 << 20  # of the filter that tells which documents' shingles are wanted again
@@ -61,7 +62,7 @@ def count_values(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Recor
     total = np.zeros(COUNTERS, np.int64)
     for batch in batches:
         if batch.num_rows:
-            total += np.bincount((values_of(_matrix(batch.column(0), k)) >> np.uint64(48)).astype(np.int64).ravel(), minlength=COUNTERS)
+            total += np.bincount((values_of(_matrix(batch.column(0), k)) >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64).ravel(), minlength=COUNTERS)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["counter", "n"])
 
@@ -74,7 +75,7 @@ def post(batches: Iterator[pa.RecordBatch], k: int, prefix: int, counts: np.ndar
             continue
         nodes = batch.column(0).to_numpy()
         values = values_of(_matrix(batch.column(1), k))
-        often = counts[(values >> np.uint64(48)).astype(np.int64)]
+        often = counts[(values >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)]
         order = np.lexsort((values, often), axis=1)[:, :prefix]
         rank = (often.sum(axis=1) << 23) | (mix(nodes.astype(np.uint64)) >> np.uint64(41)).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -104,6 +105,25 @@ def linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def matches(left: pa.Table, right: pa.Table, k: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of left the rows of right with enough equal coordinates."""
+    if left.num_rows and right.num_rows:
+        theirs = _matrix(right.column("signature"), k)
+        for at, own in enumerate(_matrix(left.column("signature"), k)):
+            yield at, np.flatnonzero((theirs == own).sum(axis=1) >= least)
+
+
+def touching(left: pa.Table, right: pa.Table, k: int, least: int) -> pa.Table:
+    """Two blocks of (hub, node, component, signature) to the nodes that match one of another component: (hub, node)."""
+    hit_left, hit_right = np.zeros(left.num_rows, bool), np.zeros(right.num_rows, bool)
+    mine, theirs = (t.column("component").to_numpy() for t in (left, right))
+    for at, found in matches(left, right, k, least):
+        found = found[theirs[found] != mine[at]]
+        hit_left[at] = len(found) > 0
+        hit_right[found] = True
+    return pa.concat_tables([t.select(["hub", "node"]).filter(pa.array(hit)) for t, hit in ((left, hit_left), (right, hit_right))])
+
+
 def across(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) -> pa.Table:
     """Two blocks of (node, component, signature, items) to links (a, b) between different components. A link unites two
     components for the rest of the step, so there are at most as many links as components."""
@@ -115,16 +135,14 @@ def across(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) ->
         return x
 
     links = []
-    if left.num_rows and right.num_rows:
-        theirs = _matrix(right.column("signature"), k)
-        nodes, groups = right.column("node").to_pylist(), right.column("component").to_pylist()
-        sets = [np.frombuffer(b, "<u8") for b in right.column("items").to_pylist()]
-        for node, group, signature, items in zip(*(left.column(c).to_pylist() for c in ("node", "component", "signature", "items"))):
-            own = np.frombuffer(items, "<u8")
-            for i in np.flatnonzero((theirs == np.frombuffer(signature, "<u4")).sum(axis=1) >= least):
-                if find(group) != find(groups[i]) and similar(own, sets[i], percent):
-                    names[find(group)] = find(groups[i])
-                    links.append((node, nodes[i]))
+    mine, theirs = ([np.frombuffer(b, "<u8") for b in t.column("items").to_pylist()] for t in (left, right))
+    for at, found in matches(left, right, k, least):
+        group = left["component"][at].as_py()
+        for i in found:
+            other = right["component"][int(i)].as_py()
+            if find(group) != find(other) and similar(mine[at], theirs[i], percent):
+                names[find(group)] = find(other)
+                links.append((left["node"][at].as_py(), right["node"][int(i)].as_py()))
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
@@ -174,46 +192,48 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: in
     return store(sets.join(wanted.select("node", "key"), "key").dropDuplicates(["node"]).select("node", "items"), "sets")
 
 
-def links_off_centre(lists: DataFrame, centres: DataFrame, classes: DataFrame, sets: DataFrame, groups: DataFrame, k: int, least: int, percent: int) -> DataFrame:
-    """(a, b): links in long lists between nodes that are not yet in one component.
-
-    The nodes of a long list that its centre's component lacks are the query set; they are compared with all nodes of
-    lists of this centre, block by block.
-    """
-    named = lists.where(F.col("n") > SHORT).select("hub", "node").distinct().join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    middle = centres.join(groups.withColumnRenamed("node", "b"), "b", "left").groupBy("hub").agg(F.min(F.coalesce("component", "b")).alias("middle"))
-    members = store(named.join(middle, "hub").withColumn("asks", F.col("component") != F.col("middle")), "members")
+def in_blocks(members: DataFrame, columns: list[str], step: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """step over blocks of the members (hub, node, asks, ...) of each hub: those that ask against all of them."""
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     counts = members.groupBy("hub").agg(blocks(F.count("*")).alias("right"), blocks(F.sum(F.col("asks").cast("int"))).alias("left")).where(F.col("left") > 0)
-    full = store(members.join(store(counts, "blocks"), "hub").join(classes.select("node", "signature"), "node").join(sets, "node"), "asked")
+    full = members.join(store(counts, "blocks"), "hub")
     place = F.xxhash64("node")
-    columns = ["hub", "l", "r", "node", "component", "signature", "items"]
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asking = full.where("asks").withColumn("l", F.pmod(place, F.col("left")).cast("int")).withColumn("r", every("right")).select(columns)
-    asked = full.withColumn("r", F.pmod(place, F.col("right")).cast("int")).withColumn("l", every("left")).select(columns).toDF(*columns)
-    return asking.groupBy("hub", "l", "r").cogroup(asked.groupBy("hub", "l", "r")).applyInArrow(
-        lambda left, right: across(left, right, k, least, percent), "a long, b long"
-    )
+    names = ["hub", "l", "r", *columns]
+    asking = full.where("asks").withColumn("l", F.pmod(place, F.col("left")).cast("int")).withColumn("r", every("right")).select(names)
+    asked = full.withColumn("r", F.pmod(place, F.col("right")).cast("int")).withColumn("l", every("left")).select(names).toDF(*names)
+    return asking.groupBy("hub", "l", "r").cogroup(asked.groupBy("hub", "l", "r")).applyInArrow(step, schema)
 
 
 def similar_groups(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the nodes of `classes` (node, key, rep, signature) that have a link, see near_duplicates."""
     least = least_matches(k, percent)
-    lists = posting_lists(classes, k, k - least + 1)
+    lists = posting_lists(classes, k, min(k, k - least + AGREE))
     centres = lists.where(F.col("rank") == F.col("hub")).select("hub", F.col("node").alias("b")).distinct()
     stars = lists.where(F.col("rank") != F.col("hub")).select(F.col("node").alias("a"), "hub").distinct().join(centres, "hub").select("a", "b")
     short = lists.where(F.col("n") <= SHORT).select("value", "node")
-    close = short.select("value", F.col("node").alias("a")).join(short.select("value", F.col("node").alias("b")), "value").where("a < b").select("a", "b")
+    close = short.select("value", F.col("node").alias("a")).join(short.select("value", F.col("node").alias("b")), "value").where("a < b")
+    close = close.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= min(AGREE, least)).select("a", "b")
     pairs = stars.unionByName(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     likely = store(both_ends(pairs, classes, "signature").mapInArrow(lambda b: matching(b, k, least), "a long, b long"), "pairs")
-
-    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lists.where(F.col("n") > SHORT).select("node")).distinct()
+    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = shingle_sets(docs, classes, nodes, size, id_col, text_col)
     links = both_ends(likely, sets, "items").mapInArrow(lambda b: linked(b, percent), "a long, b long")
     groups = store(components(links), "groups")
-    more = store(links_off_centre(lists, centres, classes, sets, groups, k, least, percent), "links")
-    if more.isEmpty():
+
+    # Nodes of long lists outside their centre's component are a query set; they are compared with all nodes of lists of
+    # this centre, first by signatures alone. What touches another component so is then compared by the full sets.
+    named = lists.where(F.col("n") > SHORT).select("hub", "node").distinct().join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    middle = centres.join(groups.withColumnRenamed("node", "b"), "b", "left").groupBy("hub").agg(F.min(F.coalesce("component", "b")).alias("middle"))
+    members = named.join(middle, "hub").withColumn("asks", F.col("component") != F.col("middle")).drop("middle")
+    members = store(members.join(classes.select("node", "signature"), "node"), "members")
+    columns = ["node", "component", "signature"]
+    touched = store(in_blocks(members, columns, lambda x, y: touching(x, y, k, least), "hub long, node long").distinct(), "touched")
+    if touched.isEmpty():
         return groups
+    sets = shingle_sets(docs, classes, touched.select("node").distinct(), size, id_col, text_col)
+    members = store(members.join(touched, ["hub", "node"]).join(sets, "node"), "members")
+    more = in_blocks(members, [*columns, "items"], lambda x, y: across(x, y, k, least, percent), "a long, b long")
     return components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
@@ -229,10 +249,10 @@ def near_duplicates(
     documents of their own; a null id is never a component's name unless the group has no other. No rows give no rows.
 
     Equal sets become one node first, so copies never meet as pairs. A node is posted under the rarest `prefix` of its
-    k coordinate-value pairs: two nodes with at least `least` equal coordinates share one of these, whatever they are.
+    k coordinate-value pairs: two nodes with at least `least` equal coordinates share AGREE of these, whatever they are.
     The other, more frequent coordinates are not merged; they are compared once a pair has been found. In every list each
     node is paired with the most central one (whose values are the most frequent, such as the origin of many copies), and
-    in lists of up to SHORT nodes with all others. Pairs with enough equal coordinates are verified on the full sets. The
+    in lists of up to SHORT nodes with all others that it meets AGREE times. Pairs with enough equal coordinates are verified on the full sets. The
     nodes of long lists that this leaves outside their centre's component are then compared with all others there, in blocks.
     """
     signed = store(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
