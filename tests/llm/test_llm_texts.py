@@ -22,6 +22,7 @@ ODD = ["", " ", "a  b", "a b ", " a", "x\n\n\ny", "a \n b", "tab\tand nbsp x",
 
 def test_encoder_equals_tokenizer(monkeypatch):
     monkeypatch.setattr("tidelog.llm.encode.REMEMBERED", 50)
+    monkeypatch.setattr("tidelog.llm.encode.KEPT", 20)
     own = Encoder(PATH)
     texts = ODD + [f"word{i} more{i % 7}, and\nthen{i}" for i in range(200)]
     for _ in range(2):

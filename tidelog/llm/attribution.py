@@ -45,7 +45,7 @@ def join_spans(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tupl
 def attribute(batches: Iterator[pa.RecordBatch], path: str, fields: list[str]) -> Iterator[pa.RecordBatch]:
     """(id, fields...) to one row per section."""
     tokens = encoder(path)
-    widths = tokens.byte_lengths()
+    widths = tokens.widths
     for batch in batches:
         values = [["" if v is None else v for v in column.to_pylist()] for column in batch.columns[1:]]
         texts = [SEPARATOR.join(parts) for parts in zip(*values)]
@@ -74,6 +74,7 @@ def attribute(batches: Iterator[pa.RecordBatch], path: str, fields: list[str]) -
             ],
             ["doc_id", "field", "section", "start", "end", "n_tokens", "n_crossing"],
         )
+    tokens.trim()
 
 
 def section_tokens(docs: DataFrame, fields: list[str], tokenizer: str | None = None, id_col: str = "doc_id") -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+from itertools import islice
 
 import numpy as np
 
-REMEMBERED = 400_000  # words a process remembers; when full, it starts anew
+REMEMBERED = 800_000  # words a task remembers at most, about 300 bytes each
+KEPT = 150_000  # of these, those learned first stay for the next task: common words come early
 STEP = 64  # texts that are looked up at once
+TOGETHER = 2000  # words that are encoded as one text
+NOT_ALONE = b""
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -27,40 +31,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes | None] = {}
+        self.widths = self.byte_lengths()
+        self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of a space and each word; None for a word that cannot be taken alone."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        alone = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        self.known.update(dict.fromkeys(words))
-        for at in range(0, len(alone), 4096):
-            some = alone[at:at + 4096]
-            self.known.update(zip(some, self._whole([" " + w for w in some])))
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of a space and each word; none for a word that cannot be taken alone.
+
+        Many words are encoded as one text; the bytes that each id covers tell where a word ends.
+        """
+        alone = [" " + w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        self.known.update(dict.fromkeys(words, NOT_ALONE))
+        for at in range(0, len(alone), TOGETHER):
+            some = alone[at:at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            covered = np.cumsum(self.widths[ids])
+            ends = np.cumsum([len(w.encode()) for w in some])
+            cuts = np.searchsorted(covered, ends)
+            if len(ids) and covered[-1] == ends[-1] and (covered[cuts] == ends).all():
+                data, size = ids.tobytes(), self.dtype.itemsize
+                stops = ((cuts + 1) * size).tolist()
+                parts = [data[a:b] for a, b in zip([0, *stops], stops)]
+            else:
+                parts = self._whole(some)
+            self.known.update(zip((w[1:] for w in some), parts))
+
+    def _parts(self, cut: list[list[str]]) -> list[list[bytes]]:
+        found = [list(map(self.known.get, parts)) for parts in cut]
+        missing = {w for parts, ids in zip(cut, found) if None in ids for w, i in zip(parts, ids) if i is None}
+        if missing:
+            if len(self.known) + len(missing) > REMEMBERED:
+                self.trim()
+                missing = {w for parts in cut for w in parts if w not in self.known}
+            self._learn(list(missing))
+            found = [list(map(self.known.__getitem__, parts)) if None in ids else ids for parts, ids in zip(cut, found)]
+        return found
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         out: list[bytes | None] = [None] * len(texts)
         for at in range(0, len(texts), STEP):
             cut = [text.split(" ") for text in texts[at:at + STEP]]
-            words = set().union(*(parts[1:] for parts in cut))
-            unknown = words.difference(self.known)
-            if unknown:
-                self._learn(words if len(self.known) + len(unknown) > REMEMBERED else unknown)
-            for i, (parts, first) in enumerate(zip(cut, self._whole([parts[0] for parts in cut])), at):
-                text = texts[i]
-                if parts[0] and not parts[0][-1].isspace() and not any(s in text for s in self.special):
-                    found = list(map(self.known.__getitem__, parts[1:]))
-                    if None not in found:
-                        out[i] = first + b"".join(found)
+            begin = self._whole([parts[0] for parts in cut])
+            for i, (parts, first, found) in enumerate(zip(cut, begin, self._parts([parts[1:] for parts in cut])), at):
+                if parts[0] and not parts[0][-1].isspace() and NOT_ALONE not in found and not any(s in texts[i] for s in self.special):
+                    out[i] = first + b"".join(found)
         left = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(left, self._whole([texts[i] for i in left])):
             out[i] = ids
         return [np.frombuffer(ids, self.dtype) for ids in out]
 
+    def trim(self) -> None:
+        """Give memory back: a process that has no task holds KEPT words at most."""
+        if len(self.known) > KEPT:
+            self.known = dict(islice(self.known.items(), KEPT))
+
     def byte_lengths(self) -> np.ndarray:
         """Bytes that each id covers: a byte-level token has one letter per byte, a special one stands for its name."""
         out = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)

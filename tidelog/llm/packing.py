@@ -80,6 +80,7 @@ def encode(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[p
             [batch.column(0), pa.array(places), pa.array([zlib.crc32(b) for b in ids], pa.int64()), pa.array(ids, pa.binary())],
             ["doc_id", "place", "tie", "ids"],
         )
+    tokens.trim()
 
 
 def cut(batches: Iterator[pa.RecordBatch], length: int, dtype: str) -> Iterator[pa.RecordBatch]:
