@@ -19,8 +19,8 @@ from tidelog.llm.langid import UNKNOWN, held_out, identify, learn_profiles  # no
 from tidelog.llm.lines import drop_repeated_lines  # noqa: E402
 from tidelog.llm.neardup import near_duplicates  # noqa: E402
 from tidelog.llm.packing import pack  # noqa: E402
-from tidelog.llm.text import documents  # noqa: E402
-from tidelog.session import configure, store  # noqa: E402
+from tidelog.llm.text import documents, prepared  # noqa: E402
+from tidelog.session import store  # noqa: E402
 
 
 def without(docs: DataFrame, judged: DataFrame, stays: str) -> DataFrame:
@@ -31,14 +31,14 @@ def without(docs: DataFrame, judged: DataFrame, stays: str) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in none of the learned languages, those without text or letters, go."""
-    configure(spark)
+    prepared(spark)
     profiles = learn_profiles(docs.where(~held_out()).select("lang", "text"))
     return identify(docs, profiles, docs.columns).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 40 code points or more that five documents share stay in one of them; n_chars follows."""
-    configure(spark)
+    prepared(spark)
     carry = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     kept = drop_repeated_lines(docs, carry=carry).withColumnRenamed("kept_text", "text").withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(*docs.columns)
@@ -46,20 +46,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shingles of five words, similarity 0.8 or more, the one with the least id stays."""
-    configure(spark)
+    prepared(spark)
     return without(docs, near_duplicates(docs), "kept")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of a benchmark item, or the whole of a shorter one, go."""
-    configure(spark)
+    prepared(spark)
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs, found.select("doc_id", (~F.col("contaminated")).alias("clean")), "clean")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents left, in sequences of at most 1024 tokens."""
-    configure(spark)
+    prepared(spark)
     return pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -76,7 +76,7 @@ ORACLE_SQL = None  # SQL has neither rank-order profiles nor a tokenizer; tests/
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; what a stage keeps is written once, as the next one reads it several times."""
-    configure(spark)
+    prepared(spark)
     sf_dir = sf_dir.rstrip("/")
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:

@@ -17,8 +17,7 @@ from tidelog.llm.merkle import audit, lay_out, warc_record
 from tidelog.llm.neardup import near_duplicates
 from tidelog.llm.packing import pack
 from tidelog.llm.pii import KINDS, find_pii, fit_field
-from tidelog.llm.text import documents
-from tidelog.session import configure
+from tidelog.llm.text import documents, prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +31,7 @@ WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir.rstrip("/"))
+            return fn(prepared(spark), sf_dir.rstrip("/"))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
