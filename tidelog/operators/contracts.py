@@ -66,12 +66,13 @@ def variant_path(path: tuple[str, ...]) -> str:
 def rule_failures(field: Field, value: Column, kind: Column) -> list[Column]:
     """What a value that is there does against its rule; each is null where nothing is wrong."""
     rule, name, out = field.rule, field.name, []
-    number = value.cast("double")
+    exact, rough = (F.try_variant_get(value, "$", kind_) for kind_ in ("decimal(38,9)", "double"))
     text = F.when(kind == "string", F.variant_get(value, "$", "string"))
     for word, sign in BOUNDS.items():
         if word in rule:
-            bound = F.lit(float(rule[word]))
-            wrong = {">=": number < bound, "<=": number > bound, ">": number <= bound, "<": number >= bound}[sign]
+            # Large integers differ by less than a double can tell; what a decimal cannot hold is compared as a double.
+            pairs = ((exact, F.lit(str(rule[word])).cast("decimal(38,9)")), (rough, F.lit(float(rule[word]))))
+            wrong = F.coalesce(*[{">=": n < b, "<=": n > b, ">": n <= b, "<": n >= b}[sign] for n, b in pairs])
             out.append(F.when(kind.isin("integer", "number") & wrong, failure(name, f"{sign} {rule[word]}", F.to_json(value), F.lit(f"{name} must be {sign} {rule[word]}"))))
     for word, wrong in (("minLength", F.length(text) < rule.get("minLength", 0)), ("maxLength", F.length(text) > rule.get("maxLength", 0))):
         if word in rule:
