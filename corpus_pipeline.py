@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidelog.llm.decontaminate import contamination  # noqa: E402
-from tidelog.llm.langid import UNKNOWN, held_out, identify, learn_profiles  # noqa: E402
+from tidelog.llm.langid import UNKNOWN, held_out, identify, learn_profiles, least_score  # noqa: E402
 from tidelog.llm.lines import drop_repeated_lines  # noqa: E402
 from tidelog.llm.neardup import near_duplicates  # noqa: E402
 from tidelog.llm.packing import pack  # noqa: E402
@@ -30,10 +30,13 @@ def without(docs: DataFrame, judged: DataFrame, stays: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in none of the learned languages, those without text or letters, go."""
+    """Documents in none of the learned languages go: those without text or letters, and those whose n-grams stand further
+    from every profile than least_score allows."""
     prepared(spark)
-    profiles = learn_profiles(docs.where(~held_out()).select("lang", "text"))
-    return identify(docs, profiles, docs.columns).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    learned = docs.where(~held_out()).select("lang", "text")
+    profiles = learn_profiles(learned)
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= least_score(learned, profiles))
+    return identify(docs, profiles, docs.columns).where(known).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

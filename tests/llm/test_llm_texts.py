@@ -218,6 +218,20 @@ def test_pipeline(spark, sf_dir):
     assert sum(p.length for p in pieces.collect()) == sum(len(x) + 1 for x in encoder(PATH).ids([t for _, t in rows]))
 
 
+FOREIGN = [
+    "Ο γρήγορος αλεπού πηδά πάνω από τον σκύλο και τρέχει", "быстрая лиса прыгает через ленивую собаку и убегает", "敏捷的棕色狐狸跳过了懒狗",
+    "Szybki brązowy lis przeskakuje nad leniwym psem i ucieka do lasu każdego dnia", "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee metsään joka päivä",
+    "xq zzkw qjx vvb wxq kkz jjq xzv",
+]
+
+
+def test_pipeline_drops_languages_that_were_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    extra = [(10_000_000 + i, t, None, "s", len(t)) for i, t in enumerate(FOREIGN)]
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id", "text").collect() if any(c.isalpha() for c in r.text or "")}
+
+
 def keep(rows, judged, at):
     stays = defaultdict(bool)
     for row in judged:

@@ -18,6 +18,7 @@ RANKS = 300  # n-grams of a profile
 LANGUAGES = 1000  # most languages that can be learned; more are an error
 UNKNOWN = "und"
 GATHERED = 1 << 18  # different n-grams a task holds before it passes their counts on
+FAR = 5  # standard deviations below the mean at which a score is no longer one of the learned languages
 CODE, TOP = 20, (1 << 20) - 1  # bits of a letter in an n-gram's number
 
 _letters = np.zeros(0, bool)
@@ -139,6 +140,14 @@ def identify(docs: DataFrame, profiles: Profiles, carry: list[str], text_col: st
     return read.mapInArrow(predict, ", ".join([f"`{c}` {type_of(docs, c)}" for c in carry] + ["lang_pred string", "score double"]))
 
 
+def least_score(texts: DataFrame, profiles: Profiles) -> float:
+    """The score below which a text is in none of the learned languages: FAR standard deviations under the mean score of
+    all rows of (lang, text) that are found to be in their own language, at most half of that mean, never below 0."""
+    own = identify(texts, profiles, ["lang"]).where(F.col("lang") == F.col("lang_pred"))
+    mean, spread = own.agg(F.avg("score"), F.stddev_pop("score")).first()
+    return 0.0 if mean is None else max(0.0, min(mean - FAR * spread, mean / 2))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept from learning: crc32 of its id as text, modulo 4, is 2. A null id is the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
