@@ -1,13 +1,15 @@
 """A corpus pipeline of llm operators: language ID, line dedup, near-dedup, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that the one before has kept; all but the last return
-the columns of `documents`. An id names a document: rows of one id stay or go together, and a null id is an id like others.
+the columns of `documents`. Near-dedup and decontamination judge each row by itself, whatever its id, and tell rows apart by
+a stored number.
 """
 
 from __future__ import annotations
 
 import os
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +22,28 @@ from tidelog.llm.lines import drop_repeated_lines  # noqa: E402
 from tidelog.llm.neardup import near_duplicates  # noqa: E402
 from tidelog.llm.packing import pack  # noqa: E402
 from tidelog.llm.text import documents, prepared  # noqa: E402
-from tidelog.session import store  # noqa: E402
+from tidelog.session import new_path, staging, store  # noqa: E402
 
+ROW = "_row"
 
-def without(docs: DataFrame, judged: DataFrame, stays: str) -> DataFrame:
-    """docs without the ids none of whose rows in `judged` stay."""
-    gone = store(judged.groupBy("doc_id").agg(F.max(stays).alias("stays")).where(~F.col("stays")).select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs, stored with a number of each row, which names the row whatever its id."""
+    return store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def without(docs: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Numbered docs without the rows of which judge(docs) has the number; what judging has stored is dropped."""
+    path = new_path(docs.sparkSession, "gone")
+    with staging(docs.sparkSession):
+        judge(docs).select(ROW).write.parquet(path)
+    return docs.join(docs.sparkSession.read.schema(f"{ROW} long").parquet(path), ROW, "left_anti").drop(ROW)
+
+
+def later(places: DataFrame, group: list[str]) -> DataFrame:
+    """Of (_row, *group, place), the rows that are not first of their group by place."""
+    first = places.groupBy(*group).agg(F.min("place").getField(ROW).alias(ROW))
+    return places.select(ROW).join(first.select(ROW), ROW, "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,16 +65,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shingles of five words, similarity 0.8 or more, the one with the least id stays."""
+    """Of documents linked by shingles of five words, similarity 0.8 or more, one row of the least id stays; of blank rows,
+    which are linked with nothing, one of each id and text."""
     prepared(spark)
-    return without(docs, near_duplicates(docs), "kept")
+    return without(numbered(docs), copies)
+
+
+def copies(rows: DataFrame) -> DataFrame:
+    """The rows that near_dedup drops."""
+    judged = near_duplicates(rows, ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    places = store(judged.join(rows.select(ROW, "doc_id"), ROW).withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", ROW)), "places")
+    blank = rows.where(F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(ROW, "doc_id", "text", F.struct(ROW).alias("place"))
+    return later(places, ["component_id"]).unionByName(later(blank, ["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of a benchmark item, or the whole of a shorter one, go."""
     prepared(spark)
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, found.select("doc_id", (~F.col("contaminated")).alias("clean")), "clean")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return without(numbered(docs), lambda rows: contamination(rows, benchmark, id_col=ROW).where("contaminated").select(F.col("doc_id").alias(ROW)))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

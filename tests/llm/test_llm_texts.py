@@ -232,6 +232,26 @@ def test_pipeline_drops_languages_that_were_not_learned(spark):
     assert kept == {r.doc_id for r in docs.select("doc_id", "text").collect() if any(c.isalpha() for c in r.text or "")}
 
 
+def test_pipeline_judges_rows_without_or_with_one_id_by_themselves(spark):
+    first, second = ("".join(f"{w}{i} " for i in range(40)) for w in ("word", "other"))
+    rows = [(None, first, 1), (None, first, 2), (None, first + "more", 3), (None, second, 4), (7, second, 5), (7, second, 6), (3, second + "end", 7), (7, "alone", 8), (9, "", 9), (9, "", 10), (8, "", 11), (None, None, 12), (None, None, 13)]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for i, t, n in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = plain.multiset((r.doc_id, r.text) for r in kept.collect())
+    copy = next(t for i, t in got if i is None and t)
+    assert copy in (first, first + "more") and got == plain.multiset([(None, copy), (3, second + "end"), (7, "alone"), (9, ""), (8, ""), (None, None)])
+
+
+def test_pipeline_drops_each_contaminated_row(spark, tmp_path):
+    item = " ".join(f"item{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "clean text"), (None, f"before {item} after"), (5, item), (5, "also clean"), (None, item), (6, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert plain.multiset((r.doc_id, r.text) for r in got) == plain.multiset([(None, "clean text"), (5, "also clean")])
+
+
 def keep(rows, judged, at):
     stays = defaultdict(bool)
     for row in judged:
