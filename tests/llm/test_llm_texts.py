@@ -170,6 +170,29 @@ def test_main_text():
     ]
 
 
+ARTICLE = "<article>{}<p>" + "plain words of the article " * 8 + "</p><p>" + "more words of it " * 9 + "</p></article>"
+
+
+@pytest.mark.parametrize("wrapper", ['div class="content has-sidebar"', 'div class="no-sidebar"', 'section id="with-comments"', 'div class="page header-fixed"', 'div class="widget"', "form", 'div class="main-nav"'])
+def test_wrappers_do_not_lose_the_article(wrapper):
+    own = '<div class="entry-header"><h1>The title</h1></div>'
+    for inner in (ARTICLE.format(own), f"<main>{ARTICLE.format(own)}</main>"):
+        text = main_text(f"<body><nav><a>Home</a></nav><{wrapper}>{inner}</{wrapper.split()[0]}></body>", learn_tree())
+        assert [b.split()[0] for b in text.split("\n\n")] == ["The", "plain", "more"]
+
+
+def test_wrappers_without_an_article():
+    paragraphs = "".join(f"<p>{word} " + "and many other words " * 30 + "</p>" for word in ("one", "two", "three", "four", "five"))
+    text = main_text(f'<div class="content has-sidebar">{paragraphs}</div>', learn_tree())
+    assert [b.split()[0] for b in text.split("\n\n")] == ["one", "two", "three", "four", "five"]
+    assert [b.split()[0] for b in main_text(f'<div class="page widget">{paragraphs}</div>', learn_tree()).split("\n\n")][1:4] == ["two", "three", "four"]
+
+
+@pytest.mark.parametrize("rest", ['<div class="entry-footer">Filed under tea and other things</div>', '<div id="comments"><article><p>Great article, thanks a lot</p></article></div>', "<aside><article>A teaser of another text</article></aside>"])
+def test_boilerplate_in_main_goes(rest):
+    assert "\n\n".join(main_text(f"<main>{ARTICLE.format('')}{rest}</main>", learn_tree()).split("\n\n")[2:]) == ""
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "</div></p>", "<nav>", "&", "<!-- x", "<script>", "<p>" * 5000 + "</div>" * 5000, "<div>" * 3000])
 def test_odd_pages(html):
     assert main_text(html, learn_tree()) == ""

@@ -23,6 +23,8 @@ HINTS = frozenset(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer gdpr header menu modal nav navbar navigation newsletter "
     "notice pagination popup promo related reply replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+# Parts of names that say something of a wrapper's state or layout, not what it is: has-sidebar, header-fixed.
+STATES = frozenset("has no not with without is hide hidden show toggle open closed fixed sticky active enabled disabled visible layout".split())
 
 # Blocks labelled by hand. Words and link density in percent of a block, of the one before and of the one
 # after; 1 where the block stands in an article or main element; 1 where it stands in a navigation, footer, aside, form,
@@ -111,17 +113,32 @@ LABELLED = """
 3 0 4 0 5 0 0 0 0
 5 0 3 0 2 0 0 0 0
 2 0 5 0 0 0 0 0 0
+120 0 90 0 110 0 0 1 1
+150 0 120 0 100 0 0 1 1
+100 2 150 0 90 0 0 1 1
+180 4 100 2 140 0 0 1 1
 """
 
 
+def hinted(attrs: list[tuple[str, str | None]], inside: bool) -> int:
+    """2 if a class, id or role is a hint word, 1 if one has it as a part, else 0. A header inside an article is its own."""
+    hints = HINTS - {"header"} if inside else HINTS
+    level = 0
+    for word in (word for k, v in attrs if k in ("class", "id", "role") and v for word in v.lower().split()):
+        parts = word.replace("_", "-").split("-")
+        level = max(level, 2 if word in hints else int(not hints.isdisjoint(parts) and STATES.isdisjoint(parts)))
+    return level
+
+
 class Blocks(HTMLParser):
     """Flat blocks of a page in order: [words with white space as one space, words in links, in main, in boilerplate]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, and hidden, main, boilerplate as they were outside it
+        self.open: list[tuple[str, bool, bool, int]] = []  # tag, and hidden, main, boilerplate as they were outside it
         self.depth: Counter = Counter()  # open elements by tag
-        self.hidden, self.main, self.boiler, self.links = False, False, False, 0
+        self.hidden, self.main, self.links = False, False, 0
+        self.boiler = 0  # 1 by a part of a name, 2 by a whole name or a form, header or dialog, 3 by a nav, footer, aside or menu
         self.parts: list[str] = []
         self.linked = 0
         self.blocks: list[tuple[str, int, bool, bool]] = []
@@ -129,7 +146,7 @@ class Blocks(HTMLParser):
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append((text, self.linked, self.main, self.boiler))
+            self.blocks.append((text, self.linked, self.main, self.boiler > 0))
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -143,7 +160,6 @@ class Blocks(HTMLParser):
             if tag == "a":
                 self.links = 1
             return
-        names = {part for k, v in attrs if k in ("class", "id", "role") and v for word in v.lower().split() for part in (word, *word.replace("_", "-").split("-"))}
         if tag in SELF_CLOSING and self.open and self.open[-1][0] == tag or tag == "body" and self.depth["head"]:
             self.close_element("head" if tag == "body" else tag)
         hidden = tag in HIDDEN or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
@@ -152,7 +168,13 @@ class Blocks(HTMLParser):
         inside = self.main
         self.hidden |= hidden
         self.main |= tag in MAIN
-        self.boiler |= tag in ASIDE and not (tag == "header" and inside) or bool(names & HINTS) and tag not in ("html", "body", *MAIN)
+        if tag in MAIN:  # what is around it was a wrapper; an article inside the main text may be a comment or a teaser
+            cleared = 3 if tag == "main" else 1 if inside else 2
+            self.boiler = self.boiler if self.boiler > cleared else 0
+        elif tag in ASIDE and not (tag == "header" and inside):
+            self.boiler = max(self.boiler, 3 if tag in ("nav", "footer", "aside", "menu") else 2)
+        elif tag not in ("html", "body"):
+            self.boiler = max(self.boiler, hinted(attrs, inside))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
