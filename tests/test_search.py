@@ -64,6 +64,21 @@ def test_bucket_index_recall(spark):
     assert "PartitionFilters: [" in plan and "tbl" in plan
 
 
+def test_neighbouring_buckets_of_the_given_embeddings(spark):
+    from tidelog.plans import search as plan
+
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    vectors = np.array([r.embedding for r in given], float)
+    records = spark.createDataFrame([("vectors", 0, r.vec_id, r.embedding) for r in given], "topic string, partition int, offset bigint, embedding array<float>")
+    index = s.BucketIndex(spark, new_path(spark, "index"), plan.DIMS, plan.TABLES, plan.BITS).build(records)
+    found = wanted = 0
+    for i in (at for at, r in enumerate(given) if r.vec_id % 100 == 0):
+        truth = {given[j].vec_id for j in best(vectors, vectors[i], 10)}
+        found += len({r.offset for r in index.search(list(vectors[i]), 10, flips=1).collect()} & truth)
+        wanted += len(truth)
+    assert found / wanted >= 0.9
+
+
 def test_words(spark):
     df = spark.createDataFrame([("The cat, the HAT!", "a cat"), ("", "x"), (None, "x")], "a string, b string")
     got = df.select(words(F.col("a")).alias("w"), word_cosine(words(F.col("a")), words(F.col("b"))).alias("c")).collect()

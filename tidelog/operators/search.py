@@ -89,17 +89,19 @@ class BucketIndex:
         self.schema = self.filed(records, embedding).schema
         return self
 
-    def candidates(self, query: list[float]) -> DataFrame:
+    def candidates(self, query: list[float], flips: int = 0) -> DataFrame:
+        """Records in the query's bucket of some table, or in one that differs from it in at most `flips` bits."""
         import numpy as np
 
         found = buckets_of(np.asarray([query], dtype=float), self.planes)[0]
-        wanted = " OR ".join(f"(tbl = {t} AND bucket = {b})" for t, b in enumerate(found))
+        masks = [m for m in range(1 << self.bits) if m.bit_count() <= flips]
+        wanted = " OR ".join(f"(tbl = {t} AND bucket IN ({', '.join(str(int(b) ^ m) for m in masks)}))" for t, b in enumerate(found))
         return self.spark.read.schema(self.schema).parquet(self.path).where(wanted)
 
-    def search(self, query: list[float], k: int = DEFAULT_K, filters: dict | None = None, embedding: str = "embedding") -> DataFrame:
-        """The k best among all records that share a bucket with the query in some table."""
+    def search(self, query: list[float], k: int = DEFAULT_K, filters: dict | None = None, embedding: str = "embedding", flips: int = 0) -> DataFrame:
+        """The k best among all records that in some table share a bucket with the query, or are at most `flips` bits away."""
         check_search("index", query, k)
-        close = matching(self.candidates(query), filters)
+        close = matching(self.candidates(query, flips), filters)
         hits = scored(close.drop("tbl", "bucket"), query, embedding)
         # A record found in several tables has one score; copies are dropped among the best only:
         # the best k records fill at most k * tables rows.
