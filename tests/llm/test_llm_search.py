@@ -145,3 +145,12 @@ def test_audit_of_equal_replicas(spark):
     assert audit(frame, "a", "b").collect() == [] and audit(frame.limit(0), "a", "b").collect() == []
     fewer = frame.unionByName(spark.createDataFrame([("a", *replicas(spark)[0])], frame.schema))
     assert [r.fault for r in audit(fewer, "a", "b").collect()] == ["missing"]
+
+
+def test_all_near_pairs_and_words_beyond_ascii(spark):
+    docs = spark.createDataFrame([(1, "red blue x blue RED y y y blue"), (2, "Über den Été")], "doc_id long, text string")
+    index = positional_index(docs)
+    got = sorted((r.first, r.second) for r in proximity(index, "Red", "BLUE", 4).collect())
+    assert got == [(0, 1), (0, 3), (4, 1), (4, 3), (4, 8)]
+    assert [(r.first, r.second) for r in proximity(index, "Über", "Été", 2).collect()] == [(0, 2)]
+    assert proximity(index, "red", "blue", 0).collect() == []

@@ -117,14 +117,15 @@ def contamination(
 
 
 def proximity(index: DataFrame, left: str, right: str, within: int) -> DataFrame:
-    """(row, first, second): where two words stand at most `within` positions apart, in either order, nearest pairs only.
+    """(row, first, second): all places where two words stand at most `within` positions apart, in either order.
 
-    For each occurrence of `left` the nearest occurrence of `right` on either side; the scan runs inside a document.
+    Places are cut into stretches of `within`, so each occurrence of `left` meets only those of `right` in its own stretch
+    and the two beside it. As in the index, only A-Z is lower-cased.
     """
-    terms = {side: F.xxhash64(F.lit(w.lower())) for side, w in (("left", left), ("right", right))}
-    both = index.where(F.col("term").isin(terms["left"], terms["right"])).select("row", "pos", (F.col("term") == terms["left"]).alias("is_left"), (F.col("term") == terms["right"]).alias("is_right"))
-    line = Window.partitionBy("row").orderBy("pos")
-    back = F.last(F.when(F.col("is_right"), F.col("pos")), ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.first(F.when(F.col("is_right"), F.col("pos")), ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
-    near = both.withColumns({"back": back, "ahead": ahead}).where("is_left").select("row", F.col("pos").alias("first"), F.explode(F.array("back", "ahead")).alias("second"))
-    return near.where(F.abs(F.col("first") - F.col("second")) <= within)
+    width = max(1, within)
+    places = {side: index.where(F.col("term") == F.xxhash64(ascii_lower(F.lit(w)))).select("row", "pos") for side, w in (("left", left), ("right", right))}
+    stretch = F.floor(F.col("pos") / width)
+    first = places["left"].select("row", F.col("pos").alias("first"), F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch"))
+    second = places["right"].select("row", F.col("pos").alias("second"), stretch.alias("stretch"))
+    near = first.join(second, ["row", "stretch"]).where((F.col("first") != F.col("second")) & (F.abs(F.col("first") - F.col("second")) <= within))
+    return near.select("row", "first", "second")
