@@ -154,3 +154,9 @@ def test_all_near_pairs_and_words_beyond_ascii(spark):
     assert got == [(0, 1), (0, 3), (4, 1), (4, 3), (4, 8)]
     assert [(r.first, r.second) for r in proximity(index, "Über", "Été", 2).collect()] == [(0, 2)]
     assert proximity(index, "red", "blue", 0).collect() == []
+
+
+def test_pages_without_an_id_are_in_both_replicas(spark, tmp_path):
+    rows = [(None, "u", "<p>a"), (None, "u", "<p>b")] + [(i, "u", "<p>c") for i in range(20)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert [r for r in queries.QUERIES["op9_merkle_audit"](spark, str(tmp_path)).collect() if r.file is None] == []

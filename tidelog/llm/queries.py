@@ -192,7 +192,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fate == "07", F.sha2(warc_record(F.col("url"), F.reverse("html")), 256)).alias("reversed"),
     )
     placed = lay_out(records, "file", ["page_id"], "length")
-    second = placed.where("fate <> '08'").withColumn("digest", F.coalesce("reversed", "digest"))
+    second = placed.where(~F.col("fate").eqNullSafe("08")).withColumn("digest", F.coalesce("reversed", "digest"))
     columns = ["file", "offset", "length", "digest"]
     replicas = placed.select(F.lit("first").alias("replica"), *columns).unionByName(second.select(F.lit("second").alias("replica"), *columns))
     return audit(replicas, "first", "second")
