@@ -13,11 +13,14 @@ from tidelog.llm.exact import exact_groups
 from tidelog.llm.html import extract
 from tidelog.llm.langid import held_out, identify, learn_profiles
 from tidelog.llm.lines import drop_repeated_lines
+from tidelog.llm.manifest import folded, proofs
 from tidelog.llm.merkle import audit, lay_out, warc_record
 from tidelog.llm.neardup import near_duplicates
 from tidelog.llm.packing import pack
+from tidelog.llm.pieces import encode
 from tidelog.llm.pii import KINDS, find_pii, fit_field
 from tidelog.llm.text import documents, prepared
+from tidelog.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,3 +206,64 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     found = extract(spark.read.parquet(f"{sf_dir}/pages.parquet"), ["page_id", "url"])
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+TREE_LEVELS = 9  # that the SQL has room for: 8 ** 9 documents in a language
+
+
+def tree_sql(levels: int) -> str:
+    """Leaves, levels of the trees by language and of the tree over these, and each leaf's siblings and refolded digest."""
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)), "
+           "lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)")
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    row = lambda text: "sha256(" + " || ".join([*map(field, ["doc_id", "source", "lang", "n_chars"]), field(text)]) + ")"
+    parts = [f"""
+leaves AS (SELECT doc_id, lang, {row("text")} AS d, CASE WHEN {crc} % 3 = 0 THEN {row(LOWER.format("text"))} ELSE {row("text")} END AS t FROM documents),
+l0 AS (SELECT coalesce(lang, '') AS name, lang IS NULL AS none, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, d) - 1 AS p, d, t FROM leaves),
+n0 AS (SELECT none, name, p, d FROM l0),
+w0 AS (SELECT none, name, p AS leaf_p, p, t AS f, '' AS proof FROM l0)"""]
+
+    def climb(node: str, walk: str, keys: str, leaf: str, at: int) -> None:
+        on = " AND ".join(f"w.{k} = r.{k}" for k in keys.split(", "))
+        parts.append(f"""
+r{node}{at + 1} AS (SELECT {keys}, p // 8 AS run, list(d ORDER BY p) AS ds, sum(count(*)) OVER (PARTITION BY {keys}) > 1 AS many FROM {node}{at} GROUP BY {keys}, p // 8),
+{node}{at + 1} AS (SELECT {keys}, run AS p, CASE WHEN many THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM r{node}{at + 1}),
+{walk}{at + 1} AS (SELECT {", ".join(f"w.{k}" for k in keys.split(", "))}, {leaf}, run AS p,
+  CASE WHEN many THEN sha256(array_to_string(list_concat(list_concat(ds[:p % 8], [f]), ds[p % 8 + 2:]), '')) ELSE f END AS f,
+  CASE WHEN many THEN proof || array_to_string(list_concat(ds[:p % 8], ds[p % 8 + 2:]), '') ELSE proof END AS proof
+  FROM {walk}{at} w JOIN r{node}{at + 1} r ON {on} AND w.p // 8 = r.run)""")
+
+    for at in range(levels):
+        climb("n", "w", "none, name", "leaf_p", at)
+    parts.append(f"""
+m0 AS (SELECT 0 AS top, row_number() OVER (ORDER BY none DESC, encode(name)) - 1 AS p, d, none, name FROM n{levels}),
+v0 AS (SELECT 0 AS top, w.none, w.name, w.leaf_p, m0.p, w.f, w.proof FROM w{levels} w JOIN m0 ON w.none = m0.none AND w.name = m0.name)""")
+    for at in range(levels):
+        climb("m", "v", "top", "w.none, w.name, w.leaf_p", at)
+    return ",".join(parts)
+
+
+@query("op11_merkle_manifest", f"""
+WITH {tree_sql(TREE_LEVELS)}
+SELECT doc_id, l.d AS leaf, n.d AS subroot, m.d AS root, sha256(v.proof) AS proof_sha256, v.f AS folded_root, v.f = m.d AS verified
+FROM l0 l JOIN n{TREE_LEVELS} n ON l.none = n.none AND l.name = n.name
+JOIN v{TREE_LEVELS} v ON l.none = v.none AND l.name = v.name AND l.p = v.leaf_p CROSS JOIN m{TREE_LEVELS} m
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A witness for every document, tried on what a tamperer leaves of it."""
+    tried = proofs(documents(spark, sf_dir)).withColumn("folded_root", folded(F.col("tried"), F.col("path")))
+    return tried.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_sentencepiece")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and the texts that these decode to."""
+    coded = encode(documents(spark, sf_dir))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their four leading components."""
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=4)
