@@ -24,10 +24,10 @@ from tidelog.llm.text import type_of
 
 SPACE = "▁"  # stands for a space inside pieces
 MODEL = "piece_bpe_32k.model"
-REMEMBERED = 400_000  # parts of texts whose ids a worker remembers at most, about 250 bytes each
-KEPT = 200_000  # of these, those learned first stay when there are more: common parts come early
+REMEMBERED = 1_000_000  # parts of texts whose ids a worker remembers at most, about 200 bytes each
+KEPT = 500_000  # of these, those learned first stay when there are more: common parts come early
 LONGEST = 40  # letters of a part that is remembered
-PAIRS = 1_000_000  # neighbours whose compatibility a worker remembers at most
+PAIRS = 500_000  # pairs of neighbours of which a worker remembers what fits, at most
 STEP = 256  # texts that are looked up at once
 NOBODY = "�"
 NEVER = 1 << 60
@@ -55,6 +55,7 @@ class Pieces:
         if len(byte) != 256 or model.encode(" a  b ", out_type=str) != model.encode("▁a▁▁b▁", out_type=str) or model.decode(model.encode("  a  b ")) != "  a  b ":
             raise ValueError("only models that keep texts as they are, with byte pieces")
         self.byte_ids = [i for i, _ in sorted(byte.items(), key=lambda x: x[1])]
+        names = [name.replace(SPACE, " ") for name in names]  # texts that stay in one byte a letter are shorter and quicker
         self.names = {i: names[i] for i in self.plain}
         self.ids_by_name = {names[i]: i for i in self.plain}
         self.length = [len(n) for n in names]
@@ -83,7 +84,7 @@ class Pieces:
         self.halves: list[tuple[int, int] | None] = [None] * size  # the two pieces that a merge joins
         self.joined: dict[tuple[int, int], int] = {}
         self.shorter = [-1] * size  # the longest piece that begins a piece
-        self.known_pairs: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, int] = {}
         self._learn_merges(merged)
         self.parts = self._cutter()
         self.known: dict[str, bytes] = {}
@@ -95,7 +96,7 @@ class Pieces:
             return bytes([byte[i]])
         if model.is_control(i):
             return b""
-        return (" ⁇ " if model.is_unknown(i) else name.replace(SPACE, " ")).encode()
+        return (" ⁇ " if model.is_unknown(i) else name).encode()
 
     def _learn_merges(self, merged: list[int]) -> None:
         """In the order of merges: the halves of each piece, and the automaton of pieces that merging can reach."""
@@ -112,18 +113,19 @@ class Pieces:
                     reached[name] = i
                     break
         self.automaton = ahocorasick.Automaton()
+        self.letters = {name: i for name, i in reached.items() if len(name) == 1}
         for name, i in reached.items():
-            self.automaton.add_word(name, i)
+            if len(name) > 1:
+                self.automaton.add_word(name, i)
             self.shorter[i] = next((reached[name[:n]] for n in range(len(name) - 1, 0, -1) if name[:n] in reached), -1)
         self.automaton.make_automaton()
-        self.known_pairs.clear()
 
     def _cutter(self) -> re.Pattern:
-        """Parts that no piece can cross: before a mark that follows another letter, and around tabs and line ends."""
+        """Parts that no piece can cross: before a space that follows another letter, and around tabs and line ends."""
         ends = "".join(c for c in "\t\n\r" if c not in self.ids_by_name)
-        if any(SPACE in name.lstrip(SPACE) for name in self.names.values()):
+        if any(" " in name.lstrip(" ") for name in self.names.values()):
             return re.compile("(?s).+")
-        return re.compile(f"{SPACE}*[^{SPACE}{ends}]+|{SPACE}+" + (f"|[{ends}]" if ends else ""))
+        return re.compile(f" *[^ {ends}]+| +" + (f"|[{ends}]" if ends else ""))
 
     def _compatible(self, a: int, b: int) -> bool:
         """Whether merging keeps a and b apart: undo their merges at the border, the later one first, and look for a merge
@@ -143,37 +145,50 @@ class Pieces:
             else:
                 return True
 
+    def _fitting(self, last: int, token: int) -> int:
+        """The longest of token and the pieces that begin it that is compatible with last before it; -1 if none is."""
+        while token >= 0 and not self._compatible(last, token):
+            token = self.shorter[token]
+        return token
+
     def encode_part(self, part: str) -> list[int]:
         """Ids of a text without regard to its begin; letters that are no pieces become their bytes."""
-        longest: dict[int, int] = {}
         length = self.length
-        for end, i in self.automaton.iter(part):  # by their ends, so the longest from a place comes last
+        longest = [*map(self.letters.get, part), None]  # from each place
+        for end, i in self.automaton.iter(part):  # by their ends, so the longest comes last
             longest[end - length[i] + 1] = i
-        pairs, shorter = self.known_pairs, self.shorter
+        fits, shorter = self.fits, self.shorter
         size = len(part)
         failed = bytearray(size + 1)
         out: list[int] = []  # ids, or -1 for a letter that is no piece
-        at, token = 0, longest.get(0, -1)
+        at, token, last = 0, longest[0], -1
         while at < size:
-            last = out[-1] if out else -1
-            while True:
-                end = at + (length[token] if token >= 0 else 1)
-                if not failed[end]:
-                    if last < 0 or token < 0:
-                        fits = True
-                    elif (fits := pairs.get((last, token))) is None:
-                        fits = pairs[last, token] = self._compatible(last, token)
-                    if fits:
-                        out.append(token)
-                        at = end
-                        token = longest.get(at, -1)
+            if token is None:
+                out.append(-1)
+                at, last = at + 1, -1
+                token = longest[at]
+                continue
+            while token >= 0:
+                if last >= 0:
+                    key = last << 32 | token
+                    token = fits.get(key, -2)
+                    if token == -2:
+                        token = fits[key] = self._fitting(last, key & 0xFFFFFFFF)
+                    if token < 0:
                         break
-                token = shorter[token] if token >= 0 else -1
-                if token < 0:  # nothing fits here: take the piece before back, and try a shorter one in its place
-                    failed[at] = 1
-                    token = out.pop()
-                    at -= length[token]
+                if not failed[at + length[token]]:
                     break
+                token = shorter[token]
+            if token >= 0:
+                out.append(token)
+                at, last = at + length[token], token
+                token = longest[at]
+            else:  # nothing fits here: take the piece before back, and try a shorter one in its place
+                failed[at] = 1
+                token = out.pop()
+                at -= length[token]
+                last = out[-1] if out else -1
+                token = shorter[token]
         if -1 in out:
             ids, at = [], 0
             for token in out:
@@ -193,8 +208,8 @@ class Pieces:
         return out
 
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
-        if len(self.known_pairs) > PAIRS:
-            self.known_pairs.clear()
+        if len(self.fits) > PAIRS:
+            self.fits.clear()
         found = {part: np.array(self.encode_part(part), self.dtype).tobytes() for part in parts}
         if len(self.known) + len(found) > REMEMBERED:
             self.known = dict(islice(self.known.items(), KEPT))
@@ -205,7 +220,7 @@ class Pieces:
         """Ids of each text, without begin or end; an empty text has none."""
         out = []
         for at in range(0, len(texts), STEP):
-            cut = [self.parts.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts[at:at + STEP]]
+            cut = [self.parts.findall(" " + text.replace(SPACE, " ")) if text else [] for text in texts[at:at + STEP]]
             found = [list(map(self.known.get, parts)) for parts in cut]
             new = {part for parts, ids in zip(cut, found) if None in ids for part, i in zip(parts, ids) if i is None}
             if new:
