@@ -65,12 +65,10 @@ def test_bucket_index_recall(spark):
 
 
 def test_neighbouring_buckets_of_the_given_embeddings(spark):
-    from tidelog.plans import search as plan
-
     given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
     vectors = np.array([r.embedding for r in given], float)
     records = spark.createDataFrame([("vectors", 0, r.vec_id, r.embedding) for r in given], "topic string, partition int, offset bigint, embedding array<float>")
-    index = s.BucketIndex(spark, new_path(spark, "index"), plan.DIMS, plan.TABLES, plan.BITS).build(records)
+    index = s.BucketIndex(spark, new_path(spark, "index"), 64, 8, 6).build(records)
     found = wanted = 0
     for i in (at for at, r in enumerate(given) if r.vec_id % 100 == 0):
         truth = {given[j].vec_id for j in best(vectors, vectors[i], 10)}

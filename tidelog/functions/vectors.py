@@ -38,6 +38,25 @@ def cosine(vector: Column, query: list[float]) -> Column:
     return score(vector)
 
 
+def cosine_pair(left: Column, right: Column) -> Column:
+    """Cosine similarity of two vectors of each row; null where one is null or zero, or their lengths differ."""
+
+    @F.arrow_udf("double")
+    def score(a: pa.Array, b: pa.Array) -> pa.Array:
+        size = a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        same = (size == b.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)) & (size > 0)
+        out = np.full(len(size), np.nan)
+        for dims in np.unique(size[same]):
+            rows = same & (size == dims)
+            (_, x), (_, y) = (matrix(v.filter(pa.array(rows)), dims) for v in (a, b))
+            norms = np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)
+            dots = np.einsum("ij,ij->i", x, y)
+            out[rows] = np.divide(dots, norms, out=np.full(len(dots), np.nan), where=norms > 0)
+        return pa.array(out, from_pandas=True)
+
+    return score(left, right)
+
+
 def sign_planes(dims: int, tables: int, bits: int) -> np.ndarray:
     """Random +1/-1 hyperplanes, shape (tables, bits, dims), from the parity of MD5 sums.
 

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from tidelog.functions.routing import hash_partition
 from tidelog.operators import memory
 from tidelog.operators import search as s
+from tidelog.operators.ann import CodeIndex, few_read
 from tidelog.operators.ordered import ordered_scan
 from tidelog.plans.inputs import PARTITIONS, once, table
 from tidelog.plans.metrics import ENTRIES, memory_entries
 from tidelog.plans.registry import hashed, query
-from tidelog.session import new_path, store
+from tidelog.session import store
 
-DIMS, TABLES, BITS = 64, 8, 6
+DIMS = 64
 
 
 @once
@@ -59,26 +60,30 @@ def search_filtered(spark, sf_dir):
 
 
 @once
-def bucket_index(spark: SparkSession, sf_dir: str) -> s.BucketIndex:
-    return s.BucketIndex(spark, new_path(spark, "buckets"), DIMS, TABLES, BITS).build(vectors(spark, sf_dir))
+def code_index(spark: SparkSession, sf_dir: str) -> CodeIndex:
+    return CodeIndex(spark, vectors(spark, sf_dir), DIMS)
+
+
+ASKED = 100  # every row whose id this divides is a query
 
 
 @query("semantic_search_ann", f"""
-WITH {VECTORS},
-planes AS (
-  SELECT t.t, b.b, list_transform(range({DIMS}), lambda d:
-           CASE WHEN substr(md5(t.t || ':' || b.b || ':' || d), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS plane
-  FROM range({TABLES}) t(t), range({BITS}) b(b)),
-sides AS (SELECT key, t, b, list_dot_product(embedding, plane) > 0 AS side FROM vectors, planes),
-found AS (
-  SELECT DISTINCT key FROM (
-    SELECT a.key, a.t FROM sides a JOIN sides z ON a.t = z.t AND a.b = z.b AND z.key = '0'
-    GROUP BY a.key, a.t HAVING bool_and(a.side = z.side)))
-{BEST} (SELECT * FROM scored WHERE key IN (SELECT key FROM found) {ORDER})
+WITH {VECTORS.replace("wanted AS (SELECT", "wanted AS (SELECT vec_id AS query_id,").replace("vec_id = 0", f"vec_id % {ASKED} = 0").replace("v.*,", "v.*, query_id,")},
+placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, "partition", "offset") AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS place, "partition", "offset", round(score, 6) AS score, true AS recall_is_enough, true AS few_are_read
+FROM placed WHERE place <= 10
 """)
 def semantic_search_ann(spark, sf_dir):
-    """The best among records that share a bucket with the query; the SQL finds the buckets on its own."""
-    return hits(bucket_index(spark, sf_dir).search(query_vector(spark, sf_dir)))
+    """Every embedding whose id is divisible by 100, looked up among all; the SQL scores all pairs. Recall@10 against brute
+    force must be 0.9 at least, and less than a third of the records be scored exactly."""
+    index = code_index(spark, sf_dir)
+    asked = store(table(spark, sf_dir, "embeddings").where(F.col("vec_id") % ASKED == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("q")), "queries")
+    hits = store(index.search(asked, vector_col="q"), "hits")
+    enough = index.recall(hits, asked) >= 0.9
+    return hits.select(
+        "query_id", "place", "partition", "offset", F.round("score", 6).alias("score"),
+        F.lit(enough).alias("recall_is_enough"), few_read(index.scored, asked.count(), index.rows).alias("few_are_read"),
+    )
 
 
 # -- memory -----------------------------------------------------------------------------------------
