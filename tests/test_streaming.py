@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tidelog.operators import catalog, reads
 from tidelog.session import new_path
 from tidelog.streaming import follow
+from tidelog.streaming.source import open_stream
 from tidelog.operators.metrics import failure_states
 from tidelog.streaming.windows import dedup_stream, failure_windows, metric_windows
 
@@ -16,7 +17,7 @@ def rows(spark, start, n):
 
 def test_resume_after_a_failure(spark, log):
     sink, commits, checkpoint = (new_path(spark, n) for n in ("sink", "commits", "checkpoint"))
-    start = lambda f: follow.resume(log.stream("t").select("topic", "partition", "offset", "value"), "g", f, sink, commits, checkpoint)
+    start = lambda f: follow.resume(open_stream(spark, log, "t").select("topic", "partition", "offset", "value"), "g", f, sink, commits, checkpoint)
     log.append(rows(spark, 0, 30), partitions=2)
     start(lambda df: df).awaitTermination()
     log.append(rows(spark, 30, 20), partitions=2)

@@ -13,6 +13,7 @@ from tidelog.plans.registry import ELOG, RECORD, query
 from tidelog.session import new_path, store
 from tidelog.sources.topic_log import TopicLog
 from tidelog.streaming import follow
+from tidelog.streaming.source import END, drain, open_stream
 from tidelog.streaming.windows import dedup_stream, failure_windows, metric_windows
 
 DAY_MS, HOUR_MS = 86_400_000, 3_600_000
@@ -27,6 +28,41 @@ def topic_stream(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(path)
 
 
+@query("stream_from_offsets", f"""
+WITH {ELOG} SELECT {RECORD} FROM elog
+WHERE ("partition" = 0 AND "offset" >= 100) OR "partition" = 1 OR ("partition" = 2 AND "offset" >= 5) OR ("partition" = 3 AND "timestamp" >= {MID_JANUARY})
+""")
+def stream_from_offsets(spark, sf_dir):
+    """Partition 0 from 100, 1 from its beginning, 2 from 5, 3 from its end, which is the middle of the month; the rest is
+    appended when the stream has stopped, and read when it goes on."""
+    log = TopicLog(spark, new_path(spark, "positions"))
+    path, checkpoint = new_path(spark, "landed"), new_path(spark, "checkpoint")
+    for half in (F.col("timestamp") < MID_JANUARY, F.col("timestamp") >= MID_JANUARY):
+        log.append(event_records(spark, sf_dir).where(half), PARTITIONS, ["ts", "event_id"])
+        drain(open_stream(spark, log, "events", {0: 100, 2: 5, 3: END}), path, checkpoint)
+    return spark.read.parquet(path).select(*PLAIN)
+
+
+@query("stream_from_timestamp", f'WITH {ELOG} SELECT {RECORD} FROM elog WHERE "timestamp" >= {MID_JANUARY}')
+def stream_from_timestamp(spark, sf_dir):
+    path = new_path(spark, "landed")
+    drain(open_stream(spark, event_log(spark, sf_dir), "events", since=MID_JANUARY), path, new_path(spark, "checkpoint"))
+    return spark.read.parquet(path).select(*PLAIN)
+
+
+@query("stream_bounded", f"""
+WITH {ELOG} SELECT "partition", "offset", "key", CAST("offset" // (SELECT count(*) // 5 // {PARTITIONS} FROM events) AS INTEGER) AS batch FROM elog
+""")
+def stream_bounded(spark, sf_dir):
+    """A fifth of the events to a batch; the stream is stopped after two batches, in the middle of its partitions."""
+    log = event_log(spark, sf_dir)
+    most = log.describe().agg(F.sum("records")).first()[0] // 5
+    path, checkpoint = new_path(spark, "landed"), new_path(spark, "checkpoint")
+    for batches in (2, None):
+        drain(open_stream(spark, log, "events", most=most), path, checkpoint, batches)
+    return spark.read.parquet(path).select("partition", "offset", "key", "batch")
+
+
 @query("stream_tail_count", f"""
 WITH {ELOG} SELECT topic, "partition", count(*) AS records, max("offset") + 1 AS position FROM elog GROUP BY topic, "partition"
 """)
@@ -48,7 +84,7 @@ def stream_resume(spark, sf_dir):
     records, arrival = event_records(spark, sf_dir), ["ts", "event_id"]
     for half in (F.col("timestamp") < MID_JANUARY, F.col("timestamp") >= MID_JANUARY):
         log.append(records.where(half), PARTITIONS, arrival)
-        stream = log.stream("events").select("topic", "partition", "offset")
+        stream = open_stream(spark, log, "events").select("topic", "partition", "offset")
         follow.resume(stream, "readers", lambda batch: batch, sink, commits, checkpoint).awaitTermination()
     current = catalog.current_commits(spark.read.parquet(commits))
     done = spark.read.parquet(sink).groupBy("topic", "partition").agg(

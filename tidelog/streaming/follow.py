@@ -70,7 +70,9 @@ def resume(
     """Poll, process, commit: the sink is written first, then the group's positions.
 
     Both go to a folder named by the micro-batch, so a batch that is run again after a failure
-    replaces what it had written, and a restart goes on from the checkpoint.
+    replaces what it had written, and a restart goes on from the checkpoint. The position is the end
+    of a batch, so the stream must be source.open_stream's, whose batches have no gaps: files of
+    one append may come in any order, and a position would pass over records still to be read.
     """
 
     def step(batch: DataFrame, number: int) -> None:
