@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import sql as tsql
+from tidelog.operators.halo import NUMBER, lag, lead, numbered, over_range, over_rows, with_rank
+from tidelog.operators.intervals import range_join
 from tidelog.operators.ordered import asof_join
 from tidelog.plans.inputs import full_log
-from tidelog.plans.reads import events
+from tidelog.plans.reads import MID_JANUARY, events
 from tidelog.plans.registry import ELOG, OLOG, query
+from tidelog.session import store
+
+MONTH_BEGIN, HOUR_MS = 1704067200000, 3_600_000  # 2024-01-01T00:00:00Z
 
 
 def topics(spark: SparkSession, sf_dir: str) -> SparkSession:
@@ -111,6 +116,26 @@ def sql_joins_asof(spark, sf_dir):
     return joined.select("partition", "offset", "event_id", "purchase_id", "purchased_at")
 
 
+# Every other event is moved to one moment; the windows of orders lie in the month of the events and overlap.
+MOVED = f"CASE WHEN event_id % 2 = 0 THEN {MID_JANUARY} ELSE {{t}} END"
+OPENS = f"{MONTH_BEGIN} + o_orderkey * 7 % 43200 * 60000"
+CLOSES = f"{OPENS} + CAST({{k}} AS BIGINT) % 7 * 60000"
+
+
+@query("sql_joins_range", over_topics(f"""
+SELECT event_id, moment, o_orderkey, opens, closes
+FROM (SELECT event_id, {MOVED.format(t='"timestamp"')} AS moment FROM elog) e
+JOIN (SELECT o_orderkey, {OPENS} AS opens, {CLOSES.format(k='"key"')} AS closes FROM olog) o ON e.moment BETWEEN o.opens AND o.closes
+"""))
+def sql_joins_range(spark, sf_dir):
+    """Events that fall into windows of orders, without an equal key; one moment has half the events."""
+    told = events(spark, sf_dir).select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), "timestamp")
+    points = told.select("event_id", F.expr(MOVED.format(t="`timestamp`")).alias("moment"))
+    bought = full_log(spark, sf_dir).scan("orders").select("key", F.get_json_object("value", "$.o_orderkey").cast("long").alias("o_orderkey"))
+    windows = bought.select("o_orderkey", F.expr(OPENS).alias("opens"), F.expr(CLOSES.format(k="`key`")).alias("closes"))
+    return range_join(points, windows, "moment", "opens", "closes")
+
+
 AGGREGATES = """
 SELECT {part} AS part, {kind} AS kind, grouping({part}) + 2 * grouping({kind}) AS level, count(*) AS n, count(DISTINCT {k}) AS users,
        {close} AS approx_close, min({at}) AS first_at, max({at}) AS last_at
@@ -152,6 +177,28 @@ def sql_windows(spark, sf_dir):
     ))
 
 
+BUSY = "CASE WHEN CAST({id} AS BIGINT) % 2 = 0 THEN 'busy' ELSE {k} END"
+
+
+@query("sql_windows_busy", over_topics(
+    "SELECT part, off, who, CAST(place AS BIGINT) AS place, CAST(value_rank AS BIGINT) AS value_rank, earlier, later, frame_rows, recent_high, last_hour FROM ("
+    + WINDOWS.format(b="who", p='"partition"', o="event_id", t='"timestamp"', v="amount", source=f"""(SELECT *, {BUSY.format(id="event_id", k='"key"')} AS who FROM elog)""")
+    .replace("event_id AS off", '"offset" AS off, who') + ")"))
+def sql_windows_busy(spark, sf_dir):
+    """The windows of sql_windows, where one user has half the events: no task takes all events of a user."""
+    parsed = F.from_json("value", "event_id bigint, value double")
+    rows = events(spark, sf_dir).withColumn("v", parsed).select(
+        F.col("partition").alias("part"), F.col("offset").alias("off"), "timestamp", F.col("v.event_id").alias("event_id"), F.col("v.value").alias("amount"),
+        F.expr(BUSY.format(id="get_json_object(value, '$.event_id')", k="`key`")).alias("who"),
+    )
+    keys = ["who"]
+    told = over_rows(numbered(rows, keys, ["event_id"]), keys, {
+        "earlier": lag(F.col("timestamp")), "later": lead(F.col("timestamp")), "frame_rows": (F.count("*"), -2, 0), "recent_high": (F.max("amount"), -4, -1),
+    })
+    told = with_rank(over_range(store(told, "framed"), keys, "timestamp", {"last_hour": (F.lit(1), -HOUR_MS, 0)}), keys, "amount", "value_rank")
+    return told.select("part", "off", "who", (F.col(NUMBER) + 1).alias("place"), "value_rank", "earlier", "later", "frame_rows", "recent_high", "last_hour")
+
+
 @query("sql_sort_limit", over_topics("""
 SELECT "partition", "offset", "key" FROM elog ORDER BY "offset" DESC, "partition" LIMIT 5 OFFSET 2
 """))
