@@ -88,6 +88,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidelog/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path whose table is dropped with those that store() has written, if this is within staging()."""
+    path = new_path(spark, name)
+    if _staged.get() is not None:
+        _staged.get().append(path)
+    return path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    fs, found = hadoop_path(spark, path)
+    fs.delete(found, True)
+
+
 def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write df to the shared folder and read it back.
 
@@ -95,12 +108,10 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     (partition ids, sampled range bounds), and gives the planner a real size, so it broadcasts the
     table in later joins only while it is under spark.sql.autoBroadcastJoinThreshold.
     """
-    path = new_path(df.sparkSession, name)
+    path = staged_path(df.sparkSession, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if _staged.get() is not None:
-        _staged.get().append(path)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -121,5 +132,4 @@ def staging(spark: SparkSession) -> Iterator[None]:
     finally:
         _staged.reset(token)
         for path in paths:
-            fs, found = hadoop_path(spark, path)
-            fs.delete(found, True)
+            drop(spark, path)
