@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.text import ascii_lower, type_of
-from tidelog.session import new_path, store
+from tidelog.session import staged_path, store
 
 WINDOW = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -34,7 +34,7 @@ def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     postings = flat.select(
         "term", "row", (F.col("at") - 1).alias("pos"), F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.col("n_words")).alias("n_words")
     )
-    path = new_path(docs.sparkSession, "postings")
+    path = staged_path(docs.sparkSession, "postings")
     postings.sortWithinPartitions("term").write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(f"term long, row long, pos int, doc_id {type_of(docs, id_col)}, n_words int").parquet(path)
 

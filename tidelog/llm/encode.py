@@ -7,13 +7,13 @@ from itertools import islice
 
 import numpy as np
 
-REMEMBERED = 800_000  # words a task remembers at most, about 300 bytes each
+REMEMBERED = 800_000  # words a process remembers at most, about 200 bytes each
 KEPT = 150_000  # of these, those learned first stay for the next task: common words come early
 STEP = 64  # texts that are looked up at once
 TOGETHER = 2000  # words that are encoded as one text
 NOT_ALONE = b""
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, int, int], "Encoder"] = {}
 
 
 class Encoder:
@@ -24,7 +24,7 @@ class Encoder:
     are given to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED, kept: int = KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -32,6 +32,7 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.widths = self.byte_lengths()
+        self.remembered, self.kept = remembered, kept
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -62,7 +63,7 @@ class Encoder:
         found = [list(map(self.known.get, parts)) for parts in cut]
         missing = {w for parts, ids in zip(cut, found) if None in ids for w, i in zip(parts, ids) if i is None}
         if missing:
-            if len(self.known) + len(missing) > REMEMBERED:
+            if len(self.known) + len(missing) > self.remembered:
                 self.trim()
                 missing = {w for parts in cut for w in parts if w not in self.known}
             self._learn(list(missing))
@@ -83,9 +84,9 @@ class Encoder:
         return [np.frombuffer(ids, self.dtype) for ids in out]
 
     def trim(self) -> None:
-        """Give memory back: a process that has no task holds KEPT words at most."""
-        if len(self.known) > KEPT:
-            self.known = dict(islice(self.known.items(), KEPT))
+        """Give memory back: what is left are the `kept` words learned first."""
+        if len(self.known) > self.kept:
+            self.known = dict(islice(self.known.items(), self.kept))
 
     def byte_lengths(self) -> np.ndarray:
         """Bytes that each id covers: a byte-level token has one letter per byte, a special one stands for its name."""
@@ -95,11 +96,12 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED, kept: int = KEPT) -> Encoder:
     """This process's encoder for a tokenizer file; each executor reads the file from its own installation."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = (path, remembered, kept)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def tokenizer_path(name: str) -> str:

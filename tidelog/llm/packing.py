@@ -20,15 +20,17 @@ END = 0  # the id that closes a document
 HASHED = 1024  # entries of a document's hashed vector
 DIMS, BITS = 4, 15  # of the curve: DIMS * BITS bits of a key
 SEED = 11
+REMEMBERED, KEPT = 1_200_000, 600_000  # words a process remembers from one task to the next, and when there are more
 SEQUENCES = 40  # bits of a sequence's number inside its task
 
 
 def vectors(documents: list[np.ndarray]) -> np.ndarray:
     """Counts of token ids, hashed with signs into HASHED entries and of length one; empty documents are zero."""
-    out = np.zeros((len(documents), HASHED), np.float32)
-    for row, ids in zip(out, documents):
-        mixed = ids.astype(np.uint32) * np.uint32(0x9E3779B1)
-        row += np.bincount(mixed >> np.uint32(22), weights=1.0 - 2.0 * (mixed >> np.uint32(21) & np.uint32(1)), minlength=HASHED)
+    n = len(documents)
+    mixed = np.concatenate(documents).astype(np.uint32) * np.uint32(0x9E3779B1)
+    rows = np.repeat(np.arange(n) * HASHED, [len(ids) for ids in documents])
+    signs = 1.0 - 2.0 * (mixed >> np.uint32(21) & np.uint32(1))
+    out = np.bincount(rows + (mixed >> np.uint32(22)), weights=signs, minlength=n * HASHED).reshape(n, HASHED).astype(np.float32)
     size = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(size > 0, size, 1)
 
@@ -69,7 +71,7 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def encode(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, place, tie, ids): ids with the closing one, their place on the curve and checksum."""
-    tokens = encoder(path)
+    tokens = encoder(path, REMEMBERED, KEPT)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -80,7 +82,6 @@ def encode(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[p
             [batch.column(0), pa.array(places), pa.array([zlib.crc32(b) for b in ids], pa.int64()), pa.array(ids, pa.binary())],
             ["doc_id", "place", "tie", "ids"],
         )
-    tokens.trim()
 
 
 def cut(batches: Iterator[pa.RecordBatch], length: int, dtype: str) -> Iterator[pa.RecordBatch]:
