@@ -22,14 +22,30 @@ from tidelog.llm.lines import drop_repeated_lines  # noqa: E402
 from tidelog.llm.neardup import near_duplicates  # noqa: E402
 from tidelog.llm.packing import pack  # noqa: E402
 from tidelog.llm.text import documents, prepared  # noqa: E402
-from tidelog.session import new_path, staging, store  # noqa: E402
+from tidelog.session import drop, new_path, staging, store  # noqa: E402
 
 ROW = "_row"
 
 
+_rows: list[str] = []  # what stages have stored to number their rows
+
+
+def tidy(docs: DataFrame) -> None:
+    """Drop the numbered rows of earlier stages: their results are stored when a later stage begins. Those that docs is
+    still read from stay."""
+    if _rows:
+        read = docs.inputFiles()
+        for path in [p for p in _rows if not any(p.rsplit("/", 1)[1] in file for file in read)]:
+            drop(docs.sparkSession, path)
+            _rows.remove(path)
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """docs, stored with a number of each row, which names the row whatever its id."""
-    return store(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    marked = docs.withColumn(ROW, F.monotonically_increasing_id())
+    _rows.append(new_path(docs.sparkSession, "rows"))
+    marked.write.parquet(_rows[-1])
+    return docs.sparkSession.read.schema(marked.schema).parquet(_rows[-1])
 
 
 def without(docs: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -68,6 +84,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by shingles of five words, similarity 0.8 or more, one row of the least id stays; of blank rows,
     which are linked with nothing, one of each id and text."""
     prepared(spark)
+    tidy(docs)
     return without(numbered(docs), copies)
 
 
@@ -82,6 +99,7 @@ def copies(rows: DataFrame) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of a benchmark item, or the whole of a shorter one, go."""
     prepared(spark)
+    tidy(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return without(numbered(docs), lambda rows: contamination(rows, benchmark, id_col=ROW).where("contaminated").select(F.col("doc_id").alias(ROW)))
 
@@ -89,6 +107,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents left, in sequences of at most 1024 tokens."""
     prepared(spark)
+    tidy(docs)
     return pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -104,10 +123,16 @@ ORACLE_SQL = None  # SQL has neither rank-order profiles nor a tokenizer; tests/
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; what a stage keeps is written once, as the next one reads it several times."""
+    """All stages over `documents`; what a stage keeps is written once, as the next one reads it several times, and dropped
+    when the next one's result is written."""
     prepared(spark)
     sf_dir = sf_dir.rstrip("/")
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        kept, path = stage(spark, docs, sf_dir), new_path(spark, name)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            drop(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
