@@ -255,3 +255,23 @@ def test_oversize_counts_bytes_and_nulls(spark):
 
 def test_escape_is_how_the_writer_spells_it():
     assert escape("events/exp-a") == "events%2Fexp-a" and escape("plain.name_1") == "plain.name_1"
+
+
+def test_latest_reads_the_last_appends(spark, log):
+    for start in range(0, 100, 10):
+        log.append(spark.range(start, start + 10).select(
+            F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.col("id").cast("string").alias("value"), (F.col("id") - F.col("id") % 3).alias("timestamp"),
+        ), partitions=2, arrival=["timestamp", "key"])
+    want = [tuple(r)[:5] for r in reads.latest_messages(log.scan("t"), 7).collect()]
+    found = reads.latest(log, "t", 7)
+    assert [tuple(r)[:5] for r in found.collect()] == want and len(want) == 7
+    assert len({f.split("txn=")[1].split("/")[0] for f in found.inputFiles()}) <= 2
+    assert reads.latest(log, "t", 1000).count() == 100 and reads.latest(log, "none", 3).collect() == []
+
+
+def test_starts_in_a_table_bound_the_scan(spark, log):
+    log.append(spark.range(40).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.lit("v").alias("value")), partitions=2)
+    starts = spark.createDataFrame([(0, 5), (1, 7)], "partition int, start_offset bigint")
+    found = reads.read_from_offsets(log.scan("t"), starts)
+    assert "GreaterThanOrEqual(offset,5)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.partition, r.offset) for r in found.collect()) == sorted((r.partition, r.offset) for r in log.scan("t").collect() if r.offset >= (5, 7)[r.partition])

@@ -22,11 +22,11 @@ def memory_errors() -> Column:
     kind, salience = F.col("kind"), F.col("salience")
     procedure = F.coalesce(kind == "procedure", F.lit(False))
     return F.array_compact(F.array(
-        F.when(~not_blank(F.col("agent_id")), "agent_id must not be empty"),
-        F.when(~not_blank(F.col("content")), "content must not be empty"),
+        F.when(~not_blank(F.col("agent_id")), "agent_id is blank"),
+        F.when(~not_blank(F.col("content")), "content is blank"),
         F.when(~F.coalesce(kind.isin(*TIERS), F.lit(False)), "unknown kind"),
-        F.when(procedure & ~not_blank(F.col("skill")), "skill is required when kind=procedure"),
-        F.when(salience.isNotNull() & (F.isnan("salience") | ~salience.between(0.0, 1.0)), "salience must be in [0,1]"),
+        F.when(procedure & ~not_blank(F.col("skill")), "a procedure needs a skill"),
+        F.when(salience.isNotNull() & (F.isnan("salience") | ~salience.between(0.0, 1.0)), "salience is not from 0 to 1"),
     ))
 
 

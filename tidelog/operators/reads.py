@@ -31,8 +31,8 @@ def read_from_offsets(records: DataFrame, starts: dict[int, int] | DataFrame) ->
     """Records from each partition's start on; partitions without a start are read from the beginning.
 
     A start of -1 means the end: nothing of what is there. A dict becomes a plain filter that reaches
-    the scan (folders and row groups). A table of (partition, start_offset) is stored, so that the planner knows its size,
-    and its lowest start bounds the scan.
+    the scan (folders and row groups). A table of (partition, start_offset) is stored, so that the planner knows its size;
+    its partitions and their lowest start reach the scan as a filter.
     """
     if isinstance(starts, dict):
         if not starts:
@@ -43,6 +43,14 @@ def read_from_offsets(records: DataFrame, starts: dict[int, int] | DataFrame) ->
     keys = ["topic", "partition"] if "topic" in starts.columns else ["partition"]
     known = store(starts.select(*keys, "start_offset"), "starts")
     start = F.coalesce("start_offset", F.lit(BEGINNING))
+    bounds = known.agg(F.min(F.when(F.col("start_offset") != END, F.col("start_offset"))).alias("low"), F.min("partition").alias("first"), F.max("partition").alias("last")).first()
+    if bounds.low is not None and "topic" not in keys:
+        # Partitions beyond the named ones have no start; those between them may have none either.
+        named = F.col("partition").between(bounds.first, bounds.last)
+        whole = known.select("partition").distinct().count() == bounds.last - bounds.first + 1
+        if whole:
+            # Two scans of different folders: one filter over both could not be pushed down.
+            records = records.where(named & (F.col("offset") >= bounds.low)).unionByName(records.where(~named))
     joined = records.join(known, keys, "left")
     return joined.where((start != END) & (F.col("offset") >= start)).select(*records.columns)
 
@@ -104,6 +112,22 @@ def latest_messages(records: DataFrame, count: int) -> DataFrame:
     return _shown(newest)
 
 
+def latest(log: TopicLog, topic: str, count: int) -> DataFrame:
+    """latest_messages of a topic, reading only appends that can hold some of them.
+
+    Entries of the manifest with `count` records between them, those of the latest first times, set a bar: the records
+    asked for are not older than the oldest first time among these. What ends before the bar is not read. An entry has a
+    record at least, so no more than `count` entries come to the driver.
+    """
+    newest = log.manifest().where((F.col("topic") == topic) & (F.col("records") > 0)).orderBy(F.desc("first_timestamp")).limit(count)
+    bar, held = None, 0
+    for entry in newest.select("first_timestamp", "records").collect():
+        if held >= count:
+            break
+        bar, held = entry.first_timestamp, held + entry.records
+    return latest_messages(log.scan(topic, since=bar), count)
+
+
 def _shown(messages: DataFrame) -> DataFrame:
     """The first messages of an order, with headers as text.
 

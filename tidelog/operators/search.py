@@ -12,11 +12,11 @@ DEFAULT_K, MAX_K = 10, 1000
 
 def check_search(topic: str, query, k: int) -> None:
     if not topic or not topic.strip():
-        raise ValueError("topic must not be empty")
+        raise ValueError("the topic is blank")
     if query is None or len(query) == 0 or (isinstance(query, str) and not query.strip()):
-        raise ValueError("query must not be empty")
+        raise ValueError("the query is blank")
     if not 1 <= k <= MAX_K:
-        raise ValueError("k must be in 1..=1000")
+        raise ValueError("k is not from 1 to 1000")
 
 
 def scored(records: DataFrame, query: list[float], embedding: str = "embedding") -> DataFrame:

@@ -191,9 +191,9 @@ entries AS (
   FROM conversations),
 checked AS (
   SELECT *, concat_ws('; ',
-    CASE WHEN NOT regexp_matches(content, '\\S') THEN 'content must not be empty' END,
-    CASE WHEN kind = 'procedure' AND NOT regexp_matches(skill, '\\S') THEN 'skill is required when kind=procedure' END,
-    CASE WHEN salience NOT BETWEEN 0 AND 1 THEN 'salience must be in [0,1]' END) AS problems
+    CASE WHEN NOT regexp_matches(content, '\\S') THEN 'content is blank' END,
+    CASE WHEN kind = 'procedure' AND NOT regexp_matches(skill, '\\S') THEN 'a procedure needs a skill' END,
+    CASE WHEN salience NOT BETWEEN 0 AND 1 THEN 'salience is not from 0 to 1' END) AS problems
   FROM entries)""".replace("\\\\", "\\")
 
 

@@ -86,7 +86,7 @@ WITH {ELOG} SELECT "partition", "offset", "timestamp", "key", payload AS "value"
 ORDER BY "timestamp" DESC, "partition", "offset" DESC LIMIT 25
 """)
 def latest_messages(spark, sf_dir):
-    return with_headers(reads.latest_messages(events(spark, sf_dir), 25))
+    return with_headers(reads.latest(event_log(spark, sf_dir), "events", 25))
 
 
 def with_headers(messages: DataFrame) -> DataFrame:

@@ -105,7 +105,9 @@ class TopicLog:
     def _move(self, txn: str, folder: str) -> None:
         fs, source = hadoop_path(self.spark, f"{self.root}/pending/txn={txn}")
         fs.mkdirs(hadoop_path(self.spark, f"{self.root}/{folder}")[1])
-        fs.rename(source, hadoop_path(self.spark, f"{self.root}/{folder}/txn={txn}")[1])
+        target = hadoop_path(self.spark, f"{self.root}/{folder}/txn={txn}")[1]
+        if not fs.rename(source, target) and not fs.exists(target):  # another reader may have moved it
+            raise RuntimeError(f"{source} could not be moved to {target}")
 
     def version(self) -> int:
         """The number of the last commit; 0 if there is none."""
@@ -130,8 +132,9 @@ class TopicLog:
         """(topic, partitions): the partition count that each topic's first append has fixed."""
         return self.manifest().groupBy("topic").agg(F.max("partitions").alias("partitions"))
 
-    def scan(self, *topics: str) -> DataFrame:
-        """Committed records of the topics (of all topics if none is named), pruned by folder.
+    def scan(self, *topics: str, since: int | None = None) -> DataFrame:
+        """Committed records of the topics (of all topics if none is named), pruned by folder; with `since`, those of that
+        time or later, from the appends whose last record is.
 
         The folders are named to the reader, one per append and topic, just as Spark's own list of files would hold
         them; compact() keeps them few.
@@ -139,6 +142,8 @@ class TopicLog:
         published = self.manifest()
         if topics:
             published = published.where(F.col("topic").isin(*topics))
+        if since is not None:
+            published = published.where(F.col("last_timestamp") >= since)
         folders = published.select("folder", "txn", "topic").distinct().collect()
         parts = None
         for folder in ("data", "compact"):
@@ -146,6 +151,8 @@ class TopicLog:
             if paths:
                 reader = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/{folder}")
                 read = reader.parquet(*paths).select(*self.COLUMNS)
+                if since is not None:
+                    read = read.where(F.col("timestamp") >= since)
                 parts = read if parts is None else parts.unionByName(read)
         return self.spark.createDataFrame([], self.schema).select(*self.COLUMNS) if parts is None else parts
 
