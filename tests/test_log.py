@@ -275,3 +275,62 @@ def test_starts_in_a_table_bound_the_scan(spark, log):
     found = reads.read_from_offsets(log.scan("t"), starts)
     assert "GreaterThanOrEqual(offset,5)" in found._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.partition, r.offset) for r in found.collect()) == sorted((r.partition, r.offset) for r in log.scan("t").collect() if r.offset >= (5, 7)[r.partition])
+
+
+def numbered(spark, ids, sent=0):
+    rows = [(None if i is None else str(i), i, sent, n) for n, i in enumerate(ids)]
+    return spark.createDataFrame(rows, "value string, id bigint, attempt int, n int").withColumns(
+        {"topic": F.lit("t"), "key": F.col("value"), "timestamp": F.col("n").cast("bigint")})
+
+
+def index_of(log):
+    return writes.IdIndex(log, ["id"], lambda r: r.select("txn", F.col("value").cast("bigint").alias("id")), 4)
+
+
+def test_ids_are_kept_in_buckets(spark, log):
+    values = lambda: sorted((r.value or "") for r in log.scan("t").collect())
+    index = index_of(log)
+    index.append(numbered(spark, [1, 2, 2, 3]), ["n"])
+    index.append(numbered(spark, [3, 4, 1]), ["n"])
+    assert values() == ["1", "2", "3", "4"]
+    log.append(numbered(spark, [9]).select("topic", "key", "value", "timestamp"))  # by a writer that knows of no table
+    index_of(log).append(numbered(spark, [9, 10]), ["n"])
+    assert values() == ["1", "10", "2", "3", "4", "9"]
+    assert index.catch_up() == log.version() and index.catch_up() == 4
+    index_of(log).append(numbered(spark, [10, 1]), ["n"])  # nothing is new: no append
+    assert log.version() == 4
+
+
+def test_stored_ids_are_not_shuffled(spark, log):
+    index = index_of(log)
+    index.append(numbered(spark, range(50)), ["n"])
+    index.catch_up()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.fresh(numbered(spark, [1, 99]), ["n"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    stored = plan[plan.index("SortMergeJoin"):].split("\n")
+    at = next(i for i, line in enumerate(stored) if "tidelog_ids" in line)
+    above = [line for line in stored[:at] if "Exchange" in line]
+    assert "Bucketed: true" in stored[at] or "SelectedBucketsCount: 4 out of 4" in stored[at]
+    assert not any("Exchange" in line for line in stored[at - 3:at]), above
+
+
+def test_a_writer_in_between_fails_the_append(spark, log):
+    index = index_of(log)
+    version = index.catch_up()
+    log.append(numbered(spark, [5]).select("topic", "key", "value", "timestamp"))
+    with pytest.raises(ConcurrentAppend):
+        log.append(index.fresh(numbered(spark, [5]), ["n"]), arrival=["n"], at_version=version)
+
+
+def test_ids_after_a_table_without_its_note(spark, log):
+    index = index_of(log)
+    index.append(numbered(spark, [1, 2]), ["n"])
+    index.catch_up()
+    spark.sql(f"DROP TABLE {index.name}")  # another session's catalog; the files stay
+    again = index_of(log)
+    again.append(numbered(spark, [2, 3, None]), ["n"])
+    assert sorted((r.value or "") for r in log.scan("t").collect()) == ["", "1", "2", "3"]

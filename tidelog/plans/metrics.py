@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from tidelog.functions import headers as h
 from tidelog.functions.names import topic_name_check
 from tidelog.functions.traces import trace_extract, trace_inject
-from tidelog.operators import contracts, metrics, tracing
+from tidelog.operators import contracts, metrics, sketches, tracing
 from tidelog.operators.memory import validate_memories
 from tidelog.plans.inputs import event_log, millis, once, table
 from tidelog.plans.reads import events
 from tidelog.plans.registry import ELOG, query
-from tidelog.session import new_path
+from tidelog.session import new_path, store
 
 DAY_MS = 86_400_000
 
@@ -106,6 +106,32 @@ def metrics_history(spark, sf_dir):
     return daily.withColumn("user_label", F.col("labels")["user"]).withColumn("total", F.round("total", 4)).drop("labels")
 
 
+FRACTIONS = {"p50": 0.5, "p99": 0.99}
+RANK_ERROR = 0.02
+
+
+@query("metrics_quantiles", f"""
+SELECT 'day' AS span, epoch_us(ts) // 1000 // {DAY_MS} * {DAY_MS} AS window_start, event_type AS name, count(*) AS points,
+       min(value) AS low, max(value) AS high, TRUE AS p50_holds, TRUE AS p99_holds FROM events GROUP BY ALL
+UNION ALL SELECT 'all', NULL, event_type, count(*), min(value), max(value), TRUE, TRUE FROM events GROUP BY ALL
+""")
+def metrics_quantiles(spark, sf_dir):
+    """Hour sketches, stored in two appends of the points, merged into days and into all of time; whether their quantiles
+    are as exact as they should be is told by the points."""
+    points, path = metric_points(spark, sf_dir), new_path(spark, "hours")
+    for half in (0, 1):
+        part = points.where(F.pmod(F.floor(F.col("timestamp") / 1000), F.lit(2)) == half)
+        sketches.window_sketches(part, DAY_MS // 24).write.mode("append").parquet(path)
+    hours, rows = spark.read.parquet(path), []
+    day = points.withColumn("window_start", F.col("timestamp") - F.pmod("timestamp", F.lit(DAY_MS)))
+    for span, width, read, by in (("day", DAY_MS, day, ("window_start", "name")), ("all", None, points, ("name",))):
+        told = sketches.quantiles(store(sketches.coarser(hours, width), span), FRACTIONS)
+        errors = sketches.rank_errors(read, told, FRACTIONS, by)
+        holds = [(F.col(f"{c}_error") <= RANK_ERROR).alias(f"{c}_holds") for c in FRACTIONS]
+        rows.append(told.join(errors, [*by]).select(F.lit(span).alias("span"), "window_start", "name", "points", "low", "high", *holds))
+    return rows[0].unionByName(rows[1])
+
+
 @query("failure_streaks", """
 WITH marked AS (
   SELECT user_id, ts, event_id, event_type = 'error' AS failed,

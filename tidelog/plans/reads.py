@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.routing import route
 from tidelog.operators import catalog, reads, writes
-from tidelog.plans.inputs import PARTITIONS, event_log, event_records, full_log, millis, once, table
+from tidelog.operators.sketches import KeySketches, bounded_error
+from tidelog.plans.inputs import PARTITIONS, event_log, event_records, full_log, millis, once, order_records, table
 from tidelog.plans.registry import ELOG, OLOG, RECORD, hashed, query
 from tidelog.session import new_path, store
 from tidelog.sources.topic_log import TopicLog
@@ -181,6 +182,26 @@ def dedup_append(spark, sf_dir):
     return stored()
 
 
+@query("dedup_append_indexed", f"""
+WITH {ELOG} SELECT "partition", "offset", "timestamp", user_id AS producer_id, event_id AS seq FROM elog
+""")
+def dedup_append_indexed(spark, sf_dir):
+    """The same against a bucketed table of the ids, which is brought up to date from the appends it does not have."""
+    log = TopicLog(spark, new_path(spark, "dedup"))
+    sent = event_records(spark, sf_dir).withColumns({"producer_id": F.col("key").cast("bigint"), "seq": F.col("event_id"), "attempt": F.lit(0)})
+    repeated = sent.where(F.col("headers")["event_type"].cast("string").isin("error", "click")).withColumn("attempt", F.lit(1))
+
+    def ids(records: DataFrame) -> DataFrame:
+        seq = F.get_json_object("value", "$.event_id").cast("bigint").alias("seq")
+        return records.select("txn", F.col("key").cast("bigint").alias("producer_id"), seq)
+
+    index = writes.IdIndex(log, ["producer_id", "seq"], ids, PARTITIONS * 2)
+    for batch in (sent.where(F.col("timestamp") < MID_JANUARY), sent.unionByName(repeated), sent):
+        index.append(batch, ["ts", "event_id", "attempt"], partitions=PARTITIONS)
+    value = F.get_json_object("value", "$.event_id").cast("bigint").alias("seq")
+    return log.scan("events").select("partition", "offset", "timestamp", F.col("key").cast("bigint").alias("producer_id"), value)
+
+
 # -- catalog ----------------------------------------------------------------------------------------
 
 BOTH = f"""
@@ -196,6 +217,28 @@ def list_topics(spark, sf_dir):
     return catalog.list_topics(full_log(spark, sf_dir).describe())
 
 
+@query("topic_distinct_keys", f"""
+WITH {ELOG}, {OLOG}, keyed AS (SELECT topic, "key" FROM elog UNION ALL SELECT topic, "key" FROM olog)
+SELECT topic, count(DISTINCT "key") AS exact_keys, TRUE AS holds FROM keyed GROUP BY topic
+UNION ALL SELECT '*', count(DISTINCT "key"), TRUE FROM keyed
+""")
+def topic_distinct_keys(spark, sf_dir):
+    """Distinct keys per topic and of all topics, from states kept per append; whether they are within their error."""
+    log = TopicLog(spark, new_path(spark, "keyed"))
+    keys = KeySketches(log)
+    early = F.col("timestamp") < MID_JANUARY
+    log.append(event_records(spark, sf_dir).where(early), PARTITIONS, ["ts", "event_id"])
+    keys.catch_up()
+    log.append(event_records(spark, sf_dir).where(~early), PARTITIONS, ["ts", "event_id"])
+    log.append(order_records(spark, sf_dir), PARTITIONS, ["o_orderdate", "o_orderkey"])
+    keys.catch_up()
+    told = keys.distinct_keys().unionByName(keys.distinct_keys(by_topic=False).withColumn("topic", F.lit("*")))
+    pairs = log.scan().select("topic", "key").distinct()
+    exact = pairs.groupBy("topic").agg(F.count("key").alias("exact_keys")).unionByName(
+        pairs.select(F.lit("*").alias("topic"), "key").distinct().groupBy("topic").agg(F.count("key").alias("exact_keys")))
+    return told.join(exact, "topic").select("topic", "exact_keys", bounded_error(F.col("distinct_keys"), F.col("exact_keys")).alias("holds"))
+
+
 @query("describe_topic", f"""
 WITH {ELOG} SELECT topic, "partition", min("offset") AS begin_offset, max("offset") + 1 AS end_offset, count(*) AS records,
        min("timestamp") AS first_timestamp, max("timestamp") AS last_timestamp FROM elog GROUP BY ALL

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators import catalog
+from tidelog.functions.headers import header_get_str
+from tidelog.operators import catalog, tracing
 from tidelog.operators.metrics import failure_states
 from tidelog.plans.inputs import PARTITIONS, event_log, event_records, millis, table
 from tidelog.plans.reads import MID_JANUARY, PLAIN
@@ -13,7 +14,9 @@ from tidelog.plans.registry import ELOG, RECORD, query
 from tidelog.session import new_path, store
 from tidelog.sources.topic_log import TopicLog
 from tidelog.streaming import follow
+from tidelog.streaming.positions import positions
 from tidelog.streaming.source import END, drain, open_stream
+from tidelog.streaming.spans import match_spans
 from tidelog.streaming.windows import dedup_stream, failure_windows, metric_windows
 
 DAY_MS, HOUR_MS = 86_400_000, 3_600_000
@@ -93,6 +96,51 @@ def stream_resume(spark, sf_dir):
     return current.join(done, ["topic", "partition"]).select("group_id", "topic", "partition", "offset", "processed", "distinct_offsets")
 
 
+@query("stream_positions", f"""
+WITH {ELOG}, seen AS (SELECT * FROM elog WHERE "partition" <> 3 OR "timestamp" < {MID_JANUARY})
+SELECT topic, "partition", max("offset") + 1 AS position, count(*) AS records, max("timestamp") AS last_ms,
+       CASE WHEN max("timestamp") + {2 * DAY_MS} <= (SELECT max("timestamp") FROM seen) - {HOUR_MS} THEN 'idle' ELSE 'moved' END AS event
+FROM seen GROUP BY topic, "partition"
+""")
+def stream_positions(spark, sf_dir):
+    """Positions as state over two runs; partition 3 falls silent in the middle of the month, and is told as idle."""
+    log = TopicLog(spark, new_path(spark, "silent"))
+    path, checkpoint = new_path(spark, "told"), new_path(spark, "checkpoint")
+    for half in (F.col("timestamp") < MID_JANUARY, F.col("timestamp") >= MID_JANUARY):
+        log.append(event_records(spark, sf_dir).where(half), PARTITIONS, ["ts", "event_id"])
+        heard = open_stream(spark, log, "events").where((F.col("partition") != 3) | (F.col("timestamp") < MID_JANUARY))
+        drain(positions(heard, "1 hour", 2 * DAY_MS), path, checkpoint, mode="update")
+    return follow.latest_rows(spark.read.parquet(path), ["topic", "partition"], ["position", "records", "last_ms", "event"])
+
+
+@query("trace_join_stream", f"""
+WITH {ELOG},
+made AS (SELECT topic, "partition", "offset", event_id, "timestamp" AS produced_at FROM elog WHERE event_type <> 'signup'),
+done AS (SELECT topic, "partition", "offset", event_id, "timestamp" + CAST(floor(amount * 60000) AS BIGINT) AS processed_at FROM elog WHERE event_type <> 'error'),
+mark AS (SELECT least((SELECT max(produced_at) FROM made), (SELECT max(processed_at) FROM done)) - {6 * HOUR_MS} AS wm),
+hits AS (SELECT topic, "partition", "offset", event_id, produced_at, processed_at FROM made JOIN done USING (topic, "partition", "offset", event_id)
+         WHERE processed_at - produced_at BETWEEN 0 AND {HOUR_MS}),
+found AS (
+  SELECT *, 'matched' AS state FROM hits
+  UNION ALL SELECT topic, "partition", "offset", event_id, produced_at, NULL, 'lost' FROM made ANTI JOIN hits USING ("partition", "offset"), mark WHERE produced_at <= wm - {HOUR_MS}
+  UNION ALL SELECT topic, "partition", "offset", event_id, NULL, processed_at, 'orphan' FROM done ANTI JOIN hits USING ("partition", "offset"), mark WHERE processed_at <= wm)
+SELECT md5('trace-' || event_id) AS trace_id, topic, "partition", "offset", CASE WHEN produced_at IS NOT NULL THEN 'events produce' END AS produce_span,
+       CASE WHEN processed_at IS NOT NULL THEN 'events process' END AS process_span, produced_at, processed_at,
+       processed_at - produced_at AS latency_ms, state FROM found
+""")
+def trace_join_stream(spark, sf_dir):
+    """Spans of two streams: signups are produced without a trace, errors are never processed, and the rest within as many
+    minutes as their value tells. What has no match within an hour is told when no more can come."""
+    log = event_log(spark, sf_dir)
+    kind = header_get_str(F.col("headers"), "event_type")
+    delay = F.floor(F.get_json_object("value", "$.value").cast("double") * 60000)
+    made = tracing.spans(log.stream("events").where(kind != "signup"), "produce")
+    done = tracing.spans(log.stream("events").where(kind != "error").withColumn("done", F.col("timestamp") + delay), "process", "done")
+    matches, path = match_spans(made, done, "1 HOUR", "6 hours"), new_path(spark, "matches")
+    follow.land(matches, path, new_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(matches.schema).parquet(path)
+
+
 @query("stream_metric_windows", f"""
 SELECT * FROM (
   SELECT epoch_us(ts) // 1000 // {DAY_MS} * {DAY_MS} AS window_start, event_type AS name, count(*) AS points,

@@ -156,11 +156,18 @@ class TopicLog:
                 parts = read if parts is None else parts.unionByName(read)
         return self.spark.createDataFrame([], self.schema).select(*self.COLUMNS) if parts is None else parts
 
-    def read_appends(self, txns: list[str], topic: str) -> DataFrame:
-        """Records of single appends."""
-        paths = [f"{self.root}/data/txn={txn}/topic={escape(topic)}" for txn in txns]
+    def appends(self) -> DataFrame:
+        """(version, txn) of all committed appends, compacted since or not."""
+        commits = self._commits()
+        if commits is None:
+            return self.spark.createDataFrame([], "version long, txn string")
+        return commits.where(F.col("folder") == "data").select("version", "txn")
+
+    def read_appends(self, txns: list[str], topic: str | None = None) -> DataFrame:
+        """Records of single appends, with `txn`; of one topic, or of all."""
+        inner = "" if topic is None else f"/topic={escape(topic)}"
         reader = self.spark.read.schema(self.schema).option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths).select(*self.COLUMNS)
+        return reader.parquet(*[f"{self.root}/data/txn={txn}{inner}" for txn in txns]).select(*self.COLUMNS, "txn")
 
     def key_scan(self, topic: str, key: str) -> DataFrame:
         """A topic's records with the key. If all were routed by key, only the partition that it belongs to is read."""
@@ -202,6 +209,7 @@ class TopicLog:
         first_offsets: DataFrame | None = None,
         compression: str = "snappy",
         check_names: bool = True,
+        at_version: int | None = None,
     ) -> DataFrame:
         """Append records and return their receipts (topic, partition, offset, timestamp).
 
@@ -210,8 +218,9 @@ class TopicLog:
         arrival: columns that give the order of arrival; without them, the order of the input.
         first_offsets: (topic, partition, first_offset) for logs that do not begin at 0.
         check_names: refuse topic names that break the rules; branches have names of their own kind.
+        at_version: the version that the records were chosen for; if the log has gone on since, the append fails.
         """
-        txn, version = uuid.uuid4().hex, self.version()
+        txn, version = uuid.uuid4().hex, self.version() if at_version is None else at_version
         with staging(self.spark):
             counts = store(self.topics().withColumnRenamed("partitions", "_known"), "topics")
             ready = self._complete(records, counts, partitions, check_names)

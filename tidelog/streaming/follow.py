@@ -98,7 +98,7 @@ def follow_committed(
         appends = [r.txn for r in batch.where(F.col("folder") == "data").collect()]  # appends_per_batch at most
         held = [r.txn for r in log.entries().where(F.col("txn").isin(*appends) & (F.col("topic") == topic)).select("txn").distinct().collect()]
         if held:
-            handle(log.read_appends(held, topic), number)
+            handle(log.read_appends(held, topic).drop("txn"), number)
 
     commits = log.spark.readStream.schema(COMMIT).option("maxFilesPerTrigger", str(appends_per_batch)).json(f"{log.root}/commits")
     return commits.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

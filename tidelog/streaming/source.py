@@ -226,14 +226,14 @@ def open_stream(
     return reader.load()
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, batches: int | None = None) -> None:
+def drain(stream: DataFrame, path: str, checkpoint: str, batches: int | None = None, mode: str = "append") -> None:
     """Write a stream's batches to `path`, each under its number, so that one that is run again replaces itself; until all
     that is there has been read, or for so many runs of one batch."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if batches is not None:
         for _ in range(batches):
             writer.trigger(availableNow=True).start().awaitTermination()  # takes the batch that it finds at its start
