@@ -23,6 +23,7 @@ AGREE = 3  # values that two nodes have to share in short lists
 COUNTERS = 1 << 17  # hashed counts of coordinate values that tell rare from frequent ones
 SHORT = 64  # longest posting list of which all pairs are looked at
 BLOCK = 512  # nodes of a long list that are compared with as many others in one step
+SPREAD = 16  # tasks that the nodes of one list may be dealt to when what belongs to the list is joined to them
 FILTER_BITS = 1 << 20  # of the filter that tells which documents' shingles are wanted again
 
 
@@ -37,8 +38,30 @@ def values_of(signatures: np.ndarray) -> np.ndarray:
     return mix(signatures.astype(np.uint64) + (np.arange(signatures.shape[1], dtype=np.uint64) << np.uint64(32)))
 
 
-def _matrix(column: pa.Array, k: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, k)
+def _matrix(column: pa.Array, k: int, kind: str = "<u4") -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, k)
+
+
+def brief(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(node, signature, n_shingles) to (node, brief): the size of the set in 8 bytes, then the last byte of each coordinate.
+    Equal coordinates stay equal, and of 256 others one becomes so. That is all that pairs carry until the full sets decide."""
+    for batch in batches:
+        if batch.num_rows:
+            sizes = batch.column(2).to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
+            rows = np.concatenate([sizes, _matrix(batch.column(1), k).astype(np.uint8)], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([row.tobytes() for row in rows], pa.binary())], ["node", "brief"])
+
+
+def _briefs(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and coordinates."""
+    rows = _matrix(column, k + 8, "u1")
+    return np.ascontiguousarray(rows[:, :8]).view("<i8")[:, 0], rows[:, 8:]
+
+
+def may_link(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], least: int, percent: int) -> np.ndarray:
+    """Whether there are enough equal coordinates, and the sizes of the sets allow the wanted similarity."""
+    small, large = np.minimum(x[0], y[0]), np.maximum(x[0], y[0])
+    return ((x[1] == y[1]).sum(axis=-1) >= least) & (100 * small >= percent * large)
 
 
 def sign(batches: Iterator[pa.RecordBatch], k: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -84,11 +107,11 @@ def post(batches: Iterator[pa.RecordBatch], k: int, prefix: int, counts: np.ndar
         )
 
 
-def matching(batches: Iterator[pa.RecordBatch], k: int, least: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, signature of a, of b) to the pairs (a, b) with enough equal coordinates."""
+def matching(batches: Iterator[pa.RecordBatch], k: int, least: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, brief of a, of b) to the pairs (a, b) that may be linked."""
     for batch in batches:
         if batch.num_rows:
-            enough = (_matrix(batch.column(2), k) == _matrix(batch.column(3), k)).sum(axis=1) >= least
+            enough = may_link(_briefs(batch.column(2), k), _briefs(batch.column(3), k), least, percent)
             yield batch.select(["a", "b"]).filter(pa.array(enough))
 
 
@@ -105,19 +128,19 @@ def linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def matches(left: pa.Table, right: pa.Table, k: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of left the rows of right with enough equal coordinates."""
+def matches(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of left the rows of right that it may be linked with."""
     if left.num_rows and right.num_rows:
-        theirs = _matrix(right.column("signature"), k)
-        for at, own in enumerate(_matrix(left.column("signature"), k)):
-            yield at, np.flatnonzero((theirs == own).sum(axis=1) >= least)
+        theirs = _briefs(right.column("brief"), k)
+        for at, own in enumerate(zip(*_briefs(left.column("brief"), k))):
+            yield at, np.flatnonzero(may_link(own, theirs, least, percent))
 
 
-def touching(left: pa.Table, right: pa.Table, k: int, least: int) -> pa.Table:
-    """Two blocks of (hub, node, component, signature) to the nodes that match one of another component: (hub, node)."""
+def touching(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) -> pa.Table:
+    """Two blocks of (hub, node, component, brief) to the nodes that match one of another component: (hub, node)."""
     hit_left, hit_right = np.zeros(left.num_rows, bool), np.zeros(right.num_rows, bool)
     mine, theirs = (t.column("component").to_numpy() for t in (left, right))
-    for at, found in matches(left, right, k, least):
+    for at, found in matches(left, right, k, least, percent):
         found = found[theirs[found] != mine[at]]
         hit_left[at] = len(found) > 0
         hit_right[found] = True
@@ -125,7 +148,7 @@ def touching(left: pa.Table, right: pa.Table, k: int, least: int) -> pa.Table:
 
 
 def across(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) -> pa.Table:
-    """Two blocks of (node, component, signature, items) to links (a, b) between different components. A link unites two
+    """Two blocks of (node, component, brief, items) to links (a, b) between different components. A link unites two
     components for the rest of the step, so there are at most as many links as components."""
     names: dict[int, int] = {}
 
@@ -136,7 +159,7 @@ def across(left: pa.Table, right: pa.Table, k: int, least: int, percent: int) ->
 
     links = []
     mine, theirs = ([np.frombuffer(b, "<u8") for b in t.column("items").to_pylist()] for t in (left, right))
-    for at, found in matches(left, right, k, least):
+    for at, found in matches(left, right, k, least, percent):
         group = left["component"][at].as_py()
         for i in found:
             other = right["component"][int(i)].as_py()
@@ -168,10 +191,17 @@ def posting_lists(classes: DataFrame, k: int, prefix: int) -> DataFrame:
     for row in counted.collect():  # COUNTERS rows at most
         counts[row.counter] = row.n
     postings = classes.select("node", "signature").mapInArrow(lambda b: post(b, k, prefix, counts), "value long, node long, rank long")
-    lists = postings.groupBy("value").agg(F.count("*").alias("n"), F.max("rank").alias("hub")).where("n > 1")
+    postings = postings.repartition("value")  # once, for the lists' sums and for the join with them
+    lists = postings.groupBy("value").agg(F.count("node").alias("n"), F.max("rank").alias("hub")).where("n > 1")
     return store(postings.join(lists, "value"), "postings")
 
 
+def spread_join(rows: DataFrame, each: DataFrame, node: str = "node") -> DataFrame:
+    """rows joined by hub with `each`, which has one row per hub: the rows of one hub are dealt to SPREAD tasks."""
+    copies = each.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return rows.withColumn("_deal", F.pmod(F.xxhash64(node), F.lit(SPREAD)).cast("int")).join(copies, ["hub", "_deal"]).drop("_deal")
+
+
 def both_ends(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     for end in ("a", "b"):
         pairs = pairs.join(table.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
@@ -196,7 +226,7 @@ def in_blocks(members: DataFrame, columns: list[str], step: Callable[[pa.Table,
     """step over blocks of the members (hub, node, asks, ...) of each hub: those that ask against all of them."""
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     counts = members.groupBy("hub").agg(blocks(F.count("*")).alias("right"), blocks(F.sum(F.col("asks").cast("int"))).alias("left")).where(F.col("left") > 0)
-    full = members.join(store(counts, "blocks"), "hub")
+    full = spread_join(members, store(counts, "blocks"))
     place = F.xxhash64("node")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     names = ["hub", "l", "r", *columns]
@@ -205,30 +235,54 @@ def in_blocks(members: DataFrame, columns: list[str], step: Callable[[pa.Table,
     return asking.groupBy("hub", "l", "r").cogroup(asked.groupBy("hub", "l", "r")).applyInArrow(step, schema)
 
 
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) over the pairs (a, b) whose full sets are similar enough.
+
+    First each node is compared with the least one it is paired with; of the other pairs only those are looked at whose
+    ends this has not united, as no other can change a component.
+    """
+
+    def links(some: DataFrame) -> DataFrame:
+        return both_ends(some, sets, "items").mapInArrow(lambda b: linked(b, percent), "a long, b long")
+
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    first = ends.groupBy("a").agg(F.min("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    groups = store(components(links(first)), "groups")
+    apart = pairs
+    for end in ("a", "b"):
+        named = groups.select(F.col("node").alias(end), F.col("component").alias(f"component_{end}"))
+        apart = apart.join(named, end, "left").withColumn(f"component_{end}", F.coalesce(f"component_{end}", end))
+    apart = store(apart.where("component_a <> component_b").select("a", "b").join(first, ["a", "b"], "left_anti"), "apart")
+    if apart.isEmpty():
+        return groups
+    more = links(apart).unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return store(components(more), "groups")
+
+
 def similar_groups(docs: DataFrame, classes: DataFrame, size: int, percent: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, component) of the nodes of `classes` (node, key, rep, signature) that have a link, see near_duplicates."""
+    """(node, component) of the nodes of `classes` (node, key, rep, signature, n_shingles) that have a link, see near_duplicates."""
     least = least_matches(k, percent)
     lists = posting_lists(classes, k, min(k, k - least + AGREE))
-    centres = lists.where(F.col("rank") == F.col("hub")).select("hub", F.col("node").alias("b")).distinct()
-    stars = lists.where(F.col("rank") != F.col("hub")).select(F.col("node").alias("a"), "hub").distinct().join(centres, "hub").select("a", "b")
+    briefs = store(classes.select("node", "signature", "n_shingles").mapInArrow(lambda b: brief(b, k), "node long, brief binary"), "briefs")
+    long = lists.where(F.col("n") > SHORT)
+    centres = store(long.where(F.col("rank") == F.col("hub")).groupBy("hub").agg(F.min("node").alias("b")), "centres")
+    stars = spread_join(long.where(F.col("rank") != F.col("hub")).select(F.col("node").alias("a"), "hub").distinct(), centres, "a").select("a", "b")
     short = lists.where(F.col("n") <= SHORT).select("value", "node")
     close = short.select("value", F.col("node").alias("a")).join(short.select("value", F.col("node").alias("b")), "value").where("a < b")
     close = close.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= min(AGREE, least)).select("a", "b")
     pairs = stars.unionByName(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-    likely = store(both_ends(pairs, classes, "signature").mapInArrow(lambda b: matching(b, k, least), "a long, b long"), "pairs")
+    likely = store(both_ends(pairs, briefs, "brief").mapInArrow(lambda b: matching(b, k, least, percent), "a long, b long"), "pairs")
     nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = shingle_sets(docs, classes, nodes, size, id_col, text_col)
-    links = both_ends(likely, sets, "items").mapInArrow(lambda b: linked(b, percent), "a long, b long")
-    groups = store(components(links), "groups")
+    groups = verified(likely, shingle_sets(docs, classes, nodes, size, id_col, text_col), percent)
 
     # Nodes of long lists outside their centre's component are a query set; they are compared with all nodes of lists of
     # this centre, first by signatures alone. What touches another component so is then compared by the full sets.
-    named = lists.where(F.col("n") > SHORT).select("hub", "node").distinct().join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    middle = centres.join(groups.withColumnRenamed("node", "b"), "b", "left").groupBy("hub").agg(F.min(F.coalesce("component", "b")).alias("middle"))
-    members = named.join(middle, "hub").withColumn("asks", F.col("component") != F.col("middle")).drop("middle")
-    members = store(members.join(classes.select("node", "signature"), "node"), "members")
-    columns = ["node", "component", "signature"]
-    touched = store(in_blocks(members, columns, lambda x, y: touching(x, y, k, least), "hub long, node long").distinct(), "touched")
+    named = long.select("hub", "node").distinct().join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    middle = centres.join(groups.withColumnRenamed("node", "b"), "b", "left").select("hub", F.coalesce("component", "b").alias("middle"))
+    members = spread_join(named, store(middle, "middle")).withColumn("asks", F.col("component") != F.col("middle")).drop("middle")
+    members = store(members.join(briefs, "node"), "members")
+    columns = ["node", "component", "brief"]
+    touched = store(in_blocks(members, columns, lambda x, y: touching(x, y, k, least, percent), "hub long, node long").distinct(), "touched")
     if touched.isEmpty():
         return groups
     sets = shingle_sets(docs, classes, touched.select("node").distinct(), size, id_col, text_col)
@@ -250,14 +304,14 @@ def near_duplicates(
 
     Equal sets become one node first, so copies never meet as pairs. A node is posted under the rarest `prefix` of its
     k coordinate-value pairs: two nodes with at least `least` equal coordinates share AGREE of these, whatever they are.
-    The other, more frequent coordinates are not merged; they are compared once a pair has been found. In every list each
-    node is paired with the most central one (whose values are the most frequent, such as the origin of many copies), and
-    in lists of up to SHORT nodes with all others that it meets AGREE times. Pairs with enough equal coordinates are verified on the full sets. The
-    nodes of long lists that this leaves outside their centre's component are then compared with all others there, in blocks.
+    The other, more frequent coordinates are not merged; they are compared, by a byte each, once a pair has been found. In lists of up to
+    SHORT nodes each is paired with all others that it meets AGREE times, in longer ones with the most central node (whose values
+    are the most frequent, such as the origin of many copies): a pair that meets AGREE times meets so often in short lists, or in a
+    long one. Pairs with enough equal coordinates are verified on the full sets. The nodes of long lists that this leaves outside their centre's component are then compared with all others there, in blocks.
     """
     signed = store(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
         lambda b: sign(b, k, size), f"doc_id {type_of(docs, id_col)}, n_shingles long, key binary, signature binary"), "signatures")
-    classes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
+    classes = signed.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     groups = similar_groups(docs, classes, size, percent, k, id_col, text_col)
     named = classes.select("node", "key", "rep").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
