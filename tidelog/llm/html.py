@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -24,25 +25,34 @@ HINTS = frozenset(
     "notice pagination popup promo related reply replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 # Parts of names that say something of a wrapper's state or layout, not what it is: has-sidebar, header-fixed.
-STATES = frozenset("has no not with without is hide hidden show toggle open closed fixed sticky active enabled disabled visible layout".split())
+STATES = frozenset("has no not with without free is hide hidden show toggle open closed fixed sticky active enabled disabled visible layout".split())
+# Parts that go with a hint without a meaning of their own: ad-slot, site-header. Beside any other word, as in social-science, a hint is a weak one.
+LAYOUT = frozenset(
+    "site page main top bottom left right center upper lower box block bar list item items section wrapper wrap container inner outer area slot unit panel content text title "
+    "link links user post blog global primary secondary region group row col column card mobile desktop form button thread message messages policy js responsive".split()
+)
+REMARKS = frozenset("comment comments disqus reply replies respond".split())  # what readers say may come as articles of its own
+OWN = REMARKS | frozenset("ad ads advert advertisement promo related sponsor sponsored".split())  # what an article itself may be
+SIZE = re.compile(r"[0-9]+(x[0-9]+)?")
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")  # Thai to Khmer, kana, Han
 
 # Blocks labelled by hand. Words and link density in percent of a block, of the one before and of the one
-# after; 1 where the block stands in an article or main element; 1 where it stands in a navigation, footer, aside, form,
-# page header or an element named like one; then 1 for main text, 0 for the rest.
+# after; 1 where the block stands in an article or main element; 2 where it stands in a navigation, footer, aside, form,
+# page header or an element named like one, 1 where only a part of a name says so; then 1 for main text, 0 for the rest.
 LABELLED = """
-1 100 0 0 1 100 0 1 0
-1 100 1 100 1 100 0 1 0
-1 100 1 100 8 0 0 1 0
-2 100 2 100 1 100 0 1 0
-3 100 2 100 12 0 0 1 0
+1 100 0 0 1 100 0 2 0
+1 100 1 100 1 100 0 2 0
+1 100 1 100 8 0 0 2 0
+2 100 2 100 1 100 0 2 0
+3 100 2 100 12 0 0 2 0
 4 100 0 0 3 100 0 0 0
 2 100 4 100 2 100 0 0 0
 3 100 3 100 40 0 0 0 0
-8 0 1 100 10 0 0 1 0
-5 0 1 100 12 0 0 1 0
-14 0 1 100 6 0 0 1 0
-40 0 2 100 15 0 0 1 0
-25 10 60 0 9 0 0 1 0
+8 0 1 100 10 0 0 2 0
+5 0 1 100 12 0 0 2 0
+14 0 1 100 6 0 0 2 0
+40 0 2 100 15 0 0 2 0
+25 10 60 0 9 0 0 2 0
 10 0 8 0 45 0 1 0 1
 12 0 8 0 120 0 1 0 1
 3 0 14 0 30 0 1 0 1
@@ -73,19 +83,19 @@ LABELLED = """
 4 100 4 100 4 100 1 0 0
 3 100 4 100 5 100 1 0 0
 8 100 3 100 8 100 1 0 0
-5 0 80 0 6 0 1 1 0
-6 100 5 0 3 100 1 1 0
-40 0 12 0 35 0 1 1 0
-35 0 40 0 50 0 1 1 0
-18 0 6 0 22 0 1 1 0
-12 0 90 0 0 0 0 1 0
-10 0 4 0 0 0 0 1 0
-20 5 150 0 0 0 0 1 0
-9 30 120 0 3 100 0 1 0
-6 0 200 0 4 100 0 1 0
-30 0 7 0 30 0 0 1 0
-80 0 15 0 60 0 0 1 0
-60 2 80 0 5 0 0 1 0
+5 0 80 0 6 0 1 2 0
+6 100 5 0 3 100 1 2 0
+40 0 12 0 35 0 1 2 0
+35 0 40 0 50 0 1 2 0
+18 0 6 0 22 0 1 2 0
+12 0 90 0 0 0 0 2 0
+10 0 4 0 0 0 0 2 0
+20 5 150 0 0 0 0 2 0
+9 30 120 0 3 100 0 2 0
+6 0 200 0 4 100 0 2 0
+30 0 7 0 30 0 0 2 0
+80 0 15 0 60 0 0 2 0
+60 2 80 0 5 0 0 2 0
 6 0 3 100 70 0 0 0 1
 70 0 6 0 90 0 0 0 1
 90 4 70 0 110 2 0 0 1
@@ -113,40 +123,71 @@ LABELLED = """
 3 0 4 0 5 0 0 0 0
 5 0 3 0 2 0 0 0 0
 2 0 5 0 0 0 0 0 0
-120 0 90 0 110 0 0 1 1
-150 0 120 0 100 0 0 1 1
-100 2 150 0 90 0 0 1 1
-180 4 100 2 140 0 0 1 1
+120 0 90 0 110 0 0 2 1
+150 0 120 0 100 0 0 2 1
+100 2 150 0 90 0 0 2 1
+180 4 100 2 140 0 0 2 1
+60 0 45 0 80 0 0 1 1
+35 0 60 0 50 0 0 1 1
+150 0 3 0 90 0 0 1 1
+45 0 0 0 30 0 0 1 1
+30 0 45 0 0 0 0 1 1
+25 5 40 0 60 0 0 1 1
+170 0 120 0 0 0 0 1 1
+110 0 0 0 150 0 0 1 1
+8 0 60 0 70 0 0 1 1
+4 100 3 100 5 100 0 1 0
+6 0 2 100 40 0 0 1 0
+12 30 60 0 8 100 0 1 0
+3 0 5 100 2 100 0 1 0
+10 80 12 90 9 100 0 1 0
+18 0 90 0 3 100 0 1 0
+9 0 0 0 4 100 0 1 0
+2 0 3 0 4 0 0 1 0
 """
 
 
+def words_in(text: str) -> int:
+    """Words by blanks; where a script does without, two characters are one."""
+    return len(text.split()) + (0 if text.isascii() else len(UNSPACED.findall(text)) // 2)
+
+
 def hinted(attrs: list[tuple[str, str | None]], inside: bool) -> int:
-    """2 if a class, id or role is a hint word, 1 if one has it as a part, else 0. A header inside an article is its own."""
+    """What the words of class, id and role say: 3 what readers say, 2 a hint, alone or beside words of layout only, 1 a hint
+    beside other words, else 0. A header inside an article is its own."""
     hints = HINTS - {"header"} if inside else HINTS
     level = 0
     for word in (word for k, v in attrs if k in ("class", "id", "role") and v for word in v.lower().split()):
         parts = word.replace("_", "-").split("-")
-        level = max(level, 2 if word in hints else int(not hints.isdisjoint(parts) and STATES.isdisjoint(parts)))
+        if not hints.isdisjoint(parts) and STATES.isdisjoint(parts):
+            clear = all(p in HINTS or p in LAYOUT or not p or SIZE.fullmatch(p) for p in parts)
+            level = max(level, 1 if not clear else 2 if REMARKS.isdisjoint(parts) else 3)
     return level
 
 
+def own_hint(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether an article is named as a comment, an advert or a pointer to other articles."""
+    words = (word.replace("_", "-") for k, v in attrs if k in ("class", "id", "role") and v for word in v.lower().split())
+    return any(not OWN.isdisjoint(parts) and STATES.isdisjoint(parts) and all(p in HINTS or p in LAYOUT or SIZE.fullmatch(p) for p in parts) for parts in (w.split("-") for w in words))
+
+
 class Blocks(HTMLParser):
-    """Flat blocks of a page in order: [words with white space as one space, words in links, in main, in boilerplate]."""
+    """Flat blocks of a page in order: (words with white space as one space, words in links, in main, level of boilerplate)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool, int]] = []  # tag, and hidden, main, boilerplate as they were outside it
         self.depth: Counter = Counter()  # open elements by tag
         self.hidden, self.main, self.links = False, False, 0
-        self.boiler = 0  # 1 by a part of a name, 2 by a whole name or a form, header or dialog, 3 by a nav, footer, aside or menu
+        self.boiler = 0  # 1 by a weak hint, 2 by a name or a form, header or dialog, 3 by a nav, footer, aside, menu or comments
         self.parts: list[str] = []
         self.linked = 0
-        self.blocks: list[tuple[str, int, bool, bool]] = []
+        self.blocks: list[tuple[str, int, bool, int]] = []
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append((text, self.linked, self.main, self.boiler > 0))
+            self.blocks.append((text, self.linked, self.main, min(self.boiler, 2)))
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -170,7 +211,7 @@ class Blocks(HTMLParser):
         self.main |= tag in MAIN
         if tag in MAIN:  # what is around it was a wrapper; an article inside the main text may be a comment or a teaser
             cleared = 3 if tag == "main" else 1 if inside else 2
-            self.boiler = self.boiler if self.boiler > cleared else 0
+            self.boiler = 3 if tag == "article" and own_hint(attrs) else self.boiler if self.boiler > cleared else 0
         elif tag in ASIDE and not (tag == "header" and inside):
             self.boiler = max(self.boiler, 3 if tag in ("nav", "footer", "aside", "menu") else 2)
         elif tag not in ("html", "body"):
@@ -202,10 +243,10 @@ class Blocks(HTMLParser):
         if not self.hidden:
             self.parts.append(data)
             if self.links:
-                self.linked += len(data.split())
+                self.linked += words_in(data)
 
 
-def blocks_of(html: str) -> list[tuple[str, int, bool, bool]]:
+def blocks_of(html: str) -> list[tuple[str, int, bool, int]]:
     parser = Blocks()
     parser.feed(html)
     parser.close()
@@ -213,9 +254,9 @@ def blocks_of(html: str) -> list[tuple[str, int, bool, bool]]:
     return parser.blocks
 
 
-def features_of(blocks: list[tuple[str, int, bool, bool]]) -> np.ndarray:
-    """Per block: words and link density in percent of itself, the one before and the one after; in main; boilerplate."""
-    words = np.array([text.count(" ") + 1 for text, _, _, _ in blocks])
+def features_of(blocks: list[tuple[str, int, bool, int]]) -> np.ndarray:
+    """Per block: words and link density in percent of itself, the one before and the one after; in main; how clearly boilerplate."""
+    words = np.array([words_in(text) for text, _, _, _ in blocks])
     density = 100 * np.minimum(np.array([linked for _, linked, _, _ in blocks]), words) / words
     own = np.stack([words, density], axis=1)
     edge = np.zeros((1, 2))
@@ -264,7 +305,11 @@ def main_text(html: str | None, tree: Tree) -> str:
     blocks = blocks_of(html or "")
     if not blocks:
         return ""
-    return "\n\n".join(block[0] for block, keep in zip(blocks, tree.predict(features_of(blocks))) if keep)
+    kept = tree.predict(features_of(blocks))
+    own = np.array([main and not boiler for _, _, main, boiler in blocks])
+    between = np.zeros(len(blocks), bool)  # a paragraph that is nearly all link, between two kept ones of the article
+    between[1:-1] = (kept & own)[:-2] & own[1:-1] & (kept & own)[2:]
+    return "\n\n".join(block[0] for block, keep in zip(blocks, kept | between) if keep)
 
 
 def extract(pages: DataFrame, carry: list[str], html_col: str = "html", labelled: str = LABELLED) -> DataFrame:
