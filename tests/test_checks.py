@@ -174,3 +174,16 @@ def test_memory_checks(spark):
     df = spark.createDataFrame(rows, "agent_id string, kind string, content string, salience double, skill string")
     got = [len(r.errors) for r in validate_memories(df).collect()]
     assert got == [0, 1, 1, 1, 0, 1, 1, 3]
+
+
+def test_type_lists_and_items(spark):
+    rule = {"type": "object", "properties": {"n": {"type": ["integer", "null"]}, "l": {"type": ["array", "null"], "items": {"type": ["number", "null"], "minimum": 2}}}}
+    values = ['{"n":null,"l":null}', '{"n":"x","l":[2,null,"y",1,2.5]}', '{"l":[]}', '{"n":1,"l":3}']
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    got = {r.i: [(e.field_path, e.expected, e.actual) for e in r.errors] for r in contracts.contract_validate(rows, rule).collect()}
+    assert got[0] == got[2] == []
+    assert got[1] == [("n", "integer|null", "string"), ("l[2]", "number|null", "string"), ("l[3]", ">= 2", "1")]
+    assert got[3] == [("l", "array|null", "integer")]
+    for bad in ({"items": {"items": {}}}, {"type": ["text"]}, {"items": []}):
+        with pytest.raises(ValueError):
+            contracts.contract_fields({"properties": {"a": bad}})

@@ -109,3 +109,34 @@ def test_ids_of_deleted_subjects_stay(spark):
     more = sc.schema_register(ask(("u", "AVRO", "C", 1), ("t", "AVRO", "B", 2)), left, ["at"])
     assert sorted(more.collect()) == [(2, "t", 2, "AVRO", "B"), (3, "u", 1, "AVRO", "C")]
     assert sc.schema_by_id(left, 2).collect() == [(2, "AVRO", "B")] and sc.versions(left, "t").isEmpty()
+
+
+POINT = '{"type":"record","name":"Line","namespace":"geo","fields":[{"name":"a","type":{"type":"record","name":"P","fields":[{"name":"x","type":"int"}]}},{"name":"b","type":"P"},{"name":"c","type":["null","geo.P"],"default":null}]}'
+
+
+def test_named_types_are_found():
+    p = "struct<x:int>"
+    assert sc.struct_of(POINT).simpleString() == f"struct<a:{p},b:{p},c:{p}>"
+    names = {f[0] for f in sc.avro_fields(json.loads(POINT))}
+    assert names == {"a", "a.x", "b", "b.x", "c", "c.x"}
+    tree = '{"type":"record","name":"T","fields":[{"name":"v","type":"int"},{"name":"next","type":["null","T"],"default":null}]}'
+    with pytest.raises(ValueError, match="holds itself"):
+        sc.struct_of(tree)
+    assert [f[:2] for f in sc.avro_fields(json.loads(tree))] == [("v", ["int"]), ("next", ["null", "record"])]
+    with pytest.raises(ValueError, match="not known"):
+        sc.struct_of('{"type":"record","name":"T","fields":[{"name":"v","type":"Nothing"}]}')
+
+
+def test_type_lists_of_json_schemas(spark):
+    text = '{"type":"object","required":["a","b"],"properties":{"a":{"type":["string","null"]},"b":{"type":["integer","number"]},"c":{"type":["string","integer"]}}}'
+    assert sc.struct_of(text, sc.JSON).simpleString() == "struct<a:string,b:double,c:string>"
+    rows = spark.createDataFrame([('{"a":null,"b":1.5}',), ('{"a":"x"}',)], "value string")
+    assert [r.decoded is not None for r in sc.decode_topic(rows, text, sc.JSON).collect()] == [True, False]
+
+
+def test_aliases_are_no_removal(spark):
+    old = '{"type":"record","name":"R","fields":[{"name":"size","type":"int"},{"name":"p","type":{"type":"record","name":"P","fields":[{"name":"x","type":"int"}]}}]}'
+    new = '{"type":"record","name":"R","fields":[{"name":"length","aliases":["size"],"type":"long"},{"name":"q","aliases":["p"],"type":{"type":"record","name":"P","fields":[{"name":"x","type":"int"}]}}]}'
+    known = spark.createDataFrame([(1, "s", 1, sc.AVRO, old)], "id int, subject string, version int, schema_type string, schema string")
+    asked = spark.createDataFrame([("s", new)], "subject string, schema string")
+    assert [(r.name, r.change, r.breaks) for r in sc.schema_changes(asked, known).collect()] == [("size", "widened", False)]

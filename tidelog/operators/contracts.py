@@ -17,7 +17,7 @@ TYPES = ["object", "array", "string", "integer", "number", "boolean", "null"]
 
 # Keywords that are checked, and those that say nothing about validity.
 BOUNDS = {"minimum": ">=", "maximum": "<=", "exclusiveMinimum": ">", "exclusiveMaximum": "<"}
-CHECKED = {"type", "properties", "required", "additionalProperties", "enum", "minLength", "maxLength", "pattern", *BOUNDS}
+CHECKED = {"type", "properties", "required", "additionalProperties", "items", "enum", "minLength", "maxLength", "pattern", *BOUNDS}
 SILENT = {"$schema", "$id", "$comment", "title", "description", "default", "examples"}
 
 
@@ -38,12 +38,23 @@ def contract_fields(contract: dict | str) -> list[Field]:
     return list(_fields(schema, (), True))
 
 
+def kinds_of(rule: dict) -> list[str]:
+    """The types that a rule allows; none for any."""
+    kind = rule.get("type", [])
+    return [kind] if isinstance(kind, str) else list(kind)
+
+
 def _check_rule(rule: dict, path: str) -> None:
     unknown = set(rule) - CHECKED - SILENT
     if unknown:
         raise ValueError(f"keywords not covered at {path}: {sorted(unknown)}")
-    if rule.get("type") is not None and rule["type"] not in TYPES:
+    if not set(kinds_of(rule)) <= set(TYPES):
         raise ValueError(f"unknown type {rule['type']!r} of {path}")
+    if "items" in rule:
+        inner = rule["items"]
+        if not isinstance(inner, dict) or {"properties", "items", "required", "additionalProperties"} & set(inner):
+            raise ValueError(f"items of {path} may only have keywords of plain values")
+        _check_rule(inner, f"{path}[]")
     if not isinstance(rule.get("additionalProperties", True), bool):
         raise ValueError(f"additionalProperties of {path} must be true or false")
 
@@ -85,6 +96,31 @@ def rule_failures(field: Field, value: Column, kind: Column) -> list[Column]:
     return out
 
 
+def type_failures(field: Field, kind: Column) -> list[Column]:
+    """What a value that is there fails by its type."""
+    kinds, name = kinds_of(field.rule), field.name
+    if not kinds:
+        return []
+    fits = kind.isin(*kinds, *(["integer"] if "number" in kinds else []))
+    told = F.concat(F.lit(f"{name} must be {' or '.join(kinds)}, found "), kind)
+    return [F.when(kind.isNotNull() & ~fits, failure(name, "|".join(kinds), kind, told))]
+
+
+def item_failures(field: Field, value: Column) -> Column:
+    """The failures of an array's elements by its rule of items, at path[index]."""
+    one = Field((*field.path[:-1], f"{field.path[-1]}[]"), field.rule["items"], False)
+
+    def checked(element: Column, index: Column) -> Column:
+        kind = json_type(element)
+        at = F.concat(F.lit(field.name), F.lit("["), index.cast("string"), F.lit("]"))
+        found = type_failures(one, kind) + rule_failures(one, element, kind)
+        empty = F.array().cast(f"array<{FAILURE}>")
+        return F.transform(F.array_compact(F.array(*found)) if found else empty, lambda f: f.withField("field_path", at))
+
+    elements = F.try_variant_get(value, "$", "array<variant>")
+    return F.coalesce(F.flatten(F.transform(elements, checked)), F.array().cast(f"array<{FAILURE}>"))
+
+
 def extra_failures(path: tuple[str, ...], rule: dict, value: Column, kind: Column) -> list[Column]:
     if rule.get("additionalProperties", True):
         return []
@@ -134,13 +170,10 @@ def contract_validate(records: DataFrame, contract: dict | str, value: str = "va
     schema = json.loads(contract) if isinstance(contract, str) else contract
     checks = extra_failures((), schema, F.col("_json"), F.col("_kind"))
     for i, field in enumerate(fields):
-        path, kind, actual = field.name, field.rule.get("type"), F.col(f"_k{i}")
+        path, kind, actual = field.name, "|".join(kinds_of(field.rule)) or None, F.col(f"_k{i}")
         if field.required:
             checks.append(F.when(actual.isNull(), failure(path, kind, F.lit("missing"), F.lit(f"{path} is required"))))
-        if kind is not None:
-            fits = actual.isin("integer", "number") if kind == "number" else actual == kind
-            told = F.concat(F.lit(f"{path} must be {kind}, found "), actual)
-            checks.append(F.when(actual.isNotNull() & ~fits, failure(path, kind, actual, told)))
+        checks += type_failures(field, actual)
         checks += rule_failures(field, F.col(f"_f{i}"), actual) + extra_failures(field.path, field.rule, F.col(f"_f{i}"), actual)
     whole = (
         F.when(F.col(value).isNull(), failure("$", "object", F.lit("missing"), F.lit("no value")))
@@ -149,6 +182,9 @@ def contract_validate(records: DataFrame, contract: dict | str, value: str = "va
         .when(F.col("_kind") != "object", failure("$", "object", F.col("_kind"), F.lit("value is not an object")))
     )
     by_field = F.array_compact(F.array(*checks)) if checks else F.array().cast(f"array<{FAILURE}>")
+    items = [item_failures(f, F.col(f"_f{i}")) for i, f in enumerate(fields) if "items" in f.rule]
+    if items:
+        by_field = F.concat(by_field, *items)
     errors = F.when(whole.isNotNull(), F.array(whole)).otherwise(by_field)
     return staged.withColumn("errors", errors).select(
         *records.columns, (F.size("errors") == 0).alias("valid"), "errors"

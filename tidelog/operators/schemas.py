@@ -30,26 +30,57 @@ PROMOTIONS = [
 ]
 JSON_PROMOTIONS = [("integer", "number")]
 DELETED = "deleted"
+RECURSIVE = "recursive"  # a record whose fields are being read
 
 
-def avro_type(schema) -> T.DataType:
+def full_name(schema: dict, namespace: str) -> tuple[str, str]:
+    """The full name of a record, enum or fixed type ("" without a name), and the namespace that names inside it are read in."""
+    name = schema.get("name", "")
+    if name and "." not in name:
+        space = schema.get("namespace", namespace)
+        name = f"{space}.{name}" if space else name
+    return name, name.rpartition(".")[0] if name else namespace
+
+
+def named(known: dict, name: str, namespace: str):
+    """What a name stands for that is no primitive type: in its namespace, or as it is."""
+    for full in (f"{namespace}.{name}", name):
+        if full in known:
+            return known[full]
+    raise ValueError(f"type {name!r} is not known")
+
+
+def avro_type(schema, known: dict | None = None, namespace: str = "") -> T.DataType:
+    """known: the types of the names that have been declared so far. A record inside itself has no Spark type: an error."""
+    known = {} if known is None else known
     if isinstance(schema, list):
-        kinds = [s for s in schema if s != "null"]
-        return avro_type(kinds[0]) if len(kinds) == 1 else T.StringType()
+        kinds = [avro_type(s, known, namespace) for s in schema if s != "null"]
+        return kinds[0] if len(kinds) == 1 else T.StringType()
     if isinstance(schema, str):
-        return AVRO_TYPES[schema]
+        found = AVRO_TYPES.get(schema) or named(known, schema, namespace)
+        if found == RECURSIVE:
+            raise ValueError(f"record {schema!r} holds itself and cannot be decoded")
+        return found
     kind = schema["type"]
-    if kind == "record":
-        return T.StructType([T.StructField(f["name"], avro_type(f["type"])) for f in schema["fields"]])
     if kind == "array":
-        return T.ArrayType(avro_type(schema["items"]))
+        return T.ArrayType(avro_type(schema["items"], known, namespace))
     if kind == "map":
-        return T.MapType(T.StringType(), avro_type(schema["values"]))
-    return avro_type(kind)
+        return T.MapType(T.StringType(), avro_type(schema["values"], known, namespace))
+    if kind in ("record", "enum", "fixed"):
+        name, inner = full_name(schema, namespace)
+        known[name] = RECURSIVE
+        known[name] = AVRO_TYPES[kind] if kind != "record" else T.StructType(
+            [T.StructField(f["name"], avro_type(f["type"], known, inner)) for f in schema["fields"]])
+        return known[name]
+    return avro_type(kind, known, namespace)
 
 
 def json_schema_type(schema: dict) -> T.DataType:
-    kind = schema.get("type", "string")
+    """A property that may be null is of its other type; one of several types is text, integers among numbers are numbers."""
+    kind = schema.get("type", "object" if "properties" in schema else "string")
+    if isinstance(kind, list):
+        kinds = set(kind) - {"null"} - ({"integer"} if "number" in kind else set())
+        return json_schema_type({**schema, "type": kinds.pop()}) if len(kinds) == 1 else T.StringType()
     if kind == "object":
         return T.StructType([T.StructField(n, json_schema_type(s)) for n, s in schema.get("properties", {}).items()])
     if kind == "array":
@@ -70,7 +101,8 @@ def required_fields(text: str, schema_type: str = AVRO) -> list[str]:
     """Top-level fields that a value must have: no default, and null is not among their types."""
     schema = json.loads(text)
     if schema_type == JSON:
-        return list(schema.get("required", []))
+        may_be_null = {n for n, rule in schema.get("properties", {}).items() if "null" in rule.get("type", [])}
+        return [n for n in schema.get("required", []) if n not in may_be_null]
     return [
         f["name"] for f in schema["fields"]
         if "default" not in f and f["type"] != "null" and not (isinstance(f["type"], list) and "null" in f["type"])
@@ -160,50 +192,99 @@ def schema_delete(schemas: DataFrame, deleted: DataFrame) -> tuple[DataFrame, Da
     return marked.drop("_gone"), removed
 
 
-def avro_fields(schema, path: str = "") -> list[tuple[str, list[str], bool]]:
-    """(path, kinds, has default) of the fields of a record, those of records inside it included."""
+FIELDS = "array<struct<name:string,kinds:array<string>,has_default:boolean,aliases:array<string>>>"
+Told = tuple[str, list[str], bool, list[str]]  # path, kinds, has default, other paths it is known by
+
+
+def avro_fields(schema, paths: tuple[str, ...] = ("",), known: dict | None = None, namespace: str = "", inside: tuple = ()) -> list[Told]:
+    """The fields of a record, those of records inside it included; a record inside itself is not entered again."""
+    known = {} if known is None else known
+    if not isinstance(schema, dict) or "fields" not in schema:
+        return []
+    full, space = full_name(schema, namespace)
+    known[full], inside = schema, (*inside, id(schema))
     out = []
-    for field in schema.get("fields", []) if isinstance(schema, dict) else []:
-        name, kinds = f"{path}{field['name']}", []
+    for field in schema["fields"]:
+        names, kinds = [f"{p}{n}" for p in paths for n in (field["name"], *field.get("aliases", []))], []
         for branch in field["type"] if isinstance(field["type"], list) else [field["type"]]:
-            deeper = branch
-            while isinstance(deeper, dict) and deeper["type"] in ("array", "map"):
-                deeper = deeper["items"] if deeper["type"] == "array" else deeper["values"]
-            record = isinstance(deeper, dict) and deeper["type"] == "record"
-            plain = isinstance(branch, dict) and isinstance(branch["type"], str) and branch["type"] not in ("array", "map", "enum", "fixed")
-            kinds.append(branch if isinstance(branch, str) else branch["type"] if plain or record else json.dumps(branch, sort_keys=True))
-            if record:
-                out += avro_fields(deeper, f"{name}.")
-        out.append((name, sorted(kinds), "default" in field))
+            kind, record = avro_kind(branch, known, space)
+            kinds.append(kind)
+            if record is not None and id(record) not in inside:
+                out += avro_fields(record, tuple(f"{n}." for n in names), known, space, inside)
+        out.append((names[0], sorted(kinds), "default" in field, names[1:]))
     return out
 
 
-def json_fields(schema: dict, path: str = "") -> list[tuple[str, list[str], bool]]:
+def avro_kind(branch, known: dict, namespace: str) -> tuple[str, dict | None]:
+    """(the name of a type, the record that it is or holds): a record is `record`, others that are no primitive are told in full."""
+    if isinstance(branch, str) and branch not in AVRO_TYPES:
+        branch = named(known, branch, namespace)
+    if isinstance(branch, str):
+        return branch, None
+    kind = branch["type"]
+    if kind == "record":
+        return "record", branch
+    if kind in ("array", "map"):
+        inner = branch["items"] if kind == "array" else branch["values"]
+        if isinstance(inner, list):
+            return json.dumps(branch, sort_keys=True), None
+        told, record = avro_kind(inner, known, namespace)
+        return ("record" if record is not None else json.dumps({**branch, "items" if kind == "array" else "values": told}, sort_keys=True)), record
+    if kind in ("enum", "fixed"):
+        known[full_name(branch, namespace)[0]] = branch
+        return json.dumps(branch, sort_keys=True), None
+    return (kind if isinstance(kind, str) else json.dumps(branch, sort_keys=True)), None
+
+
+def json_fields(schema: dict, path: str = "") -> list[Told]:
     """The same of the properties of a JSON Schema object; what is not required need not be there, as with a default."""
     out = []
     for name, rule in schema.get("properties", {}).items():
         kind = rule.get("type", "any")
-        out.append((f"{path}{name}", sorted(kind) if isinstance(kind, list) else [kind], name not in schema.get("required", [])))
+        out.append((f"{path}{name}", sorted(kind) if isinstance(kind, list) else [kind], name not in schema.get("required", []), []))
         deeper = rule
-        while deeper.get("type") == "array":
+        while "array" in deeper.get("type", []):
             deeper = deeper.get("items", {})
-        if deeper.get("type") == "object":
+        if "object" in deeper.get("type", []):
             out += json_fields(deeper, f"{path}{name}.")
     return out
 
 
 def fields_of(schemas: DataFrame, *keys: str) -> DataFrame:
-    """One row per field of each schema: keys, name (a path), kinds (the types it may have), has_default."""
+    """One row per field of each schema: keys, name (a path), kinds (the types it may have), has_default, aliases.
+
+    Texts are taken apart in Arrow batches, each of a batch's texts once."""
     kinds = {AVRO: avro_fields, JSON: json_fields}
+    if not schemas.columns.count("schema_type"):
+        schemas = schemas.withColumn("schema_type", F.lit(AVRO))
 
-    @F.udf("array<struct<name:string,kinds:array<string>,has_default:boolean>>")
-    def told(schema_type: str, text: str):
+    def told(schema_type: str, text: str) -> list[dict]:
         if schema_type not in kinds:
             raise ValueError(f"compatibility of {schema_type} schemas is not covered")
-        return kinds[schema_type](json.loads(text))
+        return [dict(zip(("name", "kinds", "has_default", "aliases"), f)) for f in kinds[schema_type](json.loads(text))]
+
+    def work(batches):
+        import pyarrow as pa
+
+        text = pa.list_(pa.string())
+        item = pa.list_(pa.struct([("name", pa.string()), ("kinds", text), ("has_default", pa.bool_()), ("aliases", text)]))
+        for batch in batches:
+            pairs = list(zip(batch.column("schema_type").to_pylist(), batch.column("schema").to_pylist()))
+            found = {pair: told(*pair) for pair in set(pairs)}
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array([found[p] for p in pairs], item)], [*keys, "_fields"])
+
+    read = schemas.select(*keys, "schema_type", "schema")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-2])
+    return read.mapInArrow(work, f"{types}, _fields {FIELDS}").select(*keys, F.inline("_fields"))
+
 
-    typed = schemas if "schema_type" in schemas.columns else schemas.withColumn("schema_type", F.lit(AVRO))
-    return typed.select(*keys, F.inline(told("schema_type", "schema")))
+def renamed(new: DataFrame, old: DataFrame) -> DataFrame:
+    """New fields under the name of the old one that they have as an alias, if there is none of their own name."""
+    was = old.select("subject", F.col("name").alias("_was"))
+    strange = new.join(was, (new["subject"] == was["subject"]) & (new["name"] == was["_was"]), "left_anti")
+    hits = strange.select("subject", "name", F.explode("aliases").alias("_was")).join(was, ["subject", "_was"])
+    first = hits.groupBy("subject", "name").agg(F.min("_was").alias("_was"))
+    return new.join(first, ["subject", "name"], "left").withColumn("name", F.coalesce("_was", "name")).drop("_was", "aliases")
 
 
 def readable(old: Column, new: Column) -> Column:
@@ -217,10 +298,11 @@ def schema_changes(candidates: DataFrame, schemas: DataFrame) -> DataFrame:
 
     change is removed, added, added without default, now required, widened or retyped. Whether a reader with the
     candidate can read what was written before is `breaks`: by fields without default and by new types. A default of
-    null is a default. Types that may be several things are told with a bar between them.
+    null is a default; a field that names an earlier one as its alias is that one. Types that may be several things are told with a bar between them.
     """
-    old = fields_of(latest(schemas).join(candidates, "subject", "left_semi"), "subject").withColumnsRenamed({"kinds": "old", "has_default": "had"})
+    old = fields_of(latest(schemas).join(candidates, "subject", "left_semi"), "subject").withColumnsRenamed({"kinds": "old", "has_default": "had"}).drop("aliases")
     new = fields_of(candidates.join(latest(schemas), "subject", "left_semi"), "subject").withColumnRenamed("kinds", "new")
+    new = renamed(new, old)
     both = old.join(new, ["subject", "name"], "full")
     json_type = F.coalesce(F.col("had"), F.lit(False)) & ~F.col("has_default")
     change = (

@@ -268,6 +268,28 @@ def contract_validate(spark, sf_dir):
     return checked.select("partition", "offset", "valid", F.inline_outer("errors"))
 
 
+LISTS = {
+    "type": "object", "required": ["note"],
+    "properties": {"note": {"type": ["string", "null"]}, "tags": {"type": "array", "items": {"type": "string", "maxLength": 7}}},
+}
+
+
+@query("contract_items", """
+SELECT event_id, 'note' AS field_path, 'string|null' AS expected, 'integer' AS actual FROM events WHERE event_type = 'click'
+UNION ALL SELECT event_id, 'tags[1]', 'string', 'integer' FROM events WHERE event_type = 'error'
+UNION ALL SELECT event_id, 'tags[0]', 'maxLength 7', '8' FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT event_id, NULL, NULL, NULL FROM events WHERE event_type IN ('view', 'signup')
+""")
+def contract_items(spark, sf_dir):
+    """Fields of several types and arrays: views have a null note and clicks a number, errors a number among their tags."""
+    kind = F.col("event_type")
+    note = F.when(kind == "view", "null").when(kind == "click", "5").otherwise('"x"')
+    second = F.when(kind == "error", F.col("user_id").cast("string")).otherwise('"t"')
+    value = F.concat(F.lit('{"note":'), note, F.lit(',"tags":["'), kind, F.lit('",'), second, F.lit("]}"))
+    checked = contracts.contract_validate(table(spark, sf_dir, "events").select("event_id", value.alias("value")), LISTS)
+    return checked.select("event_id", F.inline_outer("errors")).drop("message")
+
+
 @query("contract_quarantine", f"""
 {FAULTS} SELECT valid, event_type, coalesce(actual, '') AS fault, count(*) AS records FROM found GROUP BY ALL
 """)
