@@ -28,7 +28,7 @@ HINTS = frozenset(
 STATES = frozenset("has no not with without free is hide hidden show toggle open closed fixed sticky active enabled disabled visible layout".split())
 # Parts that go with a hint without a meaning of their own: ad-slot, site-header. Beside any other word, as in social-science, a hint is a weak one.
 LAYOUT = frozenset(
-    "site page main top bottom left right center upper lower box block bar list item items section wrapper wrap container inner outer area slot unit panel content text title "
+    "site entry page main top bottom left right center upper lower box block bar list item items section wrapper wrap container inner outer area slot unit panel content text title "
     "link links user post blog global primary secondary region group row col column card mobile desktop form button thread message messages policy js responsive".split()
 )
 REMARKS = frozenset("comment comments disqus reply replies respond".split())  # what readers say may come as articles of its own
@@ -144,6 +144,16 @@ LABELLED = """
 18 0 90 0 3 100 0 1 0
 9 0 0 0 4 100 0 1 0
 2 0 3 0 4 0 0 1 0
+20 0 0 0 0 0 0 0 1
+40 0 0 0 0 0 0 0 1
+1 0 2 100 60 0 1 0 1
+1 0 2 100 45 0 1 0 1
+1 0 0 0 60 0 1 0 1
+2 0 0 0 40 0 1 0 1
+3 0 2 100 30 0 1 0 1
+4 0 5 100 70 0 1 0 1
+2 0 1 100 55 0 1 0 1
+1 0 60 0 45 0 1 0 1
 """
 
 
