@@ -1,6 +1,10 @@
+import re
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidelog import plans
 from tidelog import sql as tsql
 
 
@@ -60,3 +64,24 @@ def test_timeout(topics):
 def test_explain_shows_pruning(topics):
     plan = tsql.explain(topics, "SELECT `key` FROM topic('events') WHERE `partition` = 1 AND `offset` > 2")
     assert "PartitionFilters" in plan and "GreaterThan(offset,2)" in plan
+
+
+def test_aggregates_keep_one_sketch_a_cell(spark, tmp_path):
+    """Users without an id, events without a type, repeated rows; no sketch beside a user's key."""
+    begin = datetime(2024, 1, 1)
+    draws = [(i, begin + timedelta(minutes=i), None if i % 7 == 0 else i % 11, None if i % 5 == 0 else "view" if i % 3 else "click", 1.5, "{}") for i in range(120)]
+    draws += draws[:10]
+    spark.createDataFrame(draws, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+    spark.createDataFrame([(1, 1, "O", 1.0, begin)], orders).write.parquet(f"{tmp_path}/orders.parquet")
+    found = plans.QUERIES["sql_aggregates"](spark, str(tmp_path))
+    lines = re.findall(r"Aggregate\(keys=\[([^\]]*)\][^\n]*approx_count_distinct", found._jdf.queryExecution().executedPlan().toString())
+    assert lines and not any(re.search(r"\b(k|key)#", keys) for keys in lines)
+    told = tsql.register_topics(plans.inputs.full_log(spark, str(tmp_path))).sql(
+        "SELECT `partition` AS part, get_json_object(value, '$.event_type') AS kind, `key` AS k, `timestamp` AS t FROM topic('events')").collect()
+    cells = {}
+    for r in told:
+        for part, kind, level in ((r.part, r.kind, 0), (None, r.kind, 1), (r.part, None, 2), (None, None, 3)):
+            cells.setdefault((part, kind, level), []).append(r)
+    want = {c: (len(held), len({r.k for r in held} - {None}), True, min(r.t for r in held), max(r.t for r in held)) for c, held in cells.items()}
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in found.collect()} == want and found.count() == len(want)
