@@ -64,3 +64,17 @@ def test_asof_equals_python(spark, seed):
     )
     wanted = sorted((k, t, max((a for j, a, _ in right if j == k and a <= t), default=None)) for k, t in left)
     assert sorted((r.k, r.t, None if r.v is None else r.v // 10) for r in joined.collect()) == wanted
+
+
+def test_slices_and_logs_are_stored_small(spark, sf_dir):
+    """Hexadecimal digits, as ids of traces are, take no more than their half in what an append stores and writes."""
+    from tidelog.operators.ordered import sliced
+    from tidelog.plans.inputs import full_log
+    from tidelog.session import hadoop_path
+
+    def size(paths):
+        return sum(hadoop_path(spark, p)[0].getFileStatus(hadoop_path(spark, p)[1]).getLen() for p in paths)
+
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    assert size(sliced(rows, [], ["id"]).inputFiles()) < 0.75 * 20_000 * 64
+    assert all(".zstd." in name for name in full_log(spark, sf_dir).scan().inputFiles())
