@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidelog.operators import halo, intervals
+from tidelog.operators import halo, intervals, ordered
 from tidelog.operators.halo import lag, lead, numbered, over_range, over_rows, with_rank
 from tidelog.operators.intervals import overlap_join, range_join
 
@@ -37,6 +37,35 @@ def test_range_join(spark, monkeypatch, cell, full):
         range_join(left, right.withColumnRenamed("j", "i"), "at", "opens", "closes")
 
 
+def written(spark, df, monkeypatch):
+    """Rows that a range join stores, by the name they are stored under, and the rows it gives."""
+    rows, kept = {}, {intervals: intervals.store, ordered: ordered.store}
+
+    def count(stored, name, *rest, **options):
+        out = kept[intervals](stored, name, *rest, **options)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    for module in kept:
+        monkeypatch.setattr(module, "store", count)
+    found = df().count()
+    return rows, found
+
+
+def test_copies_do_not_outgrow_the_input(spark, monkeypatch):
+    """Twice the points and twice the intervals over the same span: four times the pairs, but twice what is stored and dealt."""
+    monkeypatch.setattr(intervals, "CELL", 10)
+    dealt = []
+    for n in (300, 600):
+        left = spark.range(n).select(F.col("id").alias("i"), (F.col("id") * 1000 / n).cast("long").alias("at"))
+        right = spark.range(n).select(F.col("id").alias("j"), (F.col("id") * 1000 / n).cast("long").alias("opens")).withColumn("closes", F.col("opens") + 100)
+        with monkeypatch.context() as patched:
+            rows, pairs = written(spark, lambda: range_join(left, right, "at", "opens", "closes"), patched)
+        dealt.append((pairs, sum(rows.values())))
+    assert dealt[1][0] > 3.9 * dealt[0][0]
+    assert dealt[1][1] < 2.2 * dealt[0][1] and dealt[1][1] < 7 * 600
+
+
 def test_overlap_join(spark, monkeypatch):
     monkeypatch.setattr(intervals, "CELL", 8)
     draw = random.Random(2)
