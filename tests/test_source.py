@@ -127,3 +127,15 @@ def test_bound_below_the_partitions(spark, log):
     for bad in ({"maxrecordsperbatch": "0"}, {"startingoffsets": "earliest", "startingtimestamp": "5"}):
         with pytest.raises(ValueError):
             TopicReader({"root": log.root, "topic": "t", **bad})
+
+
+def test_only_what_is_asked_for_is_read_and_little_at_once(spark, log):
+    log.append(rows(spark, 0, 30_000), partitions=1, arrival=["timestamp"])
+    path = new_path(spark, "landed")
+    drain(open_stream(spark, log, "t", columns=["offset", "topic"]), path, new_path(spark, "cp"))
+    got = landed(spark, path)
+    assert got.columns[:2] == ["offset", "topic"] and "value" not in got.columns
+    assert (got.count(), got.agg(F.sum("offset")).first()[0], got.where("topic = 't'").count()) == (30_000, sum(range(30_000)), 30_000)
+    reader = TopicReader({"root": log.root, "topic": "t"})
+    sizes = [b.num_rows for r in reader.partitions({"0": 0}, {"0": 30_000}) for b in reader.read(r)]
+    assert sum(sizes) == 30_000 and max(sizes) <= 8_192

@@ -87,7 +87,7 @@ def stream_resume(spark, sf_dir):
     records, arrival = event_records(spark, sf_dir), ["ts", "event_id"]
     for half in (F.col("timestamp") < MID_JANUARY, F.col("timestamp") >= MID_JANUARY):
         log.append(records.where(half), PARTITIONS, arrival)
-        stream = open_stream(spark, log, "events").select("topic", "partition", "offset")
+        stream = open_stream(spark, log, "events", columns=["topic", "partition", "offset"])
         follow.resume(stream, "readers", lambda batch: batch, sink, commits, checkpoint).awaitTermination()
     current = catalog.current_commits(spark.read.parquet(commits))
     done = spark.read.parquet(sink).groupBy("topic", "partition").agg(

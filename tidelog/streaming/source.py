@@ -7,7 +7,8 @@
 
 A batch is one gapless range of offsets per partition, so a position is always the end of what has been read. The driver
 reads the commits and entries it has not seen yet, never records (but for a starting timestamp, one column of one append
-per partition); tasks take ranges of at most RECORDS offsets and hand on Arrow batches. Paths are those that PyArrow's
+per partition); tasks take ranges of at most RECORDS offsets and hand on Arrow batches of at most BATCH records, reading
+BUFFER bytes of a column at a time and only the columns of the schema that is asked for. Paths are those that PyArrow's
 file systems open.
 """
 
@@ -22,12 +23,15 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tidelog.sources.topic_log import TopicLog, escape
 
 BEGINNING, END = 0, -1
 RECORDS = 500_000  # offsets that a task reads at most
+BATCH = 8_192  # records that a task holds at once
+BUFFER = 1 << 20  # bytes of a column chunk that a task holds at once; without it, whole chunks
 SCHEMA = "topic string, partition int, offset long, timestamp long, key string, value string, headers map<string, binary>"
 
 
@@ -61,7 +65,7 @@ class Folder:
 
     def groups(self, file: str, column: str, low: int, high: int) -> tuple[pq.ParquetFile, list[int]]:
         """A file and those of its row groups that may hold a value of column from low to high."""
-        opened = pq.ParquetFile(file, filesystem=self.fs)
+        opened = pq.ParquetFile(file, filesystem=self.fs, buffer_size=BUFFER)
         index = opened.schema_arrow.get_field_index(column)
         hit = []
         for group in range(opened.metadata.num_row_groups):
@@ -114,15 +118,15 @@ class Entries:
                 found = []
                 for file in self.folder.partition(txn, self.topic, partition):
                     opened, groups = self.folder.groups(file, "timestamp", timestamp, (1 << 63) - 1)
-                    for batch in opened.iter_batches(columns=["offset", "timestamp"], row_groups=groups):
+                    for batch in opened.iter_batches(BATCH, columns=["offset", "timestamp"], row_groups=groups, use_threads=False):
                         found += [o for o, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t >= timestamp][:1]
                 return min(found, default=end)
         return self.ends()[partition]
 
 
 class TopicReader(DataSourceStreamReader):
-    def __init__(self, options: dict[str, str]):
-        self.topic, self.root = options["topic"], options["root"]
+    def __init__(self, options: dict[str, str], names: list[str] = TopicLog.COLUMNS):
+        self.topic, self.root, self.names = options["topic"], options["root"], list(names)
         self.most = int(options["maxrecordsperbatch"]) if options.get("maxrecordsperbatch") else None
         self.starting = options.get("startingoffsets", "earliest")
         self.since = int(options["startingtimestamp"]) if options.get("startingtimestamp") else None
@@ -186,16 +190,19 @@ class TopicReader(DataSourceStreamReader):
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         folder = Folder(self.root)
-        columns = ["offset", "timestamp", "key", "value", "headers"]
+        stored = ["offset", *[name for name in self.names if name not in ("topic", "partition", "offset")]]
         for file in folder.partition(partition.txn, self.topic, partition.partition):
             opened, groups = folder.groups(file, "offset", partition.first, partition.end - 1)
-            for batch in opened.iter_batches(columns=columns, row_groups=groups) if groups else ():
+            for batch in opened.iter_batches(BATCH, columns=stored, row_groups=groups, use_threads=False) if groups else ():
                 offsets = batch.column("offset").to_numpy()
                 kept = batch.filter(pa.array((offsets >= partition.first) & (offsets < partition.end)))
                 if kept.num_rows:
-                    told = [pa.array([self.topic] * kept.num_rows), pa.array([partition.partition] * kept.num_rows, pa.int32())]
-                    headers = kept.column("headers").cast(pa.map_(pa.string(), pa.binary()))
-                    yield pa.RecordBatch.from_arrays([*told, *[kept.column(c) for c in columns[:-1]], headers], ["topic", "partition", *columns])
+                    told = {name: kept.column(name) for name in stored}
+                    told["topic"] = pa.array([self.topic] * kept.num_rows)
+                    told["partition"] = pa.array([partition.partition] * kept.num_rows, pa.int32())
+                    if "headers" in told:
+                        told["headers"] = told["headers"].cast(pa.map_(pa.string(), pa.binary()))
+                    yield pa.RecordBatch.from_arrays([told[name] for name in self.names], self.names)
 
 
 class TopicSource(DataSource):
@@ -207,16 +214,21 @@ class TopicSource(DataSource):
         return SCHEMA
 
     def streamReader(self, schema) -> TopicReader:
-        return TopicReader({k.lower(): v for k, v in self.options.items()})
+        return TopicReader({k.lower(): v for k, v in self.options.items()}, schema.names)
 
 
 def open_stream(
-    spark: SparkSession, log: TopicLog, topic: str, starts: str | dict[int, int] = "earliest", since: int | None = None, most: int | None = None
+    spark: SparkSession, log: TopicLog, topic: str, starts: str | dict[int, int] = "earliest", since: int | None = None, most: int | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """A topic's committed records from a position on: `earliest`, `latest`, offsets by partition (-1: the end; partitions
-    not named: the beginning), or those since a time; at most `most` of them in a batch."""
+    not named: the beginning), or those since a time; at most `most` of them in a batch. Spark does not tell a Python source
+    which columns are used: what `columns` leaves out is not read."""
     spark.dataSource.register(TopicSource)
     reader = spark.readStream.format("tidelog").option("root", log.root).option("topic", topic)
+    if columns is not None:
+        fields = T.StructType.fromDDL(SCHEMA)
+        reader = reader.schema(T.StructType([fields[name] for name in columns]))
     if since is not None:
         reader = reader.option("startingTimestamp", str(since))
     else:
