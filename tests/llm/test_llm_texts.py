@@ -1,5 +1,6 @@
 """Language ID, token attribution, packing, main text and the pipeline."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidelog.llm import queries
 from tidelog.llm.attribution import join_spans, section_tokens
-from tidelog.llm.encode import Encoder, encoder, tokenizer_path
+from tidelog.llm.encode import UNSURE, Encoder, encoder, kinds, tokenizer_path
+from tidelog.llm.encode import pieces as split
 from tidelog.llm.html import extract, learn_tree, main_text
 from tidelog.llm.langid import grams, held_out, identify, learn_profiles
 from tidelog.llm.packing import hilbert_keys, pack
@@ -31,6 +33,39 @@ def test_encoder_equals_tokenizer(monkeypatch):
     assert [int(widths[x].sum()) for x in own.ids(texts)] == [len(t.encode()) for t in texts]
 
 
+def test_a_word_is_learned_once_whatever_stands_around_it():
+    words, ends = ["plain", "Ünder", "don't", "日本"], ["", ",", ".", "!", ".\n", "\n", "\n\n", ")", "'ll"]
+    texts = [f"A {a}{x}{b}{y} {b}" for a in words for x in ends for b in words for y in ends]
+    own = Encoder(PATH)
+    assert [list(x) for x in own.ids(texts)] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(own.known) < 60 < len({w for t in texts for w in t.split(" ")})
+
+
+@pytest.mark.parametrize("cut", [1 << 20, 40])
+def test_texts_are_cut_as_the_tokenizer_cuts(monkeypatch, cut):
+    monkeypatch.setattr("tidelog.llm.encode.CUT", cut)
+    own, draw = Encoder(PATH), random.Random(5)
+    signs = [*"abstmdrelv12!.é日٣²'' \n\t", "'s", "'ll", "'re", "'qť", "  ", "\r\n", "<|", "\x00", "\x1c", "\x85", "\xa0", " ", "　", "͸", "\U0001f600", "\U00020000"]
+    texts = ["".join(draw.choices(signs, k=draw.randrange(20))) for _ in range(5000)] + [f"{t}<|endoftext|>\U0001f600" for t in ("", "a ")]
+    assert [list(x) for x in own.ids(texts)] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for alike in (["", "", ""], [""], [], ["'"]):
+        assert [list(x) for x in own.ids(alike)] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in alike]
+    other = Encoder(tokenizer_path("word_bpe_49k.json"))
+    assert [list(x) for x in other.ids(texts[:500])] == [other.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[:500]]
+
+
+def test_every_sure_character_is_of_its_kind():
+    sure = [chr(c) for c in np.flatnonzero(kinds()[:-1] != UNSURE)]
+    assert len(sure) > 50_000
+    texts = ["".join(x for c in sure[at:at + 500] for x in ("a", c, "1", c, "!", c, c, " ", c, "\n")) for at in range(0, len(sure), 500)]
+    assert split(["'qťa", "'rea"])[0].to_pylist() == ["'", "qťa", "'re", "a"]
+    found, counts = split(texts)
+    tokenizer, at = encoder(PATH).tokenizer, 0
+    for text, n in zip(texts, counts.tolist()):
+        assert found[at:at + n].to_pylist() == [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        at += n
+
+
 def test_hilbert_curve_is_continuous():
     side = np.arange(8)
     points = np.stack(np.meshgrid(side, side, side), -1).reshape(-1, 3)

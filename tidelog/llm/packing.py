@@ -20,7 +20,7 @@ END = 0  # the id that closes a document
 HASHED = 1024  # entries of a document's hashed vector
 DIMS, BITS = 4, 15  # of the curve: DIMS * BITS bits of a key
 SEED = 11
-REMEMBERED, KEPT = 1_200_000, 600_000  # words a process remembers from one task to the next, and when there are more
+REMEMBERED, KEPT = 1_200_000, 600_000  # pieces a process remembers from one task to the next, and when there are more
 SEQUENCES = 40  # bits of a sequence's number inside its task
 
 
