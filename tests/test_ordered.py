@@ -1,11 +1,13 @@
 """Sliced scans against plain Python, with hot groups cut into several slices."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import SLICE, asof_join, ordered_scan, sliced
+from tidelog.session import RELEASE, releasing, store
 
 
 def rows(n, seed, hot=0.5):
@@ -78,3 +80,35 @@ def test_slices_and_logs_are_stored_small(spark, sf_dir):
     rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("digest"))
     assert size(sliced(rows, [], ["id"]).inputFiles()) < 0.75 * 20_000 * 64
     assert all(".zstd." in name for name in full_log(spark, sf_dir).scan().inputFiles())
+
+
+def shuffled(spark):
+    """MB of each shuffle file on this machine's disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() / 1e6 for f in found if f.getName().startswith("shuffle_")}
+
+
+def left_over(spark, before, most):
+    """MB of shuffles that were not there before, when they are down to `most` or will not go."""
+    for _ in range(50):
+        mb = sum(size for name, size in shuffled(spark).items() if name not in before)
+        if mb <= most:
+            break
+        time.sleep(0.1)
+    return mb
+
+
+def test_shuffles_go_when_a_table_is_written(spark, log):
+    before = shuffled(spark)
+    df = spark.range(100_000).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.md5(F.col("id").cast("string")).alias("value"), "id")
+    stored = store(df.repartition(5, "value"), "table")
+    assert left_over(spark, before, 0) == 0 and stored.count() == 100_000
+    log.append(df, 3, ["id"])
+    assert left_over(spark, before, 0.5) < 0.5 and log.scan("t").agg(F.sum("offset")).first()[0] > 0
+    assert spark.conf.get(RELEASE, None) is None
+    spark.conf.set(RELEASE, "false")  # the session's own setting stands
+    with releasing(spark):
+        assert spark.conf.get(RELEASE) == "false"
+    assert spark.conf.get(RELEASE) == "false"
+    spark.conf.unset(RELEASE)

@@ -66,6 +66,48 @@ def test_copies_do_not_outgrow_the_input(spark, monkeypatch):
     assert dealt[1][1] < 2.2 * dealt[0][1] and dealt[1][1] < 7 * 600
 
 
+def test_each_side_is_stored_once(spark, monkeypatch):
+    """Points are stored in their order and intervals with the cells they reach; neither is stored again to be laid on a line."""
+    monkeypatch.setattr(intervals, "CELL", 50)
+    left = spark.range(400).select(F.col("id").alias("i"), (F.col("id") % 100).alias("at"))
+    right = spark.range(300).select(F.col("id").alias("j"), (F.col("id") % 90).alias("opens"), (F.col("id") % 90 + F.col("id") % 7).alias("closes"))
+    rows, pairs = written(spark, lambda: range_join(left, right, "at", "opens", "closes"), monkeypatch)
+    assert pairs == sum(1 for i in range(400) for j in range(300) if j % 90 <= i % 100 <= j % 90 + j % 7)
+    assert rows.pop("sliced") == 400 and rows.pop("held") == 300 and sum(rows.values()) < 20
+
+
+@pytest.mark.parametrize("kind,other", [
+    ("long", "int"), ("int", "double"), ("double", "double"), ("decimal(9,2)", "long"), ("timestamp", "timestamp"), ("date", "timestamp"), ("string", "string"),
+    ("string collate UTF8_LCASE", "string collate UTF8_LCASE"), ("struct<a:int,b:double>", "struct<a:int,b:double>"),
+])
+def test_range_join_compares_as_spark_does(spark, monkeypatch, kind, other):
+    monkeypatch.setattr(intervals, "CELL", 4)
+    draw = random.Random(4)
+
+    def value(of):
+        if of == "double":
+            return draw.choice([float("nan"), float("inf"), -0.0, 0.0, None, draw.randrange(9) / 2])
+        if "string" in of:
+            return draw.choice(["", "é", "z", "Z", "\U0001f600", "\uffee", None, "abAB"[draw.randrange(4)] + draw.choice("cD")])
+        if "struct" in of:
+            return draw.choice([None, (1, 2.0), (1, None), (None, 1.0), (draw.randrange(3), draw.randrange(3) / 2)])
+        return draw.choice([None, draw.randrange(-5, 9)])
+
+    def frame(n, names, of):
+        plain = of if of == "double" or "struct" in of else "string" if "string" in of else "int"
+        rows = [(i, *[value(of) for _ in names]) for i in range(n)]
+        df = spark.createDataFrame(rows, ", ".join([f"{'i' if len(names) == 1 else 'j'} long", *[f"{c} {plain}" for c in names]])).repartition(3)
+        shown = (lambda c: F.date_add(F.lit("2024-03-30").cast("date"), F.col(c))) if of in ("date", "timestamp") else F.col
+        return df.select(df.columns[0], *[shown(c).cast(of).alias(c) if "collate" not in of else F.expr(f"{c} COLLATE UTF8_LCASE").alias(c) for c in names])
+
+    left, right = frame(120, ["at"], kind), frame(60, ["opens", "closes"], other)
+    found = range_join(left, right, "at", "opens", "closes")
+    want = left.join(right, (F.col("at") >= F.col("opens")) & (F.col("at") <= F.col("closes")))
+    assert found.schema == want.schema and want.count() > 20
+    keys = [sorted((r.i, r.j) for r in df.select("i", "j").collect()) for df in (found, want)]
+    assert keys[0] == keys[1]
+
+
 def test_overlap_join(spark, monkeypatch):
     monkeypatch.setattr(intervals, "CELL", 8)
     draw = random.Random(2)
